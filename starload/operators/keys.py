@@ -1,7 +1,9 @@
 """Dense surrogate keys in value order without a single-partition window (U4).
 
 ``row_number()`` over a window with no partition key moves every row into
-one task. Instead the rows are range-partitioned and sorted on the order
+one task, so it is used only when a bounded count proves the input small
+(``small_rows``, default 100 000 rows, e.g. the new values of a dimension).
+Otherwise the rows are range-partitioned and sorted on the order
 columns, each row gets its position inside its partition
 (``monotonically_increasing_id`` counts rows per partition in iteration
 order), and a per-partition row count turns positions into global ranks:
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from starload.session import checkpoint_root
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
+SMALL_ROWS = 100_000
 
 
 def assign_keys(
@@ -30,11 +33,21 @@ def assign_keys(
     key_col: str,
     start: int = 0,
     num_partitions: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``key_col`` = start + 1, start + 2, ... in ascending ``order_by`` order.
 
-    Ties in ``order_by`` get distinct keys in an unspecified but stable order.
+    ``order_by`` should be unique (dimension values, a fact grain); ties get
+    distinct keys in an unspecified order.
     """
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        # proven small: one ordered task is cheaper than range partitioning
+        w = Window.orderBy(*order_by)
+        return df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
+    return _assign_keys_ranged(df, order_by, key_col, start, num_partitions)
+
+
+def _assign_keys_ranged(df, order_by, key_col, start, num_partitions):
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -12,9 +12,9 @@ daily AS (
          l.l_returnflag AS age_group,
          l.l_linestatus AS ed_type,
          CASE WHEN NOT (p.p_type = 'PROMO' AND month(l.l_shipdate) = 3)
-              THEN round(l.l_discount * 100, 2) + 0.0 END AS relative_cases,
+              THEN round(l.l_discount * 100) + 0.0 END AS relative_cases,
          CASE WHEN NOT (p.p_type = 'PROMO' AND month(l.l_shipdate) = 3) AND l.l_linenumber <> 1
-              THEN round(l.l_tax * 100, 2) + 0.0 END AS relative_cases_7day_ma,
+              THEN round(l.l_tax * 100) + 0.0 END AS relative_cases_7day_ma,
          CASE WHEN NOT (p.p_type = 'PROMO' AND month(l.l_shipdate) = 3) AND l.l_linenumber <> 2
               THEN CAST(l.l_quantity AS DOUBLE) END AS expected_value,
          CASE WHEN NOT (p.p_type = 'PROMO' AND month(l.l_shipdate) = 3) AND l.l_linenumber <> 2

@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _pct(c: str) -> Column:
     # whole percent; + 0.0 turns a negative zero into zero
-    return F.round(F.col(c) * 100, 2) + F.lit(0.0)
+    return F.rint(F.col(c) * 100) + F.lit(0.0)
 
 
 def daily_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
