@@ -21,7 +21,7 @@ from starload.functions import (
     to_double,
     to_int_key,
 )
-from starload.functions.patterns import MONTHLY_COLUMNS, WEATHER_MEASURES
+from starload.functions.patterns import FACT_MEASURES, MONTHLY_COLUMNS, WEATHER_MEASURES
 from starload.operators.keys import assign_keys
 from starload.operators.monthly import monthly_aggregate
 from starload.operators.quality import (
@@ -35,22 +35,12 @@ from starload.operators.quality import (
 from starload.operators.upsert import (
     date_rows,
     dimension_values,
-    resolve_keys,
     split_rejects,
     upsert_date_dimension,
-    upsert_facts,
     upsert_text_dimension,
 )
 from starload.plans import oracle_sql as O
-from starload.plans.load import (
-    DIMENSION_OF,
-    fact_rows,
-    key_batch,
-    load,
-    load_report,
-    prepare_batch,
-    stage_dimensions,
-)
+from starload.plans.load import key_batch, load, prepare_batch, stage_dimensions
 from starload.plans.marts import DEFAULT_CLASSES, class_average, head_rows, seasonality, warehouse_flat_view
 from starload.plans.roles import (
     daily_from_tables,
@@ -69,7 +59,7 @@ from starload.sources.series_files import (
     read_series_files,
     series_format_problems,
 )
-from starload.sources.warehouse import TEXT_DIMENSIONS, Warehouse
+from starload.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,10 +79,6 @@ def _loaded(spark, sf, name) -> Warehouse:
     return wh
 
 
-def _r6(c: str):
-    return F.round(F.avg(c), 6)
-
-
 # ---------------------------------------------------------------- sources --
 def src_tsv(spark, sf):
     """Daily series through tab-separated files, then A1."""
@@ -103,9 +89,10 @@ def src_tsv(spark, sf):
 
 def src_preamble_glob(spark, sf):
     """Three series through preamble files."""
-    series = series_from_tables(spark, sf)
+    series = series_from_tables(spark, sf).persist()
     root = scratch_path(spark, "series")
     globs = {v: write_series_files(series, f"{root}/{v}", v) for v in WEATHER_MEASURES}
+    series.unpersist()
     return load_weather(spark, globs)
 
 
@@ -134,9 +121,10 @@ LEFT_OUT = (4, 9)
 
 def landing_manifest_q(spark, sf):
     """Landed files per variable and month, two months missing."""
-    series = series_from_tables(spark, sf)
+    series = series_from_tables(spark, sf).persist()
     root = scratch_path(spark, "landing")
     globs = {v: write_series_files(series, f"{root}/{v}", v, leave_out_months=LEFT_OUT) for v in WEATHER_MEASURES}
+    series.unpersist()
     out = landing_manifest(spark, globs, month_pattern=r"file_month=(\d{2})/")
     return out.select("variable", "month", "n_files", (F.col("bytes") > 0).alias("has_bytes"))
 
@@ -399,34 +387,28 @@ def upsert_date_dim(spark, sf):
 
 
 def upsert_fact(spark, sf):
-    """Stored facts before 1999; batch from 1998 with NULLed measures."""
+    """U3 through two published loads: months before 1999 first, then months
+    from 1998 on with some measures NULL (NULL must overwrite)."""
+    batch = _batch(spark, sf).persist()
     wh = Warehouse(spark, scratch_path(spark, "facts"))
-    batch = _batch(spark, sf)
-    dims = stage_dimensions(wh, 1, batch, (0, {}))
-    facts = fact_rows(split_rejects(key_batch(batch, dims))[0]).join(
-        dims["dim_datum"].select("datum_key", "jahr", "monat"), "datum_key"
-    )
-    grain_cols = ["datum_key", "syndrom_key", "altersgruppe_key", "edtype_key"]
-    stored_in = facts.filter(F.col("jahr") < 1999).drop("jahr", "monat")
-    stored = upsert_facts(Warehouse(spark, scratch_path(spark, "facts0")).table("fakt_erkrankungen"), stored_in)
-    blank = (F.col("monat") % 2 == 0)
-    b = facts.filter(F.col("jahr") >= 1998)
-    for mcol in ("relative_cases", "temperature_mean"):
-        b = b.withColumn(mcol, F.when(~blank, F.col(mcol)))
-    new = upsert_facts(stored, b.drop("jahr", "monat"))
-    names = {t: TEXT_DIMENSIONS[t] for t in TEXT_DIMENSIONS}
-    out = new.join(dims["dim_datum"].select("datum_key", F.col("jahr").alias("year"), F.col("monat").alias("month")), "datum_key")
-    for col, t in DIMENSION_OF.items():
-        key, val = names[t]
-        out = out.join(dims[t].select(key, F.col(val).alias(col)), key)
-    return out.drop(*grain_cols, "fakt_key")
+    load(spark, wh, batch.filter(F.col("year") < 1999))
+    even = F.col("month") % 2 == 0
+    second = batch.filter(F.col("year") >= 1998)
+    for c in ("relative_cases_avg", "temperature_mean"):
+        second = second.withColumn(c, F.when(~even, F.col(c)))
+    load(spark, wh, second)
+    batch.unpersist()
+    flat = warehouse_flat_view(wh, register=False)
+    return flat.select("year", "month", "syndrome", "age_group", "ed_type", *FACT_MEASURES)
 
 
 def idempotent_reload(spark, sf):
     """The same load twice, published, read back."""
     wh = Warehouse(spark, scratch_path(spark, "reload"))
-    load(spark, wh, _batch(spark, sf))
-    load(spark, wh, _batch(spark, sf))
+    batch = _batch(spark, sf).persist()
+    load(spark, wh, batch)
+    load(spark, wh, batch)
+    batch.unpersist()
     return warehouse_flat_view(wh, register=False)
 
 

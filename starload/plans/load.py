@@ -155,7 +155,9 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
     """Load one prepared batch into the warehouse and publish it atomically."""
     manifest = wh.manifest()
     version = manifest[0] + 1
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    owned = not batch.is_cached
+    if owned:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dims = stage_dimensions(wh, version, batch, manifest)
         keyed = key_batch(batch, dims).persist(StorageLevel.MEMORY_AND_DISK)
@@ -171,7 +173,8 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
         keyed.unpersist()
         return LoadResult(version, report)
     finally:
-        batch.unpersist()
+        if owned:
+            batch.unpersist()
 
 
 def load_frames(spark: SparkSession, wh: Warehouse, monthly: DataFrame, weather: DataFrame) -> LoadResult:
