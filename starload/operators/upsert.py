@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +25,20 @@ def dimension_values(batch: DataFrame, col: str, out: str) -> DataFrame:
     return batch.select(v.alias(out)).filter(F.col(out).isNotNull()).distinct()
 
 
-def upsert_text_dimension(stored: DataFrame, values: DataFrame, key_col: str, val_col: str) -> DataFrame:
-    """Insert values that are not stored yet; stored keys never change."""
+def _start(stored: DataFrame, key_col: str, start: int | None) -> int:
+    return max_key(stored, key_col) if start is None else start
+
+
+def upsert_text_dimension(
+    stored: DataFrame, values: DataFrame, key_col: str, val_col: str, start: int | None = None
+) -> DataFrame:
+    """Insert values that are not stored yet; stored keys never change.
+
+    ``start`` is the largest stored key when the caller knows it (0 for a
+    table that does not exist yet); otherwise it is read from ``stored``.
+    """
     new = values.select(val_col).join(stored.select(val_col), val_col, "left_anti")
-    keyed = assign_keys(new, [val_col], key_col, start=max_key(stored, key_col))
+    keyed = assign_keys(new, [val_col], key_col, start=_start(stored, key_col, start))
     return stored.select(key_col, val_col).unionByName(keyed.select(key_col, val_col))
 
 
@@ -50,14 +59,14 @@ def date_rows(pairs: DataFrame, year: str = "year", month: str = "month") -> Dat
 _DATE_ATTRS = ("jahr", "monat", "woche", "saison")
 
 
-def upsert_date_dimension(stored: DataFrame, batch_rows: DataFrame) -> DataFrame:
+def upsert_date_dimension(stored: DataFrame, batch_rows: DataFrame, start: int | None = None) -> DataFrame:
     """Update attributes of stored dates, keep their keys, add new dates."""
     b = batch_rows.select("datum", *[F.col(a).alias(f"_b_{a}") for a in _DATE_ATTRS])
     updated = stored.join(b, "datum", "left").select(
         "datum_key", "datum", *[F.coalesce(F.col(f"_b_{a}"), F.col(a)).alias(a) for a in _DATE_ATTRS]
     )
     new = batch_rows.join(stored.select("datum"), "datum", "left_anti")
-    keyed = assign_keys(new, ["datum"], "datum_key", start=max_key(stored, "datum_key"))
+    keyed = assign_keys(new, ["datum"], "datum_key", start=_start(stored, "datum_key", start))
     cols = ["datum_key", "datum", *_DATE_ATTRS]
     return updated.select(*cols).unionByName(keyed.select(*cols))
 
@@ -98,12 +107,15 @@ def upsert_facts(
     grain: Sequence[str] = FACT_GRAIN,
     measures: Sequence[str] = FACT_MEASURES,
     key_col: str = "fakt_key",
+    start: int | None = None,
 ) -> DataFrame:
     """Grain upsert (U3): batch rows overwrite all measures (NULL included),
     new grains get keys, stored rows absent from the batch stay.
 
     One full outer join on the grain decides all three cases; it is the only
-    shuffle of the stored table.
+    shuffle of the stored table. Its result is checkpointed (shared folder,
+    survives executor loss, no cache left behind) because both the matched
+    and the new rows are read from it.
     """
     s = stored.select(key_col, *grain, *[F.col(m).alias(f"_s_{m}") for m in measures])
     b = batch.select(*grain, *measures).withColumn("_in_batch", F.lit(True))
@@ -111,9 +123,9 @@ def upsert_facts(
     pick = [
         F.when(F.col("_in_batch"), F.col(m)).otherwise(F.col(f"_s_{m}")).alias(m) for m in measures
     ]
-    merged = j.select(key_col, *grain, *pick).persist(StorageLevel.MEMORY_AND_DISK)
+    merged = j.select(key_col, *grain, *pick).checkpoint(eager=True)
     known = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
-    keyed = assign_keys(new, list(grain), key_col, start=max_key(stored, key_col))
+    keyed = assign_keys(new, list(grain), key_col, start=_start(stored, key_col, start))
     cols = [key_col, *grain, *measures]
     return known.select(*cols).unionByName(keyed.select(*cols))

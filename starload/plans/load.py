@@ -126,13 +126,17 @@ def stage_dimensions(wh: Warehouse, version: int, batch: DataFrame, manifest) ->
     submitted from parallel driver threads and share the cluster.
     """
 
+    def start(table: str) -> int | None:
+        return None if table in manifest[1] else 0  # a new table starts at key 1
+
     def text_dim(col: str, table: str) -> DataFrame:
         key, val = TEXT_DIMENSIONS[table]
         values = dimension_values(batch, col, val)
-        return wh.stage(version, table, upsert_text_dimension(wh.table(table, manifest), values, key, val))
+        new = upsert_text_dimension(wh.table(table, manifest), values, key, val, start(table))
+        return wh.stage(version, table, new)
 
     def date_dim() -> DataFrame:
-        dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch))
+        dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), start("dim_datum"))
         return wh.stage(version, "dim_datum", dates)
 
     with ThreadPoolExecutor(max_workers=len(DIMENSION_OF) + 1) as pool:
@@ -163,11 +167,20 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
         keyed = key_batch(batch, dims).persist(StorageLevel.MEMORY_AND_DISK)
         ok, _rejected = split_rejects(keyed)
         facts = fact_rows(ok)
-        report = load_report(keyed)
+        fact_start = None if "fakt_erkrankungen" in manifest[1] else 0
+
+        def stage_facts() -> None:
+            new_facts = upsert_facts(wh.table("fakt_erkrankungen", manifest), facts, start=fact_start)
+            wh.stage(version, "fakt_erkrankungen", new_facts)
+
+        # the report (with the grain check) and the fact upsert run side by
+        # side; the version is committed only if both succeed
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            staged_facts = pool.submit(stage_facts)
+            report = load_report(keyed)
+            staged_facts.result()
         if report.pop("n_grains") != report["facts_upserted"]:
             assert_empty(duplicate_keys(facts, FACT_GRAIN), "two batch rows for one fact grain")
-        new_facts = upsert_facts(wh.table("fakt_erkrankungen", manifest), facts)
-        wh.stage(version, "fakt_erkrankungen", new_facts)
         staged = {name: wh.version_path(version, name) for name in [*dims, "fakt_erkrankungen"]}
         wh.commit(version, staged)
         keyed.unpersist()
