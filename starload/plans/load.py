@@ -42,7 +42,7 @@ from starload.operators.upsert import (
     upsert_facts,
     upsert_text_dimension,
 )
-from starload.sources.warehouse import TEXT_DIMENSIONS, Warehouse
+from starload.sources.warehouse import TEXT_DIMENSIONS, Manifest, Warehouse
 
 # batch column -> text dimension table
 DIMENSION_OF = {"syndrome": "dim_syndrom", "age_group": "dim_altersgruppe", "ed_type": "dim_edtype"}
@@ -119,30 +119,33 @@ def load_report(keyed: DataFrame, keys=FACT_GRAIN) -> dict:
     return row.asDict()
 
 
-def stage_dimensions(wh: Warehouse, version: int, batch: DataFrame, manifest) -> dict[str, DataFrame]:
+def stage_dimensions(
+    wh: Warehouse, version: int, batch: DataFrame, manifest: Manifest
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Upsert the four dimensions into ``version`` (U1, U2) and read them back.
 
-    The four upserts are independent, so their (small) Spark jobs are
-    submitted from parallel driver threads and share the cluster.
+    Returns the staged tables and their largest keys. The four upserts are
+    independent, so their (small) Spark jobs are submitted from parallel
+    driver threads and share the cluster.
     """
 
-    def start(table: str) -> int | None:
-        return None if table in manifest[1] else 0  # a new table starts at key 1
-
-    def text_dim(col: str, table: str) -> DataFrame:
+    def text_dim(col: str, table: str):
         key, val = TEXT_DIMENSIONS[table]
         values = dimension_values(batch, col, val)
-        new = upsert_text_dimension(wh.table(table, manifest), values, key, val, start(table))
-        return wh.stage(version, table, new)
+        new = upsert_text_dimension(wh.table(table, manifest), values, key, val, manifest.max_key(table))
+        return wh.stage(version, table, new, key)
 
-    def date_dim() -> DataFrame:
-        dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), start("dim_datum"))
-        return wh.stage(version, "dim_datum", dates)
+    def date_dim():
+        dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), manifest.max_key("dim_datum"))
+        return wh.stage(version, "dim_datum", dates, "datum_key")
 
     with ThreadPoolExecutor(max_workers=len(DIMENSION_OF) + 1) as pool:
         futures = {t: pool.submit(text_dim, c, t) for c, t in DIMENSION_OF.items()}
         futures["dim_datum"] = pool.submit(date_dim)
-        return {t: f.result() for t, f in futures.items()}
+        done = {t: f.result() for t, f in futures.items()}
+    frames = {t: df for t, (df, _) in done.items()}
+    keys = {t: max(manifest.max_key(t), mk or 0) for t, (_, mk) in done.items()}
+    return frames, keys
 
 
 def key_batch(batch: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -155,34 +158,51 @@ def fact_rows(keyed_ok: DataFrame) -> DataFrame:
     return keyed_ok.select(*FACT_GRAIN, *[F.col(FACT_SOURCE[m]).alias(m) for m in FACT_MEASURES])
 
 
+FACT_TABLE = "fakt_erkrankungen"
+FACT_PARTITION = "jahr"
+
+
+def stage_facts(wh: Warehouse, version: int, facts: DataFrame, dim_datum: DataFrame, manifest: Manifest):
+    """Fact upsert (U3) restricted to the years the batch touches.
+
+    Only those year folders of the stored table are read and rewritten; the
+    other years are carried forward by path. Returns (new entries, carried
+    entries, largest key).
+    """
+    years_of = dim_datum.select("datum_key", F.col("jahr").alias(FACT_PARTITION))
+    years = sorted(r[0] for r in facts.join(years_of, "datum_key").select(FACT_PARTITION).distinct().collect())
+    stored = wh.table(FACT_TABLE, manifest, part_values=years)
+    new = upsert_facts(stored, facts, start=manifest.max_key(FACT_TABLE))
+    mk = wh.stage_partitions(version, FACT_TABLE, new.join(years_of, "datum_key"), FACT_PARTITION, "fakt_key")
+    entries = dict(wh.partition_entry(version, FACT_TABLE, FACT_PARTITION, y) for y in years)
+    carried = {k: v for k, v in manifest.partitions(FACT_TABLE).items() if k not in entries}
+    return entries, carried, max(manifest.max_key(FACT_TABLE), mk or 0)
+
+
 def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
     """Load one prepared batch into the warehouse and publish it atomically."""
     manifest = wh.manifest()
-    version = manifest[0] + 1
+    version = manifest.version + 1
     owned = not batch.is_cached
     if owned:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dims = stage_dimensions(wh, version, batch, manifest)
+        dims, max_keys = stage_dimensions(wh, version, batch, manifest)
         keyed = key_batch(batch, dims).persist(StorageLevel.MEMORY_AND_DISK)
         ok, _rejected = split_rejects(keyed)
         facts = fact_rows(ok)
-        fact_start = None if "fakt_erkrankungen" in manifest[1] else 0
-
-        def stage_facts() -> None:
-            new_facts = upsert_facts(wh.table("fakt_erkrankungen", manifest), facts, start=fact_start)
-            wh.stage(version, "fakt_erkrankungen", new_facts)
-
         # the report (with the grain check) and the fact upsert run side by
         # side; the version is committed only if both succeed
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            staged_facts = pool.submit(stage_facts)
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            staged_facts = pool.submit(stage_facts, wh, version, facts, dims["dim_datum"], manifest)
             report = load_report(keyed)
-            staged_facts.result()
+            entries, carried, fact_max = staged_facts.result()
         if report.pop("n_grains") != report["facts_upserted"]:
             assert_empty(duplicate_keys(facts, FACT_GRAIN), "two batch rows for one fact grain")
-        staged = {name: wh.version_path(version, name) for name in [*dims, "fakt_erkrankungen"]}
-        wh.commit(version, staged)
+        staged = {name: wh.version_path(version, name) for name in dims}
+        staged.update(entries)
+        max_keys[FACT_TABLE] = fact_max
+        wh.commit(version, staged, carried, max_keys)
         keyed.unpersist()
         return LoadResult(version, report)
     finally:

@@ -6,16 +6,21 @@ version folder ``v<n>/<table>`` beside the current one (Spark never
 overwrites a path it is reading) and then writes a one-row commit record
 ``_commits/commit-<n>``. Readers take the highest committed version, so a
 load that fails half-way leaves nothing visible; its orphan folder is
-overwritten by the next attempt. Tables a load does not touch are carried
-forward by path in the commit record, not copied.
+overwritten by the next attempt. The fact table is partitioned by year: a
+load rewrites only the years its batch touches and carries the other year
+folders forward by path in the commit record, without reading or copying
+them.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: warehouse table layouts -----------------------------------
@@ -38,7 +43,50 @@ TEXT_DIMENSIONS = {
     "dim_edtype": ("edtype_key", "typ"),
 }
 
-_COMMIT_SCHEMA = "version long, tables map<string,string>"
+_COMMIT_SCHEMA = "version long, tables map<string,string>, max_keys map<string,long>"
+
+
+def _surely_absent(path: str) -> bool:
+    """True only for a local path that does not exist (other file systems: unknown).
+
+    Avoids a failing read for a warehouse that has no commit yet.
+    """
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    elif "://" in path or ":" in path.split("/")[0]:
+        return False
+    return not os.path.exists(path)
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """One committed version: table (or table partition) paths and the largest
+    surrogate key of every table, recorded at commit so no load has to scan a
+    table for it."""
+
+    version: int = 0
+    tables: Mapping[str, str] = field(default_factory=dict)
+    max_keys: Mapping[str, int] = field(default_factory=dict)
+
+    def paths(self, name: str, part_values=None) -> list[str]:
+        """Paths of a table; a partitioned table is listed as ``name/col=value`` entries."""
+        if name in self.tables:
+            return [self.tables[name]]
+        out = []
+        for k, v in sorted(self.tables.items()):
+            if k.startswith(name + "/"):
+                if part_values is None or k.split("=", 1)[1] in {str(x) for x in part_values}:
+                    out.append(v)
+        return out
+
+    def partitions(self, name: str) -> dict[str, str]:
+        return {k: v for k, v in self.tables.items() if k.startswith(name + "/")}
+
+    def has(self, name: str) -> bool:
+        return bool(self.paths(name))
+
+    def max_key(self, name: str) -> int:
+        return int(self.max_keys.get(name, 0))
 
 
 class Warehouse:
@@ -50,6 +98,8 @@ class Warehouse:
 
     # -- reading -------------------------------------------------------------
     def _commits(self) -> DataFrame | None:
+        if _surely_absent(f"{self.root}/_commits"):
+            return None
         try:
             return self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.root}/_commits/commit-*")
         except Exception as e:
@@ -57,24 +107,29 @@ class Warehouse:
                 return None
             raise
 
-    def manifest(self) -> tuple[int, dict[str, str]]:
-        """(current version, table paths); version 0 when nothing is published."""
+    def manifest(self) -> Manifest:
+        """The current version; version 0 (no tables) when nothing is published."""
         commits = self._commits()
         if commits is None:
-            return 0, {}
-        row = commits.orderBy(F.col("version").desc()).select("version", "tables").first()
+            return Manifest()
+        row = commits.orderBy(F.col("version").desc()).first()
         if row is None:
-            return 0, {}
-        return int(row["version"]), dict(row["tables"] or {})
+            return Manifest()
+        return Manifest(int(row["version"]), dict(row["tables"] or {}), dict(row["max_keys"] or {}))
 
     def current_version(self) -> int:
-        return self.manifest()[0]
-
-    def table(self, name: str, manifest: tuple[int, dict[str, str]] | None = None) -> DataFrame:
-        """Stored table of the current version; empty with the fixed schema if absent."""
-        _, paths = manifest if manifest is not None else self.manifest()
-        if name in paths:
-            return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(paths[name])
+        return self.manifest().version
+
+    def table(self, name: str, manifest: Manifest | None = None, part_values=None) -> DataFrame:
+        """Stored table of the current version; empty with the fixed schema if absent.
+
+        For a partitioned table ``part_values`` selects partitions by path, so
+        the other partitions are never listed or scanned.
+        """
+        man = manifest if manifest is not None else self.manifest()
+        paths = man.paths(name, part_values)
+        if paths:
+            return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(*paths)
         return self.spark.createDataFrame([], TABLE_SCHEMAS[name])
 
     def dimension_map(self, name: str, manifest=None) -> DataFrame:
@@ -90,23 +145,56 @@ class Warehouse:
     def version_path(self, version: int, name: str) -> str:
         return f"{self.root}/v{version:08d}/{name}"
 
-    def stage(self, version: int, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Write one table of an unpublished version and return it read back."""
-        path = self.version_path(version, name)
-        w = df.select(*[c.split()[0] for c in TABLE_SCHEMAS[name].split(", ")]).write.mode("overwrite")
+    @staticmethod
+    def _columns(name: str) -> list[str]:
+        return [c.split()[0] for c in TABLE_SCHEMAS[name].split(", ")]
+
+    def _write(self, df: DataFrame, path: str, key_col: str | None, partition_by: str | None) -> int | None:
+        """Write; the largest key is observed during the write (no extra job)."""
+        obs = None
+        if key_col:
+            obs = Observation(f"max-key-{uuid.uuid4().hex}")
+            df = df.observe(obs, F.max(key_col).alias("max_key"))
+        w = df.write.mode("overwrite")
         if partition_by:
-            w = w.partitionBy(*partition_by)
+            w = w.partitionBy(partition_by)
         w.parquet(path)
-        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
+        if obs is None:
+            return None
+        v = obs.get.get("max_key")
+        return int(v) if v is not None else None
 
-    def commit(self, version: int, staged: Mapping[str, str], carried: Mapping[str, str] | None = None) -> int:
+    def stage(self, version: int, name: str, df: DataFrame, key_col: str | None = None) -> tuple[DataFrame, int | None]:
+        """Write one table of an unpublished version; return it read back and its largest key."""
+        path = self.version_path(version, name)
+        mk = self._write(df.select(*self._columns(name)), path, key_col, None)
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(path), mk
+
+    def stage_partitions(
+        self, version: int, name: str, df: DataFrame, part_col: str, key_col: str | None = None
+    ) -> int | None:
+        """Write the given rows partitioned by ``part_col`` (only the partitions present)."""
+        path = self.version_path(version, name)
+        return self._write(df.select(*self._columns(name), part_col), path, key_col, part_col)
+
+    def partition_entry(self, version: int, name: str, part_col: str, value) -> tuple[str, str]:
+        return f"{name}/{part_col}={value}", f"{self.version_path(version, name)}/{part_col}={value}"
+
+    def commit(
+        self,
+        version: int,
+        staged: Mapping[str, str],
+        carried: Mapping[str, str] | None = None,
+        max_keys: Mapping[str, int] | None = None,
+    ) -> int:
         """Publish a version: one small commit record written last."""
         tables = dict(carried or {})
         tables.update(staged)
-        rec = self.spark.createDataFrame([(version, tables)], _COMMIT_SCHEMA)
+        keys = {k: int(v) for k, v in (max_keys or {}).items()}
+        rec = self.spark.createDataFrame([(version, tables, keys)], _COMMIT_SCHEMA)
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/commit-{version:08d}")
         return version
 
     def describe(self) -> str:
-        v, paths = self.manifest()
-        return json.dumps({"version": v, "tables": paths}, sort_keys=True)
+        m = self.manifest()
+        return json.dumps({"version": m.version, "tables": dict(m.tables), "max_keys": dict(m.max_keys)}, sort_keys=True)

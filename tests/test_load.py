@@ -136,3 +136,16 @@ def test_ranged_keys_equal_window_keys(spark, values, start):
     expect = [(v, start + i + 1) for i, v in enumerate(sorted(values, key=lambda s: s.encode("utf-8")))]
     assert rows(small, "v", "k") == sorted(expect)
     assert rows(ranged, "v", "k") == sorted(expect)
+
+
+def test_untouched_years_are_carried_forward(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
+    load_frames(spark, wh, monthly(spark, [(2024, 3, "S3", "00+", "all", 1.0)]), weather(spark, []))
+    man = wh.manifest()
+    parts = man.partitions("fakt_erkrankungen")
+    assert sorted(parts) == ["fakt_erkrankungen/jahr=2023", "fakt_erkrankungen/jahr=2024"]
+    assert "/v00000001/" in parts["fakt_erkrankungen/jahr=2023"]
+    assert "/v00000002/" in parts["fakt_erkrankungen/jahr=2024"]
+    assert man.max_key("fakt_erkrankungen") == 5 and man.max_key("dim_syndrom") == 3
+    assert len(facts(wh)) == 5
