@@ -362,9 +362,16 @@ def union_series(spark, sf):
 
 # -------------------------------------------------------------- upserts --
 def surrogate_keys(spark, sf):
-    """U4: dense keys in name order by the partitioned method."""
+    """U4: dense keys in name order by the partitioned method (range
+    partitions, per-partition counts, broadcast offsets)."""
     c = table(spark, sf, "customer").select("c_name")
-    return assign_keys(c, ["c_name"], "customer_key")
+    return assign_keys(c, ["c_name"], "customer_key", small_rows=0)
+
+
+def surrogate_keys_grain(spark, sf):
+    """U4 on a composite grain: every distinct (order, line) pair of lineitem."""
+    g = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    return assign_keys(g, ["l_orderkey", "l_linenumber"], "line_key", small_rows=0)
 
 
 def upsert_dim_text(spark, sf):
@@ -524,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "head_n": head_n,
     "union_series": union_series,
     "surrogate_keys": surrogate_keys,
+    "surrogate_keys_grain": surrogate_keys_grain,
     "upsert_dim_text": upsert_dim_text,
     "upsert_date_dim": upsert_date_dim,
     "upsert_fact": upsert_fact,
@@ -633,6 +641,9 @@ FROM flat GROUP BY 1, 2""",
     "head_n": "WITH " + O.SERIES.lstrip() + "\nSELECT * FROM series ORDER BY year, month LIMIT 5",
     "union_series": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
     "surrogate_keys": "SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) AS BIGINT) AS customer_key FROM customer",
+    "surrogate_keys_grain": """
+SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS line_key
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "upsert_dim_text": """
 WITH b AS (SELECT DISTINCT p_brand FROM part),
 ev AS (SELECT p_brand FROM b WHERE CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) % 2 = 0),
