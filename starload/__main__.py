@@ -1,4 +1,4 @@
-"""Command line: ``python -m starload refresh --daily ... --dwd ... --warehouse ...``.
+"""Command line: ``python -m starload refresh --daily ... --series ... --warehouse ...``.
 
 ``transform`` writes the processed CSV files, ``load`` loads them, ``refresh``
 does both in one plan, ``report`` prints the published version and the BI
@@ -20,20 +20,20 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starload")
     ap.add_argument("command", choices=["transform", "load", "refresh", "report"])
     ap.add_argument("--daily", help="daily tab-separated series (file, folder or glob)")
-    ap.add_argument("--dwd", help="root of the monthly series folders")
+    ap.add_argument("--series", help="root of the monthly series folders")
     ap.add_argument("--processed", help="folder for the processed CSV hand-over")
     ap.add_argument("--warehouse", help="warehouse root folder")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     a = ap.parse_args(argv)
     spark = build_session(master=a.master) if a.master else build_session()
     if a.command == "transform":
-        transform_daily(spark, a.daily, f"{a.processed}/aktin_monthly")
-        transform_weather(spark, weather_globs(a.dwd), f"{a.processed}/weather_monthly_de")
+        transform_daily(spark, a.daily, f"{a.processed}/monthly_facts")
+        transform_weather(spark, weather_globs(a.series), f"{a.processed}/monthly_weather")
     elif a.command == "load":
-        res = load_processed(spark, f"{a.processed}/aktin_monthly", f"{a.processed}/weather_monthly_de", a.warehouse)
+        res = load_processed(spark, f"{a.processed}/monthly_facts", f"{a.processed}/monthly_weather", a.warehouse)
         print(json.dumps({"version": res.version, **res.report}))
     elif a.command == "refresh":
-        res = refresh(spark, a.daily, weather_globs(a.dwd), a.warehouse)
+        res = refresh(spark, a.daily, weather_globs(a.series), a.warehouse)
         print(json.dumps({"version": res.version, **res.report}))
     else:
         wh = Warehouse(spark, a.warehouse)

@@ -104,7 +104,7 @@ def csv_roundtrip(spark, sf):
     types.update(year="int", month="int")
     for c in MONTHLY_COLUMNS[5:]:
         types[c] = "double"
-    return read_csv_typed(spark, path, types, "aktin_monthly.csv")
+    return read_csv_typed(spark, path, types, "monthly facts csv")
 
 
 def star_bootstrap(spark, sf):

@@ -32,8 +32,8 @@ SERIES_FOLDERS = {
 }
 
 
-def weather_globs(raw_dwd_root: str, folders: Mapping[str, str] = SERIES_FOLDERS) -> dict[str, str]:
-    root = raw_dwd_root.rstrip("/")
+def weather_globs(series_root: str, folders: Mapping[str, str] = SERIES_FOLDERS) -> dict[str, str]:
+    root = series_root.rstrip("/")
     return {v: f"{root}/{folders[v]}/{SERIES_GLOBS[v]}" for v in SERIES_GLOBS}
 
 
@@ -57,8 +57,8 @@ def read_processed(spark: SparkSession, monthly_csv: str, weather_csv: str) -> t
     w_types = {c: "double" for c in WEATHER_COLUMNS}
     w_types.update(year="int", month="int")
     return (
-        read_csv_typed(spark, monthly_csv, m_types, "aktin_monthly.csv"),
-        read_csv_typed(spark, weather_csv, w_types, "weather_monthly_de.csv"),
+        read_csv_typed(spark, monthly_csv, m_types, "monthly facts csv"),
+        read_csv_typed(spark, weather_csv, w_types, "monthly weather csv"),
     )
 
 

@@ -6,13 +6,13 @@ from tests.test_sources import DAILY, write
 
 
 def landing(tmp_path):
-    write(str(tmp_path / "raw" / "aktin" / "series.tsv"), DAILY)
+    write(str(tmp_path / "raw" / "daily" / "series.tsv"), DAILY)
     for folder, code, vals in (("air_temperature_mean", "tm", ("-1,5", "2,0")), ("precipitation", "rr", ("50", "60")),
                                ("sunshine_duration", "sd", ("40", "70"))):
         for m, v in zip((1, 2), vals):
-            write(str(tmp_path / "raw" / "dwd" / folder / f"regional_averages_{code}_{m:02d}.txt"),
+            write(str(tmp_path / "raw" / "series" / folder / f"regional_averages_{code}_{m:02d}.txt"),
                   f"preamble\nJahr;Monat;Deutschland;\n2023;{m:02d};{v};\n")
-    return str(tmp_path / "raw" / "aktin"), weather_globs(str(tmp_path / "raw" / "dwd"))
+    return str(tmp_path / "raw" / "daily"), weather_globs(str(tmp_path / "raw" / "series"))
 
 
 EXPECTED = [(2023, 1, "S1", 3.0, -1.5, 50.0), (2023, 2, "S1", None, 2.0, 60.0)]
@@ -21,9 +21,9 @@ EXPECTED = [(2023, 1, "S1", 3.0, -1.5, 50.0), (2023, 2, "S1", None, 2.0, 60.0)]
 def test_csv_handover_equals_direct_refresh(spark, tmp_path):
     daily, globs = landing(tmp_path)
     proc = tmp_path / "processed"
-    transform_daily(spark, daily, str(proc / "aktin_monthly"))
-    transform_weather(spark, globs, str(proc / "weather_monthly_de"))
-    r1 = load_processed(spark, str(proc / "aktin_monthly"), str(proc / "weather_monthly_de"), str(tmp_path / "wh1"))
+    transform_daily(spark, daily, str(proc / "monthly_facts"))
+    transform_weather(spark, globs, str(proc / "monthly_weather"))
+    r1 = load_processed(spark, str(proc / "monthly_facts"), str(proc / "monthly_weather"), str(tmp_path / "wh1"))
     r2 = refresh(spark, daily, globs, str(tmp_path / "wh2"))
     assert r1.report == r2.report
     from starload.sources.warehouse import Warehouse
@@ -39,6 +39,6 @@ def test_refresh_on_arrival_runs_once_per_new_files(spark, tmp_path):
     first = refresh_on_arrival(spark, daily, globs, str(tmp_path / "wh"), checkpoint=ck)
     assert [r["version"] for r in first] == [1]
     assert refresh_on_arrival(spark, daily, globs, str(tmp_path / "wh"), checkpoint=ck) == []
-    write(str(tmp_path / "raw" / "aktin" / "more.tsv"), DAILY.replace("2023-", "2024-"))
+    write(str(tmp_path / "raw" / "daily" / "more.tsv"), DAILY.replace("2023-", "2024-"))
     third = refresh_on_arrival(spark, daily, globs, str(tmp_path / "wh"), checkpoint=ck)
     assert [r["version"] for r in third] == [2]
