@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starload.functions import dimension_text, iso_week, month_start, season_of_month
 from starload.functions.patterns import FACT_GRAIN, FACT_MEASURES
-from starload.operators.keys import assign_keys, max_key
+from starload.operators.keys import SMALL_ROWS, assign_keys, max_key
 
 
 def dimension_values(batch: DataFrame, col: str, out: str) -> DataFrame:
@@ -42,6 +42,47 @@ def upsert_text_dimension(
     return stored.select(key_col, val_col).unionByName(keyed.select(key_col, val_col))
 
 
+def text_dimension_rows(
+    batch: DataFrame,
+    spec: Mapping[str, tuple[str, str, str]],
+    stored: Mapping[str, DataFrame],
+    starts: Mapping[str, int],
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame | None:
+    """U1 for several text dimensions in one plan: ``dim, key, value`` rows.
+
+    ``spec`` maps a batch column to (dimension, key column, value column).
+    The cleaned values of all columns are tagged with their dimension and
+    de-duplicated in one shuffle, new values are found with one anti join
+    against all stored values, and new keys are numbered per dimension from
+    ``starts``. One ordered task per dimension is used only when a bounded
+    count proves the new values small; otherwise ``None`` is returned and the
+    caller allocates per dimension with ``upsert_text_dimension`` (partitioned
+    key allocation).
+    """
+    tagged = F.array(
+        *[F.struct(F.lit(d).alias("dim"), dimension_text(c).alias("value")) for c, (d, _, _) in spec.items()]
+    )
+    values = batch.select(F.explode(tagged).alias("t")).select("t.*").filter(F.col("value").isNotNull()).distinct()
+    known = None
+    for d, key, val in spec.values():
+        part = stored[d].select(F.lit(d).alias("dim"), F.col(key).cast("long").alias("key"), F.col(val).alias("value"))
+        known = part if known is None else known.unionByName(part)
+    new = values.join(known.select("dim", "value"), ["dim", "value"], "left_anti")
+    if not small_rows or new.limit(small_rows + 1).count() > small_rows:
+        return None
+    pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0))))]
+    start = F.element_at(F.create_map(*pairs), F.col("dim"))
+    w = Window.partitionBy("dim").orderBy("value")
+    keyed = new.select("dim", (start + F.row_number().over(w)).cast("long").alias("key"), "value")
+    return known.unionByName(keyed)
+
+
+def dimension_from_rows(rows: DataFrame, dim: str, key_col: str, val_col: str) -> DataFrame:
+    """One dimension's (key, value) columns out of ``text_dimension_rows``."""
+    return rows.filter(F.col("dim") == dim).select(F.col("key").alias(key_col), F.col("value").alias(val_col))
+
+
 def date_rows(pairs: DataFrame, year: str = "year", month: str = "month") -> DataFrame:
     """One date-dimension row per distinct complete (year, month)."""
     ym = pairs.select(F.col(year).cast("int").alias("jahr"), F.col(month).cast("int").alias("monat"))

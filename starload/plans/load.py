@@ -35,6 +35,8 @@ from starload.functions.patterns import (
 from starload.operators.quality import assert_empty, duplicate_keys, require_columns
 from starload.operators.upsert import (
     date_rows,
+    dimension_from_rows,
+    text_dimension_rows,
     dimension_values,
     resolve_keys,
     split_rejects,
@@ -124,25 +126,41 @@ def stage_dimensions(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Upsert the four dimensions into ``version`` (U1, U2) and read them back.
 
-    Returns the staged tables and their largest keys. The four upserts are
-    independent, so their (small) Spark jobs are submitted from parallel
-    driver threads and share the cluster.
+    Returns the staged tables and their largest keys. The three text
+    dimensions share one plan (one shuffle for their values); it and the
+    date dimension are independent, so their small Spark jobs are submitted
+    from two driver threads and share the cluster.
     """
 
-    def text_dim(col: str, table: str):
-        key, val = TEXT_DIMENSIONS[table]
-        values = dimension_values(batch, col, val)
-        new = upsert_text_dimension(wh.table(table, manifest), values, key, val, manifest.max_key(table))
-        return wh.stage(version, table, new, key)
+    def text_dims():
+        spec = {c: (t, *TEXT_DIMENSIONS[t]) for c, t in DIMENSION_OF.items()}
+        stored = {t: wh.table(t, manifest) for t in DIMENSION_OF.values()}
+        starts = {t: manifest.max_key(t) for t in DIMENSION_OF.values()}
+        rows = text_dimension_rows(batch, spec, stored, starts)
+        out = {}
+        if rows is None:  # many new values: partitioned key allocation per dimension
+            for col, (t, key, val) in spec.items():
+                values = dimension_values(batch, col, val)
+                new = upsert_text_dimension(stored[t], values, key, val, starts[t])
+                out[t] = wh.stage(version, t, new, key)
+            return out
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for t, key, val in spec.values():
+                out[t] = wh.stage(version, t, dimension_from_rows(rows, t, key, val), key)
+        finally:
+            rows.unpersist()
+        return out
 
     def date_dim():
         dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), manifest.max_key("dim_datum"))
         return wh.stage(version, "dim_datum", dates, "datum_key")
 
-    with ThreadPoolExecutor(max_workers=len(DIMENSION_OF) + 1) as pool:
-        futures = {t: pool.submit(text_dim, c, t) for c, t in DIMENSION_OF.items()}
-        futures["dim_datum"] = pool.submit(date_dim)
-        done = {t: f.result() for t, f in futures.items()}
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        text_future = pool.submit(text_dims)
+        date_future = pool.submit(date_dim)
+        done = dict(text_future.result())
+        done["dim_datum"] = date_future.result()
     frames = {t: df for t, (df, _) in done.items()}
     keys = {t: max(manifest.max_key(t), mk or 0) for t, (_, mk) in done.items()}
     return frames, keys

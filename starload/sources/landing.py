@@ -44,7 +44,9 @@ def landing_manifest(
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
     )
     # 12 months per variable: a fixed, tiny grid (variables x 12 rows).
-    grid = spark.createDataFrame([(v, m) for v in globs for m in range(1, 13)], "variable string, month int")
+    grid = spark.range(1).select(
+        F.explode(F.array(*[F.lit(v) for v in globs])).alias("variable"),
+    ).select("variable", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     return grid.join(found, ["variable", "month"], "left").select(
         "variable",
         "month",

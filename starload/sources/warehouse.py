@@ -46,6 +46,16 @@ TEXT_DIMENSIONS = {
 _COMMIT_SCHEMA = "version long, tables map<string,string>, max_keys map<string,long>"
 
 
+def _literal_map(d: Mapping, value_type: str):
+    """A map literal built by Spark expressions (no Python worker involved)."""
+    if not d:
+        return F.create_map().cast(f"map<string,{value_type}>")
+    items = sorted(d.items())
+    return F.map_from_arrays(
+        F.array(*[F.lit(k) for k, _ in items]), F.array(*[F.lit(v).cast(value_type) for _, v in items])
+    )
+
+
 def _surely_absent(path: str) -> bool:
     """True only for a local path that does not exist (other file systems: unknown).
 
@@ -191,7 +201,11 @@ class Warehouse:
         tables = dict(carried or {})
         tables.update(staged)
         keys = {k: int(v) for k, v in (max_keys or {}).items()}
-        rec = self.spark.createDataFrame([(version, tables, keys)], _COMMIT_SCHEMA)
+        rec = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            _literal_map(tables, "string").alias("tables"),
+            _literal_map(keys, "long").alias("max_keys"),
+        )
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/commit-{version:08d}")
         return version
 
