@@ -146,8 +146,10 @@ def stage_dimensions(
             return out
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for t, key, val in spec.values():
-                out[t] = wh.stage(version, t, dimension_from_rows(rows, t, key, val), key)
+            with ThreadPoolExecutor(max_workers=len(spec)) as writers:
+                futs = {t: writers.submit(wh.stage, version, t, dimension_from_rows(rows, t, key, val), key)
+                        for t, key, val in spec.values()}
+                out = {t: f.result() for t, f in futs.items()}
         finally:
             rows.unpersist()
         return out
