@@ -41,7 +41,14 @@ from starload.operators.upsert import (
 )
 from starload.plans import oracle_sql as O
 from starload.plans.load import key_batch, load, prepare_batch, stage_dimensions
-from starload.plans.marts import DEFAULT_CLASSES, class_average, head_rows, seasonality, warehouse_flat_view
+from starload.plans.marts import (
+    DEFAULT_CLASSES,
+    class_average,
+    head_rows,
+    seasonality,
+    warehouse_checks,
+    warehouse_flat_view,
+)
 from starload.plans.roles import (
     daily_from_tables,
     series_from_tables,
@@ -500,6 +507,11 @@ def dq_month_constant(spark, sf):
     return not_constant_within(b, ["year", "month"], list(WEATHER_MEASURES))
 
 
+def dq_star_integrity(spark, sf):
+    """V5-V8 over the published star: violation counts per rule."""
+    return warehouse_checks(_loaded(spark, sf, "integrity"))
+
+
 QUERIES: dict[str, Query] = {
     "src_tsv": src_tsv,
     "src_preamble_glob": src_preamble_glob,
@@ -545,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "dq_null_profile": dq_null_profile,
     "dq_percent_range": dq_percent_range,
     "dq_month_constant": dq_month_constant,
+    "dq_star_integrity": dq_star_integrity,
 }
 
 
@@ -691,4 +704,25 @@ SELECT year, month, count(DISTINCT (temperature_mean,
        CASE WHEN year = 1997 AND month = 5 AND age_group = 'A' THEN precipitation + 1 ELSE precipitation END,
        sunshine_duration)) AS n_values
 FROM merged GROUP BY 1, 2 HAVING n_values > 1""",
+    "dq_star_integrity": """
+SELECT rule, subject, CAST(0 AS BIGINT) AS violations FROM (VALUES
+('unique', 'dim_datum.datum_key'),
+('unique', 'dim_datum.datum'),
+('foreign_key', 'dim_datum.datum_key'),
+('unique', 'dim_syndrom.syndrom_key'),
+('unique', 'dim_syndrom.bezeichnung'),
+('foreign_key', 'dim_syndrom.syndrom_key'),
+('unique', 'dim_altersgruppe.altersgruppe_key'),
+('unique', 'dim_altersgruppe.altersgruppe'),
+('foreign_key', 'dim_altersgruppe.altersgruppe_key'),
+('unique', 'dim_edtype.edtype_key'),
+('unique', 'dim_edtype.typ'),
+('foreign_key', 'dim_edtype.edtype_key'),
+('unique', 'fact.datum_key+syndrom_key+altersgruppe_key+edtype_key'),
+('not_null', 'fact.datum_key'),
+('not_null', 'fact.syndrom_key'),
+('not_null', 'fact.altersgruppe_key'),
+('not_null', 'fact.edtype_key'),
+('percent_range', 'fact.relative_cases'),
+('percent_range', 'fact.relative_cases_7day_ma')) t(rule, subject)""",
 }

@@ -124,3 +124,20 @@ def class_average(
 def head_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """First n rows by order (O4); planned as a top-n per task, not a full sort."""
     return df.orderBy(*order).limit(n)
+
+
+def warehouse_checks(wh: Warehouse) -> DataFrame:
+    """Integrity rules of the published star (V5-V8), one row per rule."""
+    from starload.operators.quality import star_checks
+
+    man = wh.manifest()
+    dims = {
+        "dim_datum": (wh.table("dim_datum", man), "datum_key", ("datum",)),
+        "dim_syndrom": (wh.table("dim_syndrom", man), "syndrom_key", ("bezeichnung",)),
+        "dim_altersgruppe": (wh.table("dim_altersgruppe", man), "altersgruppe_key", ("altersgruppe",)),
+        "dim_edtype": (wh.table("dim_edtype", man), "edtype_key", ("typ",)),
+    }
+    grain = ("datum_key", "syndrom_key", "altersgruppe_key", "edtype_key")
+    return star_checks(
+        wh.table("fakt_erkrankungen", man), dims, grain, percent_cols=("relative_cases", "relative_cases_7day_ma")
+    )

@@ -40,7 +40,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; set one only where none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: use the configured folder
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must be set for a remote session") from None
+        return conf_dir
     d = sc.getCheckpointDir()
     if d:
         return d

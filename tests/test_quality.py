@@ -59,3 +59,27 @@ def test_series_parse_is_narrow(spark):
     p = parse_series(files, "v")
     assert "Exchange" not in plan_text(p, "simple")
     assert rows(p, "year", "month", "v") == [(2000, 1, 1.5)]
+
+
+def test_star_checks_counts_each_rule(spark):
+    from starload.operators.quality import star_checks
+
+    fact = spark.createDataFrame(
+        [(1, 1, 50.0), (1, 1, 150.0), (2, 9, 10.0), (None, 1, -1.0)], "a_key long, b_key long, pct double"
+    )
+    dim_a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "a_key long, a string")
+    dim_b = spark.createDataFrame([(1, "p"), (3, "p")], "b_key long, b string")
+    out = star_checks(fact, {"A": (dim_a, "a_key", ("a",)), "B": (dim_b, "b_key", ("b",))}, ("a_key", "b_key"), ("pct",))
+    got = {(r["rule"], r["subject"]): r["violations"] for r in out.collect()}
+    assert got == {
+        ("unique", "A.a_key"): 1,
+        ("unique", "A.a"): 1,
+        ("unique", "B.b_key"): 0,
+        ("unique", "B.b"): 1,
+        ("unique", "fact.a_key+b_key"): 1,
+        ("foreign_key", "A.a_key"): 0,
+        ("foreign_key", "B.b_key"): 1,
+        ("not_null", "fact.a_key"): 1,
+        ("not_null", "fact.b_key"): 0,
+        ("percent_range", "fact.pct"): 2,
+    }
