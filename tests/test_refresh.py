@@ -42,3 +42,18 @@ def test_refresh_on_arrival_runs_once_per_new_files(spark, tmp_path):
     write(str(tmp_path / "raw" / "daily" / "more.tsv"), DAILY.replace("2023-", "2024-"))
     third = refresh_on_arrival(spark, daily, globs, str(tmp_path / "wh"), checkpoint=ck)
     assert [r["version"] for r in third] == [2]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from starload.__main__ import main
+
+    daily, _ = landing(tmp_path)
+    series_root = str(tmp_path / "raw" / "series")
+    main(["refresh", "--daily", daily, "--series", series_root, "--warehouse", str(tmp_path / "wh")])
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    assert json.loads(out)["version"] == 1 and json.loads(out)["facts_upserted"] == 2
+    main(["report", "--warehouse", str(tmp_path / "wh")])
+    text = capsys.readouterr().out
+    assert '"version": 1' in text and "Winter" in text
