@@ -46,6 +46,13 @@ TEXT_DIMENSIONS = {
 _COMMIT_SCHEMA = "version long, tables map<string,string>, max_keys map<string,long>"
 
 
+def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
+    """An empty table with a fixed schema that the optimizer knows is empty,
+    so joins and unions with it are simplified away at planning time."""
+    cols = [c.split(" ", 1) for c in ddl.split(", ")]
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in cols])
+
+
 def _literal_map(d: Mapping, value_type: str):
     """A map literal built by Spark expressions (no Python worker involved)."""
     if not d:
@@ -140,7 +147,7 @@ class Warehouse:
         paths = man.paths(name, part_values)
         if paths:
             return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(*paths)
-        return self.spark.createDataFrame([], TABLE_SCHEMAS[name])
+        return empty_table(self.spark, TABLE_SCHEMAS[name])
 
     def dimension_map(self, name: str, manifest=None) -> DataFrame:
         """(key, value) pairs of a text dimension."""
