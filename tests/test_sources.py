@@ -123,3 +123,14 @@ def test_landing_manifest(spark, tmp_path):
     assert got[("temperature_mean", 5)] == (1, 5)
     assert got[("temperature_mean", 3)] == (0, 0)
     assert got[("precipitation", 1)] == (0, 0)
+
+
+def test_landing_manifest_reads_no_file_content(spark, tmp_path):
+    from tests.conftest import plan_text
+
+    d = tmp_path / "land2"
+    write(str(d / "regional_averages_rr_01.txt"), "x")
+    out = landing_manifest(spark, {"precipitation": str(d / "*.txt")})
+    text = plan_text(out, "simple")
+    assert "binaryFile" in text or "BinaryFile" in text
+    assert "content" not in text.split("ReadSchema:")[1].split("\n")[0]
