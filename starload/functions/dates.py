@@ -21,8 +21,15 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_date(c: Column | str) -> Column:
-    """Text to date (C8). Under ANSI mode bad text raises; NULL stays NULL."""
-    return F.to_date(_col(c))
+    """Text to date (C8): bad text is an error, NULL stays NULL.
+
+    The error does not depend on the session's ANSI setting: text that does
+    not parse raises explicitly.
+    """
+    c = _col(c)
+    d = F.try_to_date(c)
+    err = F.raise_error(F.concat(F.lit("cannot parse date: "), c)).cast("date")
+    return F.when(c.isNotNull() & d.isNull(), err).otherwise(d)
 
 
 def year_of(c: Column | str) -> Column:
@@ -47,8 +54,10 @@ def season_of_month(m: Column | str) -> Column:
 
 
 def month_start(year: Column | str, month: Column | str) -> Column:
-    """First day of the month (C13); an invalid month raises under ANSI."""
-    return F.make_date(_col(year), _col(month), F.lit(1))
+    """First day of the month (C13); a month outside 1..12 is an error."""
+    y, m = _col(year), _col(month)
+    err = F.raise_error(F.concat(F.lit("month must be in 1..12: "), m.cast("string"))).cast("date")
+    return F.when(m.isNotNull() & ~m.between(1, 12), err).otherwise(F.make_date(y, m, F.lit(1)))
 
 
 def iso_week(c: Column | str) -> Column:

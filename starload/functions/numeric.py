@@ -41,7 +41,7 @@ def to_int_key(c: Column | str, what: str = "value") -> Column:
     conversion of the source raises there.
     """
     d = to_double(c)
-    bad = (F.abs(d) == F.lit(_INF)) | (d != F.floor(d))
+    bad = (F.abs(d) == F.lit(_INF)) | (d != F.floor(d)) | (F.abs(d) > F.lit(2147483647.0))
     err = F.raise_error(F.concat(F.lit(f"cannot convert {what} to integer: "), _col(c).cast("string")))
     return F.when(d.isNull(), F.lit(None).cast("int")).when(bad, err.cast("int")).otherwise(d.cast("int"))
 

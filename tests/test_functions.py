@@ -113,3 +113,20 @@ def test_no_python_in_expressions(spark):
     plan = df.select(to_double(decimal_comma("v")), to_int_key("v"), season_of_month("m"), dimension_text("v"))
     text = plan_text(plan)
     assert "EvalPython" not in text and "PythonUDF" not in text and F is not None
+
+
+def test_errors_do_not_depend_on_ansi_mode(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        from starload.functions import parse_date
+
+        with pytest.raises(PySparkException):
+            one(spark, parse_date("v"), "2023-13-45")
+        with pytest.raises(PySparkException):
+            one(spark, month_start(F.lit(2021), "v"), 13, "int")
+        with pytest.raises(PySparkException):
+            one(spark, to_int_key("v"), "3e9")
+        assert one(spark, parse_date("v"), None) is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
