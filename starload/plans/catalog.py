@@ -53,6 +53,7 @@ from starload.plans.roles import (
     daily_from_tables,
     series_from_tables,
     table,
+    write_series_family,
     write_series_files,
 )
 from starload.session import scratch_path
@@ -97,8 +98,7 @@ def src_tsv(spark, sf):
 def src_preamble_glob(spark, sf):
     """Three series through preamble files."""
     series = series_from_tables(spark, sf).persist()
-    root = scratch_path(spark, "series")
-    globs = {v: write_series_files(series, f"{root}/{v}", v) for v in WEATHER_MEASURES}
+    globs = write_series_family(series, scratch_path(spark, "series"), WEATHER_MEASURES)
     series.unpersist()
     return load_weather(spark, globs)
 
@@ -128,10 +128,8 @@ LEFT_OUT = (4, 9)
 
 def landing_manifest_q(spark, sf):
     """Landed files per variable and month, two months missing."""
-    series = series_from_tables(spark, sf).persist()
-    root = scratch_path(spark, "landing")
-    globs = {v: write_series_files(series, f"{root}/{v}", v, leave_out_months=LEFT_OUT) for v in WEATHER_MEASURES}
-    series.unpersist()
+    series = series_from_tables(spark, sf)
+    globs = write_series_family(series, scratch_path(spark, "landing"), WEATHER_MEASURES, leave_out_months=LEFT_OUT)
     out = landing_manifest(spark, globs, month_pattern=r"file_month=(\d{2})/")
     return out.select("variable", "month", "n_files", (F.col("bytes") > 0).alias("has_bytes"))
 

@@ -132,3 +132,19 @@ def write_series_files(series: DataFrame, root: str, value_col: str, leave_out_m
     files = files.select(F.lpad(F.col("file_month").cast("string"), 2, "0").alias("file_month"), "text")
     files.write.mode("overwrite").partitionBy("file_month").text(root)
     return f"{root.rstrip('/')}/file_month=*/*.txt"
+
+
+def write_series_family(series: DataFrame, root: str, value_cols, leave_out_months=()) -> dict[str, str]:
+    """Write the files of several series in one job: ``root/series=<col>/file_month=<mm>/``.
+
+    Returns one glob per series.
+    """
+    files = None
+    for c in value_cols:
+        f = series_file_text(series, c).withColumn("series", F.lit(c))
+        files = f if files is None else files.unionByName(f)
+    if leave_out_months:
+        files = files.filter(~F.col("file_month").isin(*leave_out_months))
+    files = files.select("series", F.lpad(F.col("file_month").cast("string"), 2, "0").alias("file_month"), "text")
+    files.write.mode("overwrite").partitionBy("series", "file_month").text(root)
+    return {c: f"{root.rstrip('/')}/series={c}/file_month=*/*.txt" for c in value_cols}

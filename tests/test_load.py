@@ -149,3 +149,15 @@ def test_untouched_years_are_carried_forward(spark, tmp_path):
     assert "/v00000002/" in parts["fakt_erkrankungen/jahr=2024"]
     assert man.max_key("fakt_erkrankungen") == 5 and man.max_key("dim_syndrom") == 3
     assert len(facts(wh)) == 5
+
+
+def test_sql_view_equals_dataframe_view(spark, tmp_path):
+    from starload.plans.marts import register_star
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
+    sql_flat = register_star(wh)
+    df_flat = warehouse_flat_view(wh, register=False)
+    assert sql_flat.columns == df_flat.columns
+    assert rows(sql_flat) == rows(df_flat)
+    assert spark.sql("SELECT count(*) AS n FROM dim_syndrom").first()["n"] == 2
