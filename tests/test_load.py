@@ -161,3 +161,14 @@ def test_sql_view_equals_dataframe_view(spark, tmp_path):
     assert sql_flat.columns == df_flat.columns
     assert rows(sql_flat) == rows(df_flat)
     assert spark.sql("SELECT count(*) AS n FROM dim_syndrom").first()["n"] == 2
+
+
+def test_empty_batch_publishes_a_consistent_version(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
+    res = load_frames(spark, wh, monthly(spark, []), weather(spark, []))
+    assert res.version == 2 and res.report["facts_upserted"] == 0 and res.report["rows_skipped"] == 0
+    assert len(facts(wh)) == 4                       # nothing lost, old years carried forward
+    empty = Warehouse(spark, str(tmp_path / "empty"))
+    load_frames(spark, empty, monthly(spark, []), weather(spark, []))
+    assert facts(empty) == []
