@@ -118,7 +118,12 @@ class Warehouse:
         if _surely_absent(f"{self.root}/_commits"):
             return None
         try:
-            return self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.root}/_commits/commit-*")
+            return (
+                self.spark.read.schema(_COMMIT_SCHEMA)
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.json")
+                .json(f"{self.root}/_commits")
+            )
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 return None
