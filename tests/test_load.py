@@ -172,3 +172,18 @@ def test_empty_batch_publishes_a_consistent_version(spark, tmp_path):
     empty = Warehouse(spark, str(tmp_path / "empty"))
     load_frames(spark, empty, monthly(spark, []), weather(spark, []))
     assert facts(empty) == []
+
+
+def test_large_dimension_fallback_gives_same_keys(spark, tmp_path, monkeypatch):
+    import starload.plans.load as L
+    from starload.operators.upsert import text_dimension_rows
+
+    normal = Warehouse(spark, str(tmp_path / "normal"))
+    load_frames(spark, normal, monthly(spark, BATCH), weather(spark, WEATHER))
+    # pretend the new dimension values are too many for one ordered task
+    monkeypatch.setattr(L, "text_dimension_rows", lambda *a, **k: text_dimension_rows(*a, **k, small_rows=0))
+    ranged = Warehouse(spark, str(tmp_path / "ranged"))
+    load_frames(spark, ranged, monthly(spark, BATCH), weather(spark, WEATHER))
+    assert keys(ranged)["dim_syndrom"] == keys(normal)["dim_syndrom"]
+    assert keys(ranged)["dim_altersgruppe"] == keys(normal)["dim_altersgruppe"]
+    assert facts(ranged) == facts(normal)
