@@ -149,6 +149,7 @@ def upsert_facts(
     measures: Sequence[str] = FACT_MEASURES,
     key_col: str = "fakt_key",
     start: int | None = None,
+    stored_empty: bool = False,
 ) -> DataFrame:
     """Grain upsert (U3): batch rows overwrite all measures (NULL included),
     new grains get keys, stored rows absent from the batch stay.
@@ -156,8 +157,14 @@ def upsert_facts(
     One full outer join on the grain decides all three cases; it is the only
     shuffle of the stored table. Its result is checkpointed (shared folder,
     survives executor loss, no cache left behind) because both the matched
-    and the new rows are read from it.
+    and the new rows are read from it. When the caller knows the stored
+    table is empty (a first load), every batch row is new and only keys are
+    assigned.
     """
+    cols = [key_col, *grain, *measures]
+    if stored_empty:
+        keyed = assign_keys(batch.select(*grain, *measures), list(grain), key_col, start=start or 0)
+        return keyed.select(*cols)
     s = stored.select(key_col, *grain, *[F.col(m).alias(f"_s_{m}") for m in measures])
     b = batch.select(*grain, *measures).withColumn("_in_batch", F.lit(True))
     j = s.join(b, list(grain), "full_outer")
@@ -168,5 +175,4 @@ def upsert_facts(
     known = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
     keyed = assign_keys(new, list(grain), key_col, start=_start(stored, key_col, start))
-    cols = [key_col, *grain, *measures]
     return known.select(*cols).unionByName(keyed.select(*cols))

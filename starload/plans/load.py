@@ -191,8 +191,9 @@ def stage_facts(wh: Warehouse, version: int, facts: DataFrame, dim_datum: DataFr
     """
     years_of = dim_datum.select("datum_key", F.col("jahr").alias(FACT_PARTITION))
     years = sorted(r[0] for r in facts.join(years_of, "datum_key").select(FACT_PARTITION).distinct().collect())
+    stored_paths = manifest.paths(FACT_TABLE, years)
     stored = wh.table(FACT_TABLE, manifest, part_values=years)
-    new = upsert_facts(stored, facts, start=manifest.max_key(FACT_TABLE))
+    new = upsert_facts(stored, facts, start=manifest.max_key(FACT_TABLE), stored_empty=not stored_paths)
     mk = wh.stage_partitions(version, FACT_TABLE, new.join(years_of, "datum_key"), FACT_PARTITION, "fakt_key")
     entries = dict(wh.partition_entry(version, FACT_TABLE, FACT_PARTITION, y) for y in years)
     carried = {k: v for k, v in manifest.partitions(FACT_TABLE).items() if k not in entries}
