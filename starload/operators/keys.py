@@ -1,4 +1,4 @@
-"""Dense surrogate keys in value order without a single-partition window (U4).
+"""Dense surrogate keys in value order (U4).
 
 ``row_number()`` over a window with no partition key moves every row into
 one task, so it is used only when a bounded count proves the input small
