@@ -48,6 +48,7 @@ def text_dimension_rows(
     stored: Mapping[str, DataFrame],
     starts: Mapping[str, int],
     small_rows: int = SMALL_ROWS,
+    on_count=None,
 ) -> DataFrame | None:
     """U1 for several text dimensions in one plan: ``dim, key, value`` rows.
 
@@ -58,7 +59,8 @@ def text_dimension_rows(
     ``starts``. One ordered task per dimension is used only when a bounded
     count proves the new values small; otherwise ``None`` is returned and the
     caller allocates per dimension with ``upsert_text_dimension`` (partitioned
-    key allocation).
+    key allocation). ``on_count`` receives the bounded count of new values
+    (``None`` when not counted), so a caller can keep unchanged tables.
     """
     tagged = F.array(
         *[F.struct(F.lit(d).alias("dim"), dimension_text(c).alias("value")) for c, (d, _, _) in spec.items()]
@@ -69,7 +71,10 @@ def text_dimension_rows(
         part = stored[d].select(F.lit(d).alias("dim"), F.col(key).cast("long").alias("key"), F.col(val).alias("value"))
         known = part if known is None else known.unionByName(part)
     new = values.join(known.select("dim", "value"), ["dim", "value"], "left_anti")
-    if not small_rows or new.limit(small_rows + 1).count() > small_rows:
+    n_new = new.limit(small_rows + 1).count() if small_rows else None
+    if on_count is not None:
+        on_count(n_new)
+    if n_new is None or n_new > small_rows:
         return None
     pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0))))]
     start = F.element_at(F.create_map(*pairs), F.col("dim"))

@@ -278,7 +278,7 @@ def dim_key_lookup(spark, sf):
     """Natural keys with their surrogate keys."""
     wh = Warehouse(spark, scratch_path(spark, "lookup"))
     batch = _batch(spark, sf)
-    dims, _ = stage_dimensions(wh, 1, batch, Manifest())
+    dims, _, _ = stage_dimensions(wh, 1, batch, Manifest())
     keyed = key_batch(batch, dims)
     return keyed.select("year", "month", "syndrome", "age_group", "ed_type", "datum_key", "syndrom_key", "altersgruppe_key", "edtype_key")
 
@@ -287,7 +287,7 @@ def fact_rejects(spark, sf):
     """lookup against a syndrome dimension that lacks one value."""
     wh = Warehouse(spark, scratch_path(spark, "rejects"))
     batch = _batch(spark, sf)
-    dims, _ = stage_dimensions(wh, 1, batch, Manifest())
+    dims, _, _ = stage_dimensions(wh, 1, batch, Manifest())
     dims["dim_syndrom"] = dims["dim_syndrom"].filter(F.col("bezeichnung") != "STANDARD")
     keyed = key_batch(batch, dims)
     ok, rej = split_rejects(keyed)

@@ -123,20 +123,27 @@ def load_report(keyed: DataFrame, keys=FACT_GRAIN) -> dict:
 
 def stage_dimensions(
     wh: Warehouse, version: int, batch: DataFrame, manifest: Manifest
-) -> tuple[dict[str, DataFrame], dict[str, int]]:
+) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, str]]:
     """Upsert the four dimensions into ``version`` (U1, U2) and read them back.
 
-    Returns the staged tables and their largest keys. The three text
-    dimensions share one plan (one shuffle for their values); it and the
-    date dimension are independent, so their small Spark jobs are submitted
-    from two driver threads and share the cluster.
+    Returns the tables, their largest keys and their paths. The three text
+    dimensions share one plan (one shuffle for their values); when the batch
+    brings no new value they are not rewritten but carried forward by path.
+    The text and date dimensions are independent, so their small Spark jobs
+    are submitted from two driver threads and share the cluster.
     """
+    carried: dict[str, str] = {}
 
     def text_dims():
         spec = {c: (t, *TEXT_DIMENSIONS[t]) for c, t in DIMENSION_OF.items()}
         stored = {t: wh.table(t, manifest) for t in DIMENSION_OF.values()}
         starts = {t: manifest.max_key(t) for t in DIMENSION_OF.values()}
-        rows = text_dimension_rows(batch, spec, stored, starts)
+        counted = []
+        rows = text_dimension_rows(batch, spec, stored, starts, on_count=counted.append)
+        tables = [t for t, _, _ in spec.values()]
+        if counted and counted[0] == 0 and all(t in manifest.tables for t in tables):
+            carried.update({t: manifest.tables[t] for t in tables})
+            return {t: (stored[t], None) for t in tables}
         out = {}
         if rows is None:  # many new values: partitioned key allocation per dimension
             for col, (t, key, val) in spec.items():
@@ -165,7 +172,8 @@ def stage_dimensions(
         done["dim_datum"] = date_future.result()
     frames = {t: df for t, (df, _) in done.items()}
     keys = {t: max(manifest.max_key(t), mk or 0) for t, (_, mk) in done.items()}
-    return frames, keys
+    paths = {t: carried.get(t, wh.version_path(version, t)) for t in done}
+    return frames, keys, paths
 
 
 def key_batch(batch: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -208,7 +216,7 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
     if owned:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dims, max_keys = stage_dimensions(wh, version, batch, manifest)
+        dims, max_keys, dim_paths = stage_dimensions(wh, version, batch, manifest)
         keyed = key_batch(batch, dims).persist(StorageLevel.MEMORY_AND_DISK)
         ok, _rejected = split_rejects(keyed)
         facts = fact_rows(ok)
@@ -220,7 +228,7 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
             entries, carried, fact_max = staged_facts.result()
         if report.pop("n_grains") != report["facts_upserted"]:
             assert_empty(duplicate_keys(facts, FACT_GRAIN), "two batch rows for one fact grain")
-        staged = {name: wh.version_path(version, name) for name in dims}
+        staged = dict(dim_paths)
         staged.update(entries)
         max_keys[FACT_TABLE] = fact_max
         wh.commit(version, staged, carried, max_keys)

@@ -78,6 +78,9 @@ def test_same_batch_twice_changes_nothing(spark, tmp_path):
     res = load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
     assert res.version == 2
     assert facts(wh) == f1 and keys(wh) == k1
+    tables = wh.manifest().tables
+    assert "/v00000001/" in tables["dim_syndrom"]     # no new value: carried forward, not rewritten
+    assert "/v00000002/" in tables["dim_datum"]
 
 
 def test_null_weather_overwrites_and_absent_rows_stay(spark, tmp_path):
