@@ -134,3 +134,33 @@ def test_landing_manifest_reads_no_file_content(spark, tmp_path):
     text = plan_text(out, "simple")
     assert "binaryFile" in text or "BinaryFile" in text
     assert "content" not in text.split("ReadSchema:")[1].split("\n")[0]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 50), st.integers(1, 3), st.floats(-50, 50)),
+                min_size=1, max_size=60))
+def test_keep_last_matches_file_then_line_order(spark, recs):
+    """Keep-last under heavy key repetition equals a sequential scan in (file, line) order."""
+    from starload.sources.series_files import keep_last
+
+    uniq = {(f, n): (m, v) for f, n, m, v in recs}  # a (file, line) position holds one row
+    df = spark.createDataFrame([(f, n, 2000, m, v) for (f, n), (m, v) in uniq.items()],
+                               "file string, n int, year int, month int, value double")
+    expect = {}
+    for (f, n), (m, v) in sorted(uniq.items()):
+        expect[(2000, m)] = v
+    got = {(r["year"], r["month"]): r["value"] for r in keep_last(df, ["value"]).collect()}
+    assert got == expect
+
+
+def test_csv_source_tokens_and_types(spark, tmp_path):
+    from starload.sources.csv_io import read_csv_typed
+
+    p = tmp_path / "proc" / "part.csv"
+    write(str(p), "year,month,name,x\n2020.0,1,A,1.5\n,2,NA,\n2021,3,nan,x\n")
+    df = read_csv_typed(spark, str(p.parent), {"year": "int", "month": "int", "name": "string", "x": "double"})
+    assert rows(df, "month", "year", "name", "x") == [(1, 2020, "A", 1.5), (2, None, None, None), (3, 2021, None, None)]
