@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import digest, neardup
+from . import digest, mixing, neardup, sharding
 from .common import table
 
 
@@ -18,7 +18,15 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_near_duplicates)}
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.uniform_shards(table(spark, sf_dir, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_near_duplicates, op3_sharding, op6_source_mixing)}
 
 #: Only where SQL can express the result.
 ORACLES: dict[str, str] = {}
