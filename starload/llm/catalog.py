@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import digest, mixing, neardup, sharding
+from . import bpe, compression_quality, digest, line_quality, mixing, neardup, sharding, token_counts
 from .common import table
 
 
@@ -22,11 +22,37 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.uniform_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_document_fingerprints, op2_near_duplicates, op3_sharding, op6_source_mixing)}
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
+def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_ALL = (
+    op1_document_fingerprints,
+    op2_near_duplicates,
+    op3_sharding,
+    op4_byte_bpe,
+    op5_line_quality,
+    op6_source_mixing,
+    op7_token_counts,
+    op8_compression_quality,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Only where SQL can express the result.
 ORACLES: dict[str, str] = {}
