@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression_quality, digest, line_quality, mixing, neardup, sharding, token_counts
+from . import bpe, compression_quality, digest, line_quality, mixing, neardup, sharding, token_counts, warc, wrapper
 from .common import table
 
 
@@ -42,6 +42,14 @@ def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 _ALL = (
     op1_document_fingerprints,
     op2_near_duplicates,
@@ -51,8 +59,10 @@ _ALL = (
     op6_source_mixing,
     op7_token_counts,
     op8_compression_quality,
+    op9_main_text,
+    op10_warc,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Only where SQL can express the result.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}

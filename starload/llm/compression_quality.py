@@ -3,15 +3,16 @@
 Two zstandard dictionaries are trained, on pieces of good and of bad labelled
 texts. A text is cut into pieces of ``PIECE`` bytes and each piece is compressed
 with both; the difference of the compressed sizes, divided by the text's size, is
-high where the text resembles the good ones. A logistic curve fitted on labelled
-texts that the dictionaries have not seen turns it into a score from 0 to 1.
+high where the text resembles the good ones. A logistic curve over this difference
+and a term for short texts (which cannot differ much), fitted on labelled texts that
+the dictionaries have not seen, turns it into a score from 0 to 1.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 4 is not 2, on
 at most ``TRAIN_DOCS`` documents of each label, ``PIECES`` pieces each for the
 dictionaries; every text is scored whole. Scores depend on the text alone.
 
 Cases: a null text counts as empty; an empty text has difference 0 and the score
-of that; a null doc_id is not held out; repeated rows and ties get equal scores; an
+of that with full shortness; a null doc_id is not held out; repeated rows and ties get equal scores; an
 empty table gives an empty result. With labels of one kind or none every score is
 that kind's share (0.5 without labels). Only needed columns are read.
 """
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import added, runs, texts, with_columns, workers_import
+from .common import added, runs, text_or_empty, texts, with_columns, workers_import
 
 PIECE = 256
 PIECES = 6
@@ -39,16 +40,18 @@ SEED = 23
 THRESHOLD = 0.7
 HELD_OUT = 2
 BATCH_BYTES = 1 << 20
+#: Bytes of a text that counts as half short.
+SHORT = 100.0
 
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries of the labels and the calibration score = 1 / (1 + exp(-(a + b * difference)))."""
+    """Dictionaries of the labels and the calibration: score = 1 / (1 + exp(-curve)) with
+    curve = the weights times 1, difference, shortness, difference * shortness."""
 
     good: bytes
     bad: bytes
-    a: float
-    b: float
+    curve: tuple[float, float, float, float]
 
 
 def fold(c: str = "doc_id"):
@@ -78,20 +81,27 @@ def difference(data: bytes, good: bytes, bad: bytes) -> float:
     return total / len(data)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, l2: float = 1e-3) -> tuple[float, float]:
-    """Intercept and slope by Newton steps, the two labels weighing as they occur."""
-    scale = float(np.std(x)) or 1.0
-    X = np.column_stack([np.ones(len(x)), x / scale])
-    w = np.zeros(2)
+def _terms(d, size):
+    """What the curve weighs; for numbers, arrays and columns. Shortness falls from 1 (empty) to 0."""
+    short = SHORT / (SHORT + size)
+    return 1.0 + 0 * d, d, short, d * short
+
+
+def logistic(X: np.ndarray, y: np.ndarray, steps: int = 60, l2: float = 1e-3) -> np.ndarray:
+    """Weights by damped Newton steps."""
+    scale = np.maximum(X.std(axis=0), 1e-6)
+    scale[0] = 1.0
+    X = X / scale
+    w = np.zeros(X.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(X @ w, -30, 30)))
         grad = X.T @ (y - p) - l2 * w
-        hess = (X * (p * (1 - p))[:, None]).T @ X + l2 * np.eye(2)
+        hess = (X * (p * (1 - p))[:, None]).T @ X + l2 * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
-        w = w + np.clip(step, -4, 4)
+        w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1] / scale)
+    return w / scale
 
 
 def _differences(df: DataFrame, good: bytes, bad: bytes) -> DataFrame:
@@ -151,20 +161,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not samples[0] or not samples[1]:
         share = shares.get(1, 0) / whole if whole else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(b"", b"", float(np.log(share / (1 - share))), 0.0)
+        return Model(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     good, bad = _dictionary(samples[1]), _dictionary(samples[0])
-    seen = _differences(held.where("side = 1").select("doc_id", "quality", "text"), good, bad).select("doc_id", "quality", "difference").collect()
-    seen = sorted(tuple(r) for r in seen)
+    seen = _differences(held.where("side = 1").select("doc_id", "quality", "text"), good, bad)
+    seen = sorted(tuple(r) for r in seen.select("doc_id", "quality", "difference", F.octet_length("text")).collect())
     if len({r[1] for r in seen}) < 2:
-        return Model(good, bad, 0.0, 50.0)
-    a, b = logistic(np.array([r[2] for r in seen]), np.array([r[1] for r in seen], float))
-    return Model(good, bad, a, b)
+        return Model(good, bad, (0.0, 50.0, 0.0, 0.0))
+    d, size = np.array([r[2] for r in seen]), np.array([r[3] or 0 for r in seen], float)
+    w = logistic(np.column_stack(_terms(d, size)), np.array([r[1] for r in seen], float))
+    return Model(good, bad, tuple(float(x) for x in w))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """Adds ``score`` and ``predicted`` to rows with ``text``."""
     done = _differences(docs, model.good, model.bad)
-    raw = 1 / (1 + F.exp(-(F.lit(model.a) + F.lit(model.b) * F.col("difference"))))
+    terms = _terms(F.col("difference"), F.octet_length(text_or_empty()).cast("double"))
+    raw = 1 / (1 + F.exp(-sum(F.lit(w) * t for w, t in zip(model.curve, terms, strict=True))))
     return done.withColumn("score", raw).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")).drop("difference")
 
 
