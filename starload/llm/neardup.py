@@ -14,7 +14,8 @@
 4. Components of the verified links, named by the smallest doc_id.
 
 A cluster too large for one task is split into blocks; each pair of blocks is a
-task of its own, so no group is ever held whole.
+task of its own, so no group is ever held whole. The two large joins are merge
+joins at every size, so the work grows evenly and hot keys can be split.
 
 The chance that a linked pair shares no band is (1 - 0.85**ROWS)**BANDS, about
 2e-7 at the threshold and far less above it.
@@ -189,11 +190,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Candidate clusters: in each band bucket every class hangs on the smallest one.
     banded = classes.select("rep", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
-    edges = banded.join(buckets.select("key", "least"), "key").where("rep > least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    edges = banded.join(buckets.select("key", "least").hint("merge"), "key").where("rep > least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
     clusters = components(edges, "candidates")
 
     # Texts of clustered classes, in blocks.
-    sized = given.select("doc_id", "text", F.octet_length("text").alias("bytes")).join(clusters, F.col("doc_id") == F.col("node"))
+    sized = given.select("doc_id", "text", F.octet_length("text").alias("bytes")).join(clusters.hint("merge"), F.col("doc_id") == F.col("node"))
     # A doc_id that names several texts brings each of them once.
     members = written(sized.select("component", "doc_id", "text", "bytes").distinct(), "members")
     weights = members.groupBy("component").agg(F.count("*").alias("docs"), F.sum("bytes").alias("all_bytes"))
