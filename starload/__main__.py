@@ -1,8 +1,9 @@
 """Command line: ``python -m starload refresh --daily ... --series ... --warehouse ...``.
 
 ``transform`` writes the processed CSV files, ``load`` loads them, ``refresh``
-does both in one plan, ``report`` prints the published version and the BI
-aggregates.
+does both in one plan, ``report`` writes the BI aggregates of the published
+version as CSV, every row of them, and prints where and how many. The session runs
+on the cluster it is submitted to.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 import argparse
 import json
 
-from starload.plans.marts import class_average, seasonality, warehouse_flat_view
+from starload.plans.marts import report_tables
 from starload.plans.refresh import load_processed, refresh, transform_daily, transform_weather, weather_globs
 from starload.session import build_session
+from starload.sources.csv_io import write_csv
 from starload.sources.warehouse import Warehouse
 
 
@@ -23,12 +25,16 @@ def main(argv=None) -> None:
     ap.add_argument("--series", help="root of the monthly series folders")
     ap.add_argument("--processed", help="folder for the processed CSV hand-over")
     ap.add_argument("--warehouse", help="warehouse root folder")
+    ap.add_argument("--out", help="folder for the report's CSV files")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     a = ap.parse_args(argv)
-    spark = build_session(master=a.master) if a.master else build_session()
+    if a.command == "report" and not a.out:
+        ap.error("report needs --out")
+    spark = build_session(master=a.master)
     if a.command == "transform":
         transform_daily(spark, a.daily, f"{a.processed}/monthly_facts")
-        transform_weather(spark, weather_globs(a.series), f"{a.processed}/monthly_weather")
+        run = transform_weather(spark, weather_globs(a.series), f"{a.processed}/monthly_weather")
+        print(json.dumps({"weather": run.summary.asDict(), "first_months": [r.asDict() for r in run.preview]}))
     elif a.command == "load":
         res = load_processed(spark, f"{a.processed}/monthly_facts", f"{a.processed}/monthly_weather", a.warehouse)
         print(json.dumps({"version": res.version, **res.report}))
@@ -37,11 +43,10 @@ def main(argv=None) -> None:
         print(json.dumps({"version": res.version, **res.report}))
     else:
         wh = Warehouse(spark, a.warehouse)
-        flat = warehouse_flat_view(wh)
         print(wh.describe())
-        seasonality(flat).orderBy("syndrome", "season").show(200, truncate=False)
-        for by in ("precipitation", "temperature_mean", "sunshine_duration"):
-            class_average(flat, by).orderBy("syndrome", f"{by}_class").show(200, truncate=False)
+        for name, df in report_tables(wh).items():
+            write_csv(df, f"{a.out.rstrip('/')}/{name}")
+            print(json.dumps({"table": name, "path": f"{a.out.rstrip('/')}/{name}", "rows": df.count()}))
 
 
 if __name__ == "__main__":

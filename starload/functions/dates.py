@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starload.functions.patterns import (
+    ISO_DATE,
     SEASON_AUTUMN,
     SEASON_SPRING,
     SEASON_SUMMER,
@@ -21,15 +22,15 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_date(c: Column | str) -> Column:
-    """Text to date (C8): bad text is an error, NULL stays NULL.
+    """Text ``yyyy-MM-dd`` to date (C8): other text is an error, NULL stays NULL.
 
     The error does not depend on the session's ANSI setting: text that does
     not parse raises explicitly.
     """
     c = _col(c)
-    d = F.try_to_date(c)
+    d = F.when(c.rlike(ISO_DATE), c.try_cast("date"))
     err = F.raise_error(F.concat(F.lit("cannot parse date: "), c)).cast("date")
-    return F.when(c.isNotNull() & d.isNull(), err).otherwise(d)
+    return F.when(c.isNull(), F.lit(None).cast("date")).otherwise(F.coalesce(d, err))
 
 
 def year_of(c: Column | str) -> Column:

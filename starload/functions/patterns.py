@@ -7,8 +7,8 @@ together, in natural order, so they can be read and checked at a glance.
 
 # --- fixed values: text patterns ------------------------------------------
 
-# Line breaks of a whole-file text (Windows, Unix, old Mac).
-LINE_BREAK = r"\r\n|\n|\r"
+# Line breaks of a whole-file text, as Python's ``str.splitlines()`` sees them.
+LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
 
 # Leading/trailing whitespace as Python's ``str.strip()`` sees it: Unicode
 # white space plus the ASCII separators 0x1c-0x1f.
@@ -20,6 +20,12 @@ EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 # non-ASCII digits do not match.
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
+# The numbers without exponent of at most 300 digits before the point: none overflows.
+PLAIN_NUMBER = r"^\s*[+-]?(\d{1,300}(\.\d*)?|\.\d+)\s*$"
+
+# Calendar date as the sources spell it.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+
 # Text that spells an infinity (used to tell an overflow from a literal).
 INF_LITERAL = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 

@@ -1,17 +1,15 @@
 """Dense surrogate keys in value order (U4).
 
-``row_number()`` over a window with no partition key moves every row into
-one task, so it is used only when a bounded count proves the input small
-(``small_rows``, default 100 000 rows, e.g. the new values of a dimension).
-Otherwise the rows are range-partitioned and sorted on the order
-columns, each row gets its position inside its partition
-(``monotonically_increasing_id`` counts rows per partition in iteration
-order), and a per-partition row count turns positions into global ranks:
-``key = start + rows in earlier partitions + position + 1``. The ranged
-frame is checkpointed to the shared checkpoint folder between the two passes
-so partition ids and positions cannot change on a recomputation. The offset
-table has one row per partition, so broadcasting it is bounded by the
-partition count, not by the data.
+A window without partition key would move every row into one task. Here rows
+are range-partitioned and sorted on the order columns, each row gets its
+position inside its partition (``monotonically_increasing_id`` counts rows per
+partition in iteration order), and a per-partition row count turns positions
+into global ranks: ``key = start + rows in earlier partitions + position + 1``.
+The number of partitions is Spark's (adaptive execution joins small ones). The
+ranged frame is checkpointed to the shared checkpoint folder between the two
+passes so partition ids and positions cannot change on a recomputation. The
+offset table has one row per partition, so broadcasting it is bounded by the
+partition count, not by the data. One method serves every input size.
 """
 
 from __future__ import annotations
@@ -24,36 +22,18 @@ from pyspark.sql import functions as F
 from starload.session import checkpoint_root
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
-SMALL_ROWS = 100_000
 
 
-def assign_keys(
-    df: DataFrame,
-    order_by: Sequence[str],
-    key_col: str,
-    start: int = 0,
-    num_partitions: int | None = None,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start + 1, start + 2, ... in ascending ``order_by`` order.
 
     ``order_by`` should be unique (dimension values, a fact grain); ties get
     distinct keys in an unspecified order.
     """
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        # proven small: one ordered task is cheaper than range partitioning
-        w = Window.orderBy(*order_by)
-        return df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
-    return _assign_keys_ranged(df, order_by, key_col, start, num_partitions)
-
-
-def _assign_keys_ranged(df, order_by, key_col, start, num_partitions):
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_root(df.sparkSession)
+    ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
     ranged = (
-        df.repartitionByRange(n, *order_by)
-        .sortWithinPartitions(*order_by)
+        ranged.sortWithinPartitions(*order_by)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS))
         .checkpoint(eager=True)

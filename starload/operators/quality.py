@@ -1,7 +1,7 @@
 """Data-quality checks.
 
 Each check returns a DataFrame of violations (empty when the data is clean),
-so it can be inspected, written or asserted. Only ``require_columns`` works
+so it can be inspected, written or asserted. Only ``columns_checked`` works
 on the schema alone; the rest are distributed aggregates or anti joins --
 nothing is collected except, in ``assert_empty``, a handful of sample rows.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,16 +18,35 @@ class DataQualityError(ValueError):
     """A data-quality rule is violated."""
 
 
-def missing_columns(df: DataFrame, cols: Iterable[str]) -> list[str]:
-    have = set(df.columns)
-    return [c for c in cols if c not in have]
+class ColumnsMissing(DataQualityError):
+    """An input lacks columns; ``missing`` and ``found`` hold the names."""
+
+    def __init__(self, source: str, missing: list[str], found: list[str]):
+        super().__init__(f"{source}: no column {', '.join(missing)} among {', '.join(found) or 'none'}")
+        self.source, self.missing, self.found = source, missing, found
+
 
+def columns_checked(df: DataFrame, wanted: Iterable[str], source: str) -> DataFrame:
+    """The frame itself if it has the wanted columns (V1), else ``ColumnsMissing``."""
+    absent = sorted(set(wanted).difference(df.columns))
+    if absent:
+        raise ColumnsMissing(source, absent, df.columns)
+    return df
 
-def require_columns(df: DataFrame, cols: Iterable[str], name: str) -> None:
-    """Raise naming the missing and the found columns (V1)."""
-    miss = missing_columns(df, cols)
-    if miss:
-        raise ValueError(f"{name} is missing columns: {miss}. Found: {list(df.columns)}")
+
+def column_coverage(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """For each wanted column how many rows have, lack or miss a value (V1, V7):
+    ``column_name, present, n_rows, n_values``; an absent column has no values."""
+    have = set(df.columns)
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"v_{i}") for i, c in enumerate(wanted) if c in have])
+    items = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(c in have).alias("present"), F.col("n").alias("n_rows"),
+            (F.col(f"v_{i}") if c in have else F.lit(0)).cast("long").alias("n_values"),
+        )
+        for i, c in enumerate(wanted)
+    ]
+    return counts.select(F.inline(F.array(*items)))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,13 +94,6 @@ def assert_empty(violations: DataFrame, message: str, sample: int = 5) -> None:
         raise DataQualityError(f"{message}: {[r.asDict() for r in rows]}")
 
 
-def any_null(cols: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for c in cols:
-        out = out | F.col(c).isNull()
-    return out
-
-
 def _rows(counts: DataFrame, named: list[tuple[str, str, str]]) -> DataFrame:
     """One-row frame of counts -> rows of (rule, subject, violations)."""
     items = [

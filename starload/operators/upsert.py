@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions import dimension_text, iso_week, month_start, season_of_month
 from starload.functions.patterns import FACT_GRAIN, FACT_MEASURES
-from starload.operators.keys import SMALL_ROWS, assign_keys, max_key
+from starload.operators.keys import assign_keys, max_key
 
 
 def dimension_values(batch: DataFrame, col: str, out: str) -> DataFrame:
@@ -47,20 +47,15 @@ def text_dimension_rows(
     spec: Mapping[str, tuple[str, str, str]],
     stored: Mapping[str, DataFrame],
     starts: Mapping[str, int],
-    small_rows: int = SMALL_ROWS,
-    on_count=None,
-) -> DataFrame | None:
-    """U1 for several text dimensions in one plan: ``dim, key, value`` rows.
+) -> tuple[DataFrame, DataFrame]:
+    """U1 for several text dimensions in one plan: (stored, new) ``dim, key, value`` rows.
 
     ``spec`` maps a batch column to (dimension, key column, value column).
     The cleaned values of all columns are tagged with their dimension and
     de-duplicated in one shuffle, new values are found with one anti join
-    against all stored values, and new keys are numbered per dimension from
-    ``starts``. One ordered task per dimension is used only when a bounded
-    count proves the new values small; otherwise ``None`` is returned and the
-    caller allocates per dimension with ``upsert_text_dimension`` (partitioned
-    key allocation). ``on_count`` receives the bounded count of new values
-    (``None`` when not counted), so a caller can keep unchanged tables.
+    against all stored values, ranked together in (dimension, value) order, and
+    a dimension's keys are its ranks less those of the dimensions before it (one
+    row for each dimension) plus its largest stored key.
     """
     tagged = F.array(
         *[F.struct(F.lit(d).alias("dim"), dimension_text(c).alias("value")) for c, (d, _, _) in spec.items()]
@@ -70,17 +65,12 @@ def text_dimension_rows(
     for d, key, val in spec.values():
         part = stored[d].select(F.lit(d).alias("dim"), F.col(key).cast("long").alias("key"), F.col(val).alias("value"))
         known = part if known is None else known.unionByName(part)
-    new = values.join(known.select("dim", "value"), ["dim", "value"], "left_anti")
-    n_new = new.limit(small_rows + 1).count() if small_rows else None
-    if on_count is not None:
-        on_count(n_new)
-    if n_new is None or n_new > small_rows:
-        return None
-    pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0))))]
+    ranked = assign_keys(values.join(known.select("dim", "value"), ["dim", "value"], "left_anti"), ["dim", "value"], "rank")
+    first = ranked.groupBy(F.col("dim").alias("_dim")).agg((F.min("rank") - 1).alias("_before"))
+    pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0))).cast("long"))]
     start = F.element_at(F.create_map(*pairs), F.col("dim"))
-    w = Window.partitionBy("dim").orderBy("value")
-    keyed = new.select("dim", (start + F.row_number().over(w)).cast("long").alias("key"), "value")
-    return known.unionByName(keyed)
+    new = ranked.join(first, F.col("dim") == F.col("_dim")).select("dim", (start + F.col("rank") - F.col("_before")).alias("key"), "value")
+    return known, new
 
 
 def dimension_from_rows(rows: DataFrame, dim: str, key_col: str, val_col: str) -> DataFrame:
@@ -139,11 +129,17 @@ def resolve_keys(
     return out
 
 
-def split_rejects(keyed: DataFrame, keys: Sequence[str] = FACT_GRAIN) -> tuple[DataFrame, DataFrame]:
-    """Rows with every key resolved, and the rejected rest."""
+def all_resolved(keys: Sequence[str] = FACT_GRAIN):
+    """Whether every key of a row was found."""
     ok = F.lit(True)
     for k in keys:
         ok = ok & F.col(k).isNotNull()
+    return ok
+
+
+def split_rejects(keyed: DataFrame, keys: Sequence[str] = FACT_GRAIN) -> tuple[DataFrame, DataFrame]:
+    """Rows with every key resolved, and the rejected rest."""
+    ok = all_resolved(keys)
     return keyed.filter(ok), keyed.filter(~ok)
 
 

@@ -21,21 +21,21 @@ from starload.functions import (
     to_double,
     to_int_key,
 )
-from starload.functions.patterns import FACT_MEASURES, MONTHLY_COLUMNS, WEATHER_MEASURES
+from starload.functions.patterns import FACT_GRAIN, MONTHLY_COLUMNS, WEATHER_MEASURES
 from starload.operators.keys import assign_keys
 from starload.operators.monthly import monthly_aggregate
 from starload.operators.quality import (
+    column_coverage,
     duplicate_keys,
-    missing_columns,
     not_constant_within,
     null_counts,
     orphan_keys,
     out_of_range,
 )
 from starload.operators.upsert import (
+    all_resolved,
     date_rows,
     dimension_values,
-    split_rejects,
     upsert_date_dimension,
     upsert_text_dimension,
 )
@@ -45,10 +45,13 @@ from starload.plans.marts import (
     DEFAULT_CLASSES,
     class_average,
     head_rows,
+    integrity_checks,
+    keyed_view,
     seasonality,
-    warehouse_checks,
+    star_tables,
     warehouse_flat_view,
 )
+from starload.plans.refresh import series_summary
 from starload.plans.roles import (
     daily_from_tables,
     series_from_tables,
@@ -60,12 +63,14 @@ from starload.session import scratch_path
 from starload.sources.csv_io import read_csv_typed, write_csv
 from starload.sources.daily_tsv import read_daily_tsv, write_daily_tsv
 from starload.sources.landing import landing_manifest
+from starload.sources.paths import inputs_found
 from starload.sources.series_files import (
     inner_join_series,
     load_series,
     load_weather,
     read_series_files,
     series_format_problems,
+    series_long,
 )
 from starload.sources.warehouse import Manifest, Warehouse
 
@@ -81,6 +86,13 @@ def _batch(spark, sf):
     return prepare_batch(_monthly(spark, sf), series_from_tables(spark, sf))
 
 
+def written_batch(spark, sf, wh: Warehouse) -> DataFrame:
+    """The batch, computed once: written beside the warehouse and read back."""
+    path = f"{wh.root}-batch"
+    _batch(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _loaded(spark, sf, name) -> Warehouse:
     wh = Warehouse(spark, scratch_path(spark, name))
     load(spark, wh, _batch(spark, sf))
@@ -127,11 +139,15 @@ LEFT_OUT = (4, 9)
 
 
 def landing_manifest_q(spark, sf):
-    """Landed files per variable and month, two months missing."""
-    series = series_from_tables(spark, sf)
+    """Landed files per variable and month with their sizes, two months
+    missing. The series hold whole numbers, so a file's length follows from the table."""
+    o = table(spark, sf, "orders")
+    series = o.groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(
+        F.count(F.lit(1)).alias("temperature_mean"), F.max("o_custkey").alias("precipitation"), F.max("o_orderkey").alias("sunshine_duration")
+    )
     globs = write_series_family(series, scratch_path(spark, "landing"), WEATHER_MEASURES, leave_out_months=LEFT_OUT)
     out = landing_manifest(spark, globs, month_pattern=r"file_month=(\d{2})/")
-    return out.select("variable", "month", "n_files", (F.col("bytes") > 0).alias("has_bytes"))
+    return out.select("variable", "month", "n_files", "bytes")
 
 
 # ---------------------------------------------------- scalar expressions --
@@ -239,11 +255,10 @@ def na_tokens(spark, sf):
 
 
 def date_dim(spark, sf):
-    """Date-dimension rows of the order months."""
-    o = table(spark, sf, "orders").select(
-        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
-    )
-    return date_rows(o)
+    """Date-dimension rows of the order months; every order of
+    1996 lacks its month, every order of a November its year."""
+    y, m = F.year("o_orderdate"), F.month("o_orderdate")
+    return date_rows(table(spark, sf, "orders").select(F.when(m != 11, y).alias("year"), F.when(y != 1996, m).alias("month")))
 
 
 def drop_missing_keys(spark, sf):
@@ -277,8 +292,8 @@ def inner_join_3(spark, sf):
 def dim_key_lookup(spark, sf):
     """Natural keys with their surrogate keys."""
     wh = Warehouse(spark, scratch_path(spark, "lookup"))
-    batch = _batch(spark, sf)
-    dims, _, _ = stage_dimensions(wh, 1, batch, Manifest())
+    batch = written_batch(spark, sf, wh)
+    dims, _, _ = stage_dimensions(wh, wh.attempt(Manifest()), batch, Manifest())
     keyed = key_batch(batch, dims)
     return keyed.select("year", "month", "syndrome", "age_group", "ed_type", "datum_key", "syndrom_key", "altersgruppe_key", "edtype_key")
 
@@ -286,13 +301,11 @@ def dim_key_lookup(spark, sf):
 def fact_rejects(spark, sf):
     """lookup against a syndrome dimension that lacks one value."""
     wh = Warehouse(spark, scratch_path(spark, "rejects"))
-    batch = _batch(spark, sf)
-    dims, _, _ = stage_dimensions(wh, 1, batch, Manifest())
+    batch = written_batch(spark, sf, wh)
+    dims, _, _ = stage_dimensions(wh, wh.attempt(Manifest()), batch, Manifest())
     dims["dim_syndrom"] = dims["dim_syndrom"].filter(F.col("bezeichnung") != "STANDARD")
-    keyed = key_batch(batch, dims)
-    ok, rej = split_rejects(keyed)
-    both = ok.select("syndrome", F.lit(True).alias("resolved")).unionByName(rej.select("syndrome", F.lit(False).alias("resolved")))
-    return both.groupBy("syndrome", "resolved").agg(F.count(F.lit(1)).alias("n_rows"))
+    resolved = all_resolved(FACT_GRAIN)
+    return key_batch(batch, dims).groupBy("syndrome", resolved.alias("resolved")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def dedup_keep_last(spark, sf):
@@ -309,12 +322,9 @@ def dedup_keep_last(spark, sf):
     return keep_last(o, ["value"]).orderBy("year", "month")
 
 
-def series_summary(spark, sf):
+def series_summary_q(spark, sf):
     """A6."""
-    s = series_from_tables(spark, sf)
-    return s.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("year").alias("min_year"), F.max("year").alias("max_year")
-    )
+    return series_summary(series_from_tables(spark, sf))
 
 
 def load_report_q(spark, sf):
@@ -354,15 +364,9 @@ def head_n(spark, sf):
 
 
 def union_series(spark, sf):
-    """Orders split by priority, united again."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    prios = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    parts = [o.filter(F.col("o_orderpriority") == p) for p in prios]
-    parts.append(o.filter(~F.col("o_orderpriority").isin(*prios)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The rows of three separate file series united, earlier lines of a month included."""
+    globs = write_series_family(series_from_tables(spark, sf), scratch_path(spark, "united"), WEATHER_MEASURES)
+    return series_long(spark, globs).select("series", "year", "month", "value")
 
 
 # -------------------------------------------------------------- upserts --
@@ -370,13 +374,13 @@ def surrogate_keys(spark, sf):
     """U4: dense keys in name order by the partitioned method (range
     partitions, per-partition counts, broadcast offsets)."""
     c = table(spark, sf, "customer").select("c_name")
-    return assign_keys(c, ["c_name"], "customer_key", small_rows=0)
+    return assign_keys(c, ["c_name"], "customer_key")
 
 
 def surrogate_keys_grain(spark, sf):
     """U4 on a composite grain: every distinct (order, line) pair of lineitem."""
     g = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    return assign_keys(g, ["l_orderkey", "l_linenumber"], "line_key", small_rows=0)
+    return assign_keys(g, ["l_orderkey", "l_linenumber"], "line_key")
 
 
 def upsert_dim_text(spark, sf):
@@ -400,7 +404,7 @@ def upsert_date_dim(spark, sf):
 
 def upsert_fact(spark, sf):
     """U3 through two published loads: months before 1999 first, then months
-    from 1998 on with some measures NULL (NULL must overwrite)."""
+    from 1998 on with some measures NULL (NULL must overwrite); keys included."""
     batch = _batch(spark, sf).persist()
     wh = Warehouse(spark, scratch_path(spark, "facts"))
     load(spark, wh, batch.filter(F.col("year") < 1999))
@@ -410,18 +414,17 @@ def upsert_fact(spark, sf):
         second = second.withColumn(c, F.when(~even, F.col(c)))
     load(spark, wh, second)
     batch.unpersist()
-    flat = warehouse_flat_view(wh, register=False)
-    return flat.select("year", "month", "syndrome", "age_group", "ed_type", *FACT_MEASURES)
+    return keyed_view(wh).drop("season", "month_date")
 
 
 def idempotent_reload(spark, sf):
-    """The same load twice, published, read back."""
+    """The same load twice, published, read back with its keys."""
     wh = Warehouse(spark, scratch_path(spark, "reload"))
     batch = _batch(spark, sf).persist()
     load(spark, wh, batch)
     load(spark, wh, batch)
     batch.unpersist()
-    return warehouse_flat_view(wh, register=False)
+    return keyed_view(wh)
 
 
 def single_series_build(spark, sf):
@@ -441,10 +444,18 @@ WANTED_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "o_shippriorit
 
 
 def dq_required_columns(spark, sf):
-    """V1: wanted columns missing from orders."""
-    o = table(spark, sf, "orders")
-    miss = missing_columns(o, WANTED_ORDER_COLUMNS)
-    return spark.createDataFrame([(c,) for c in miss], "missing_column string")
+    """V1: wanted columns of orders, with the rows that have a value in each."""
+    o = table(spark, sf, "orders").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")))
+    return column_coverage(o, WANTED_ORDER_COLUMNS)
+
+
+def dq_inputs_found(spark, sf):
+    """V2: expected inputs, one of them absent, with the lines of those that exist."""
+    root = scratch_path(spark, "inputs")
+    for name, col in (("orders", "o_orderkey"), ("customer", "c_custkey")):
+        table(spark, sf, name).select(F.col(col).cast("string")).write.text(f"{root}/{name}")
+    paths = {name: f"{root}/{name}/*.txt" for name in ("orders", "customer", "absent")}
+    return inputs_found(spark, paths).select("input", "found", "n_lines")
 
 
 def dq_file_format(spark, sf):
@@ -506,8 +517,22 @@ def dq_month_constant(spark, sf):
 
 
 def dq_star_integrity(spark, sf):
-    """V5-V8 over the published star: violation counts per rule."""
-    return warehouse_checks(_loaded(spark, sf, "integrity"))
+    """V5-V8 over a published star that is then corrupted: a syndrome stands twice,
+    an age group is gone, the facts of every seventh month have no department type,
+    those of every fifth month exceed 100 percent and those of month 1 stand twice."""
+    t = star_tables(_loaded(spark, sf, "integrity"))
+    fact, syn = t["fakt_erkrankungen"], t["dim_syndrom"]
+    every = lambda n: F.col("datum_key") % n == 0
+    fact = fact.withColumns(
+        {
+            "edtype_key": F.when(~every(7), F.col("edtype_key")),
+            "relative_cases": F.when(every(5), F.col("relative_cases") + 100.5).otherwise(F.col("relative_cases")),
+        }
+    )
+    t["fakt_erkrankungen"] = fact.unionByName(fact.where("datum_key = 1"))
+    t["dim_syndrom"] = syn.unionByName(syn.where("syndrom_key = 1"))
+    t["dim_altersgruppe"] = t["dim_altersgruppe"].where("altersgruppe_key <> 1")
+    return integrity_checks(t)
 
 
 QUERIES: dict[str, Query] = {
@@ -532,7 +557,7 @@ QUERIES: dict[str, Query] = {
     "dim_key_lookup": dim_key_lookup,
     "fact_rejects": fact_rejects,
     "dedup_keep_last": dedup_keep_last,
-    "series_summary": series_summary,
+    "series_summary": series_summary_q,
     "load_report": load_report_q,
     "seasonality": seasonality_q,
     "class_precipitation": _class_q("precipitation"),
@@ -549,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "single_series_build": single_series_build,
     "bi_flat_view": bi_flat_view,
     "dq_required_columns": dq_required_columns,
+    "dq_inputs_found": dq_inputs_found,
     "dq_file_format": dq_file_format,
     "dq_unique_grain": dq_unique_grain,
     "dq_foreign_keys": dq_foreign_keys,
@@ -582,11 +608,18 @@ ORACLES: dict[str, str] = {
 SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) AS BIGINT) AS syndrom_key, c_mktsegment AS bezeichnung
 FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
     "landing_manifest": """
-SELECT v.variable, CAST(m.month AS INTEGER) AS month,
-       CAST(CASE WHEN m.month IN (4, 9) THEN 0 ELSE 1 END AS BIGINT) AS n_files,
-       m.month NOT IN (4, 9) AS has_bytes
-FROM (SELECT DISTINCT month(o_orderdate) AS month FROM orders) m,
-     (VALUES ('temperature_mean'), ('precipitation'), ('sunshine_duration')) v(variable)""",
+WITH w AS (
+  SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS temperature_mean,
+         max(o_custkey) AS precipitation, max(o_orderkey) AS sunshine_duration FROM orders GROUP BY 1, 2),
+l AS (UNPIVOT w ON temperature_mean, precipitation, sunshine_duration INTO NAME variable VALUE val),
+f AS (
+  SELECT variable, month,
+         length('Monatswerte (generated from the order table)') + length('Jahr;Monat;Bayern;Deutschland;') + length('1800;MM;;;') + 4
+         + sum(length('YYYY;MM;0;;') + 1 + length(CAST(val AS VARCHAR)) + CASE WHEN year % 2 = 0 THEN length('YYYY;MM;0;-999,5;') + 1 ELSE 0 END) AS bytes
+  FROM l GROUP BY 1, 2)
+SELECT variable, CAST(month AS INTEGER) AS month, CAST(CASE WHEN month IN (4, 9) THEN 0 ELSE 1 END AS BIGINT) AS n_files,
+       CAST(CASE WHEN month IN (4, 9) THEN 0 ELSE bytes END AS BIGINT) AS bytes
+FROM f""",
     "project_rename": "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation",
     "clean_text_key": """
 SELECT segment, count(*) AS n_rows FROM (
@@ -610,7 +643,8 @@ SELECT CASE WHEN o_orderkey % 5 IN (0, 1, 2) THEN NULL WHEN o_orderkey % 5 = 3 T
     "date_dim": """
 SELECT make_date(y, m, 1) AS datum, y AS jahr, m AS monat, CAST(weekofyear(make_date(y, m, 1)) AS INTEGER) AS woche,
        """ + O.SEASON.format(m="m") + """ AS saison
-FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m FROM orders)""",
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m FROM orders)
+WHERE y <> 1996 AND m <> 11""",
     "drop_missing_keys": """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
 FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 11 <> 0""",
@@ -650,7 +684,10 @@ FROM flat GROUP BY 1, 2""",
     "class_temperature": _class_oracle("temperature_mean"),
     "class_sunshine": _class_oracle("sunshine_duration"),
     "head_n": "WITH " + O.SERIES.lstrip() + "\nSELECT * FROM series ORDER BY year, month LIMIT 5",
-    "union_series": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
+    "union_series": "WITH " + O.SERIES.lstrip() + """,
+l AS (UNPIVOT series ON temperature_mean, precipitation, sunshine_duration INTO NAME series VALUE value)
+SELECT series, year, month, value FROM l
+UNION ALL SELECT series, year, month, -999.5 FROM l WHERE year % 2 = 0""",
     "surrogate_keys": "SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) AS BIGINT) AS customer_key FROM customer",
     "surrogate_keys_grain": """
 SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS line_key
@@ -671,19 +708,28 @@ SELECT CAST(k AS BIGINT) AS datum_key, make_date(y, m, 1) AS datum, y AS jahr, m
        CAST(weekofyear(make_date(y, m, 1)) AS INTEGER) AS woche,
        CASE WHEN fresh THEN """ + O.SEASON.format(m="m") + """ ELSE '?' END AS saison
 FROM al""",
-    "upsert_fact": O.BASE_MERGED + """
-SELECT year, month, syndrome, age_group, ed_type,
+    "upsert_fact": O.BASE_MERGED + O.keys_sql("merged", "year < 1999") + """
+SELECT fakt_key, datum_key, syndrom_key, altersgruppe_key, edtype_key, year, month, syndrome, age_group, ed_type,
        CASE WHEN year >= 1998 AND month % 2 = 0 THEN NULL ELSE relative_cases_avg END AS relative_cases,
        relative_cases_7day_ma_avg AS relative_cases_7day_ma, expected_value_avg AS expected_value,
        expected_lowerbound_avg AS expected_lowerbound, expected_upperbound_avg AS expected_upperbound,
        ed_count_avg AS ed_count,
        CASE WHEN year >= 1998 AND month % 2 = 0 THEN NULL ELSE temperature_mean END AS temperature_mean,
        precipitation, sunshine_duration
-FROM merged""",
-    "idempotent_reload": O.BASE_FLAT + _FLAT_SELECT,
+FROM keyed""",
+    "idempotent_reload": O.BASE_FLAT + O.keys_sql("flat", "true") + "SELECT * EXCLUDE (stage) FROM keyed",
     "single_series_build": "WITH " + O.SERIES.lstrip() + "\nSELECT year, month, temperature_mean FROM series",
     "bi_flat_view": O.BASE_FLAT + _FLAT_SELECT,
-    "dq_required_columns": "SELECT * FROM (VALUES ('o_shippriority'), ('o_clerk')) t(missing_column)",
+    "dq_required_columns": """
+SELECT c.column_name, c.present, o.n AS n_rows,
+       CASE WHEN NOT c.present THEN 0 WHEN c.column_name = 'o_totalprice' THEN o.priced ELSE o.n END AS n_values
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS priced FROM orders) o,
+     (VALUES ('o_orderkey', true), ('o_custkey', true), ('o_orderdate', true), ('o_shippriority', false), ('o_clerk', false),
+             ('o_totalprice', true)) c(column_name, present)""",
+    "dq_inputs_found": """
+SELECT 'orders' AS input, true AS found, count(*) AS n_lines FROM orders
+UNION ALL SELECT 'customer', true, count(*) FROM customer
+UNION ALL SELECT 'absent', false, 0""",
     "dq_file_format": """
 SELECT * FROM (VALUES (2, 'header not found'), (7, 'column Deutschland not found')) t(file_month, problem)""",
     "dq_unique_grain": """
@@ -702,25 +748,38 @@ SELECT year, month, count(DISTINCT (temperature_mean,
        CASE WHEN year = 1997 AND month = 5 AND age_group = 'A' THEN precipitation + 1 ELSE precipitation END,
        sunshine_duration)) AS n_values
 FROM merged GROUP BY 1, 2 HAVING n_values > 1""",
-    "dq_star_integrity": """
-SELECT rule, subject, CAST(0 AS BIGINT) AS violations FROM (VALUES
-('unique', 'dim_datum.datum_key'),
-('unique', 'dim_datum.datum'),
-('foreign_key', 'dim_datum.datum_key'),
-('unique', 'dim_syndrom.syndrom_key'),
-('unique', 'dim_syndrom.bezeichnung'),
-('foreign_key', 'dim_syndrom.syndrom_key'),
-('unique', 'dim_altersgruppe.altersgruppe_key'),
-('unique', 'dim_altersgruppe.altersgruppe'),
-('foreign_key', 'dim_altersgruppe.altersgruppe_key'),
-('unique', 'dim_edtype.edtype_key'),
-('unique', 'dim_edtype.typ'),
-('foreign_key', 'dim_edtype.edtype_key'),
-('unique', 'fact.datum_key+syndrom_key+altersgruppe_key+edtype_key'),
-('not_null', 'fact.datum_key'),
-('not_null', 'fact.syndrom_key'),
-('not_null', 'fact.altersgruppe_key'),
-('not_null', 'fact.edtype_key'),
-('percent_range', 'fact.relative_cases'),
-('percent_range', 'fact.relative_cases_7day_ma')) t(rule, subject)""",
+    "dq_star_integrity": O.BASE_MERGED + O.keys_sql("merged", "true") + """,
+broken AS (
+  SELECT datum_key, syndrom_key, altersgruppe_key, CASE WHEN datum_key % 7 <> 0 THEN edtype_key END AS edtype_key,
+         relative_cases_avg + CASE WHEN datum_key % 5 = 0 THEN 100.5 ELSE 0 END AS rel, relative_cases_7day_ma_avg AS ma
+  FROM keyed),
+fact AS (SELECT * FROM broken UNION ALL SELECT * FROM broken WHERE datum_key = 1),
+grains AS (SELECT count(*) AS n FROM (SELECT 1 FROM fact GROUP BY datum_key, syndrom_key, altersgruppe_key, edtype_key HAVING count(*) > 1)),
+k AS (
+  SELECT count(*) FILTER (WHERE altersgruppe_key = 1) AS lost, count(*) FILTER (WHERE edtype_key IS NULL) AS bare,
+         count(*) FILTER (WHERE rel NOT BETWEEN 0 AND 100) AS over, count(*) FILTER (WHERE ma NOT BETWEEN 0 AND 100) AS ma_over
+  FROM fact)
+SELECT r.rule, r.subject,
+       CAST(CASE r.what WHEN 'one' THEN 1 WHEN 'grains' THEN grains.n WHEN 'lost' THEN k.lost WHEN 'bare' THEN k.bare
+                        WHEN 'over' THEN k.over WHEN 'ma_over' THEN k.ma_over ELSE 0 END AS BIGINT) AS violations
+FROM k, grains, (VALUES
+('unique', 'dim_datum.datum_key', 'none'),
+('unique', 'dim_datum.datum', 'none'),
+('foreign_key', 'dim_datum.datum_key', 'none'),
+('unique', 'dim_syndrom.syndrom_key', 'one'),
+('unique', 'dim_syndrom.bezeichnung', 'one'),
+('foreign_key', 'dim_syndrom.syndrom_key', 'none'),
+('unique', 'dim_altersgruppe.altersgruppe_key', 'none'),
+('unique', 'dim_altersgruppe.altersgruppe', 'none'),
+('foreign_key', 'dim_altersgruppe.altersgruppe_key', 'lost'),
+('unique', 'dim_edtype.edtype_key', 'none'),
+('unique', 'dim_edtype.typ', 'none'),
+('foreign_key', 'dim_edtype.edtype_key', 'none'),
+('unique', 'fact.datum_key+syndrom_key+altersgruppe_key+edtype_key', 'grains'),
+('not_null', 'fact.datum_key', 'none'),
+('not_null', 'fact.syndrom_key', 'none'),
+('not_null', 'fact.altersgruppe_key', 'none'),
+('not_null', 'fact.edtype_key', 'bare'),
+('percent_range', 'fact.relative_cases', 'over'),
+('percent_range', 'fact.relative_cases_7day_ma', 'ma_over')) r(rule, subject, what)""",
 }

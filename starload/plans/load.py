@@ -6,19 +6,20 @@ Order (one Spark application, each step a lazy plan):
    year/month (C7) with incomplete pairs dropped (F1), measures NaN-free
    (C11), weather left-joined on (year, month) (J1).
 2. Dimensions (U1, U2) are computed from the batch and written into the
-   new, unpublished version first, so the fact lookup sees final keys.
+   new, unpublished attempt first, so the fact lookup sees final keys.
 3. Surrogate-key lookup (J4), rejects split off (F5), fact grain checked
-   for duplicates (V12), fact upsert (U3) written to the same version.
+   for duplicates (V12), fact upsert (U3) written to the same attempt.
 4. One commit record publishes all five tables at once (U5); running the
    same load again gives the same rows and keys (U6).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
@@ -32,19 +33,18 @@ from starload.functions.patterns import (
     WEATHER_COLUMNS,
     WEATHER_MEASURES,
 )
-from starload.operators.quality import assert_empty, duplicate_keys, require_columns
+from starload.operators.quality import assert_empty, columns_checked, duplicate_keys
 from starload.operators.upsert import (
+    all_resolved,
     date_rows,
     dimension_from_rows,
     text_dimension_rows,
-    dimension_values,
     resolve_keys,
     split_rejects,
     upsert_date_dimension,
     upsert_facts,
-    upsert_text_dimension,
 )
-from starload.sources.warehouse import TEXT_DIMENSIONS, Manifest, Warehouse
+from starload.sources.warehouse import TEXT_DIMENSIONS, Attempt, Manifest, Warehouse, date_map, dimension_map
 
 # batch column -> text dimension table
 DIMENSION_OF = {"syndrome": "dim_syndrom", "age_group": "dim_altersgruppe", "ed_type": "dim_edtype"}
@@ -77,8 +77,8 @@ def _as_double(df: DataFrame, c: str) -> F.Column:
 
 def prepare_batch(monthly: DataFrame, weather: DataFrame) -> DataFrame:
     """Monthly facts with the weather of their month."""
-    require_columns(monthly, MONTHLY_COLUMNS, "monthly facts")
-    require_columns(weather, WEATHER_COLUMNS, "monthly weather")
+    columns_checked(monthly, MONTHLY_COLUMNS, "monthly facts")
+    columns_checked(weather, WEATHER_COLUMNS, "monthly weather")
     measures = [c for c in MONTHLY_COLUMNS if c not in ("year", "month") + DAILY_KEYS]
     m = monthly.select(
         _as_int(monthly, "year").alias("year"),
@@ -106,9 +106,7 @@ def load_report(keyed: DataFrame, keys=FACT_GRAIN) -> dict:
     ``n_grains`` (distinct resolved grains) equals ``facts_upserted`` unless
     two batch rows share a grain (V12).
     """
-    resolved = F.lit(True)
-    for k in keys:
-        resolved = resolved & F.col(k).isNotNull()
+    resolved = all_resolved(keys)
     row = keyed.agg(
         F.count_distinct(*keys).alias("n_grains"),
         F.count_distinct(dimension_text("syndrome")).alias("n_syndrom"),
@@ -121,10 +119,16 @@ def load_report(keyed: DataFrame, keys=FACT_GRAIN) -> dict:
     return row.asDict()
 
 
+def _side_by_side(spark: SparkSession, *jobs: Callable) -> list:
+    """Run independent steps on driver threads that keep the caller's job group and pool."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
+
+
 def stage_dimensions(
-    wh: Warehouse, version: int, batch: DataFrame, manifest: Manifest
+    wh: Warehouse, attempt: Attempt, batch: DataFrame, manifest: Manifest
 ) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, str]]:
-    """Upsert the four dimensions into ``version`` (U1, U2) and read them back.
+    """Upsert the four dimensions into ``attempt`` (U1, U2) and read them back.
 
     Returns the tables, their largest keys and their paths. The three text
     dimensions share one plan (one shuffle for their values); when the batch
@@ -138,48 +142,30 @@ def stage_dimensions(
         spec = {c: (t, *TEXT_DIMENSIONS[t]) for c, t in DIMENSION_OF.items()}
         stored = {t: wh.table(t, manifest) for t in DIMENSION_OF.values()}
         starts = {t: manifest.max_key(t) for t in DIMENSION_OF.values()}
-        counted = []
-        rows = text_dimension_rows(batch, spec, stored, starts, on_count=counted.append)
-        tables = [t for t, _, _ in spec.values()]
-        if counted and counted[0] == 0 and all(t in manifest.tables for t in tables):
-            carried.update({t: manifest.tables[t] for t in tables})
-            return {t: (stored[t], None) for t in tables}
-        out = {}
-        if rows is None:  # many new values: partitioned key allocation per dimension
-            for col, (t, key, val) in spec.items():
-                values = dimension_values(batch, col, val)
-                new = upsert_text_dimension(stored[t], values, key, val, starts[t])
-                out[t] = wh.stage(version, t, new, key)
-            return out
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            with ThreadPoolExecutor(max_workers=len(spec)) as writers:
-                futs = {t: writers.submit(wh.stage, version, t, dimension_from_rows(rows, t, key, val), key)
-                        for t, key, val in spec.values()}
-                out = {t: f.result() for t, f in futs.items()}
-        finally:
-            rows.unpersist()
-        return out
+        known, new = text_dimension_rows(batch, spec, stored, starts)
+        if all(t in manifest.tables for t in stored) and new.isEmpty():
+            carried.update({t: manifest.tables[t] for t in stored})
+            return {t: (stored[t], None) for t in stored}
+        rows = known.unionByName(new)
+        steps = [(lambda t=t, key=key, val=val: wh.stage(attempt, t, dimension_from_rows(rows, t, key, val), key)) for t, key, val in spec.values()]
+        return dict(zip([t for t, _, _ in spec.values()], _side_by_side(wh.spark, *steps), strict=True))
 
     def date_dim():
         dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), manifest.max_key("dim_datum"))
-        return wh.stage(version, "dim_datum", dates, "datum_key")
+        return wh.stage(attempt, "dim_datum", dates, "datum_key")
 
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        text_future = pool.submit(text_dims)
-        date_future = pool.submit(date_dim)
-        done = dict(text_future.result())
-        done["dim_datum"] = date_future.result()
+    text, date = _side_by_side(wh.spark, text_dims, date_dim)
+    done = {**text, "dim_datum": date}
     frames = {t: df for t, (df, _) in done.items()}
     keys = {t: max(manifest.max_key(t), mk or 0) for t, (_, mk) in done.items()}
-    paths = {t: carried.get(t, wh.version_path(version, t)) for t in done}
+    paths = {t: carried.get(t, wh.staged_path(attempt, t)) for t in done}
     return frames, keys, paths
 
 
 def key_batch(batch: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The batch with its four surrogate keys (J4); misses stay NULL."""
-    text_maps = {col: (dims[t], *TEXT_DIMENSIONS[t]) for col, t in DIMENSION_OF.items()}
-    return resolve_keys(batch, dims["dim_datum"], text_maps)
+    text_maps = {col: (dimension_map(dims[t], t), *TEXT_DIMENSIONS[t]) for col, t in DIMENSION_OF.items()}
+    return resolve_keys(batch, date_map(dims["dim_datum"]), text_maps)
 
 
 def fact_rows(keyed_ok: DataFrame) -> DataFrame:
@@ -190,7 +176,7 @@ FACT_TABLE = "fakt_erkrankungen"
 FACT_PARTITION = "jahr"
 
 
-def stage_facts(wh: Warehouse, version: int, facts: DataFrame, dim_datum: DataFrame, manifest: Manifest):
+def stage_facts(wh: Warehouse, attempt: Attempt, facts: DataFrame, dim_datum: DataFrame, manifest: Manifest):
     """Fact upsert (U3) restricted to the years the batch touches.
 
     Only those year folders of the stored table are read and rewritten; the
@@ -202,41 +188,43 @@ def stage_facts(wh: Warehouse, version: int, facts: DataFrame, dim_datum: DataFr
     stored_paths = manifest.paths(FACT_TABLE, years)
     stored = wh.table(FACT_TABLE, manifest, part_values=years)
     new = upsert_facts(stored, facts, start=manifest.max_key(FACT_TABLE), stored_empty=not stored_paths)
-    mk = wh.stage_partitions(version, FACT_TABLE, new.join(years_of, "datum_key"), FACT_PARTITION, "fakt_key")
-    entries = dict(wh.partition_entry(version, FACT_TABLE, FACT_PARTITION, y) for y in years)
+    mk = wh.stage_partitions(attempt, FACT_TABLE, new.join(years_of, "datum_key"), FACT_PARTITION, "fakt_key")
+    entries = dict(wh.partition_entry(attempt, FACT_TABLE, FACT_PARTITION, y) for y in years)
     carried = {k: v for k, v in manifest.partitions(FACT_TABLE).items() if k not in entries}
     return entries, carried, max(manifest.max_key(FACT_TABLE), mk or 0)
 
 
-def load(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> LoadResult:
-    """Load one prepared batch into the warehouse and publish it atomically."""
-    manifest = wh.manifest()
-    version = manifest.version + 1
-    owned = not batch.is_cached
-    if owned:
+def load(spark: SparkSession, wh: Warehouse, batch: DataFrame, manifest: Manifest | None = None) -> LoadResult:
+    """Load one prepared batch into the warehouse and publish it atomically.
+
+    ``manifest`` is the version to build on (default: the current one); if another
+    load has published on it in the meantime, this one raises ``CommitConflict``.
+    """
+    manifest = wh.manifest() if manifest is None else manifest
+    attempt = wh.attempt(manifest)
+    held = []
+    if not batch.is_cached:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(batch)
     try:
-        dims, max_keys, dim_paths = stage_dimensions(wh, version, batch, manifest)
+        dims, max_keys, dim_paths = stage_dimensions(wh, attempt, batch, manifest)
         keyed = key_batch(batch, dims).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(keyed)
         ok, _rejected = split_rejects(keyed)
         facts = fact_rows(ok)
         # the report (with the grain check) and the fact upsert run side by
         # side; the version is committed only if both succeed
-        with ThreadPoolExecutor(max_workers=1) as pool:
-            staged_facts = pool.submit(stage_facts, wh, version, facts, dims["dim_datum"], manifest)
-            report = load_report(keyed)
-            entries, carried, fact_max = staged_facts.result()
+        (entries, carried, fact_max), report = _side_by_side(
+            spark, lambda: stage_facts(wh, attempt, facts, dims["dim_datum"], manifest), lambda: load_report(keyed)
+        )
         if report.pop("n_grains") != report["facts_upserted"]:
             assert_empty(duplicate_keys(facts, FACT_GRAIN), "two batch rows for one fact grain")
-        staged = dict(dim_paths)
-        staged.update(entries)
         max_keys[FACT_TABLE] = fact_max
-        wh.commit(version, staged, carried, max_keys)
-        keyed.unpersist()
-        return LoadResult(version, report)
+        wh.commit(attempt, {**dim_paths, **entries}, carried, max_keys)
+        return LoadResult(attempt.version, report)
     finally:
-        if owned:
-            batch.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def load_frames(spark: SparkSession, wh: Warehouse, monthly: DataFrame, weather: DataFrame) -> LoadResult:

@@ -97,3 +97,23 @@ SELECT {by}_class, syndrome, round(avg(relative_cases), 6) AS avg_relative_cases
        count(relative_cases) AS n_months
 FROM (SELECT {case} AS {by}_class, syndrome, relative_cases FROM flat WHERE {by} IS NOT NULL)
 GROUP BY 1, 2"""
+
+
+def keys_sql(frame: str, first_load: str) -> str:
+    """Surrogate keys of ``frame``'s rows as ``keyed``: rows for which ``first_load``
+    holds were loaded before the others; values and grains get keys in value order,
+    those new to the second load behind those of the first."""
+    stage = f"CASE WHEN {first_load} THEN 0 ELSE 1 END"
+    dims = {"syndrom_key": "syndrome", "altersgruppe_key": "age_group", "edtype_key": "ed_type", "datum_key": "year, month"}
+    ctes = [
+        f"""
+{key}s AS (SELECT {cols}, CAST(row_number() OVER (ORDER BY stage, {cols}) AS BIGINT) AS {key}
+  FROM (SELECT {cols}, min({stage}) AS stage FROM {frame} GROUP BY {cols}))"""
+        for key, cols in dims.items()
+    ]
+    joins = " ".join(f"JOIN {key}s USING ({cols})" for key, cols in dims.items())
+    order = "datum_key, syndrom_key, altersgruppe_key, edtype_key"
+    return "," + ",".join(ctes) + f""",
+numbered AS (SELECT f.*, {stage} AS stage, {order} FROM {frame} f {joins}),
+keyed AS (SELECT *, CAST(row_number() OVER (ORDER BY stage, {order}) AS BIGINT) AS fakt_key FROM numbered)
+"""

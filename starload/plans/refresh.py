@@ -13,12 +13,15 @@ Spark plan the aggregate and the join together without the CSV round trip.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from starload.functions.patterns import MONTHLY_COLUMNS, SERIES_GLOBS, WEATHER_COLUMNS
 from starload.operators.monthly import monthly_aggregate
 from starload.plans.load import LoadResult, load_frames
+from starload.plans.marts import head_rows
 from starload.sources.csv_io import read_csv_typed, write_csv
 from starload.sources.daily_tsv import read_daily_tsv
 from starload.sources.series_files import load_weather
@@ -44,22 +47,39 @@ def transform_daily(spark: SparkSession, daily_path: str, out_csv: str | None =
     return monthly
 
 
-def transform_weather(spark: SparkSession, globs: Mapping[str, str], out_csv: str | None = None) -> DataFrame:
+def series_summary(series: DataFrame) -> DataFrame:
+    """Rows and year range of a monthly series (A6), one row."""
+    return series.agg(F.count(F.lit(1)).alias("n_rows"), F.min("year").alias("min_year"), F.max("year").alias("max_year"))
+
+
+@dataclass
+class WeatherRun:
+    """What the weather step built: the table, its summary (A6) and its first months."""
+
+    weather: DataFrame
+    summary: Row
+    preview: list[Row]
+
+
+def transform_weather(spark: SparkSession, globs: Mapping[str, str], out_csv: str | None = None) -> WeatherRun:
+    """Monthly series files to one weather table, in month order (O1) when written."""
     weather = load_weather(spark, globs)
     if out_csv:
         write_csv(weather.orderBy("year", "month"), out_csv)
-    return weather
+        weather = read_weather(spark, out_csv)
+    return WeatherRun(weather, series_summary(weather).first(), head_rows(weather, ["year", "month"], 5).collect())
+
+
+def read_weather(spark: SparkSession, weather_csv: str) -> DataFrame:
+    types = {c: "double" for c in WEATHER_COLUMNS}
+    types.update(year="int", month="int")
+    return read_csv_typed(spark, weather_csv, types, "monthly weather csv")
 
 
 def read_processed(spark: SparkSession, monthly_csv: str, weather_csv: str) -> tuple[DataFrame, DataFrame]:
     m_types = {c: "double" for c in MONTHLY_COLUMNS}
     m_types.update(year="int", month="int", syndrome="string", age_group="string", ed_type="string")
-    w_types = {c: "double" for c in WEATHER_COLUMNS}
-    w_types.update(year="int", month="int")
-    return (
-        read_csv_typed(spark, monthly_csv, m_types, "monthly facts csv"),
-        read_csv_typed(spark, weather_csv, w_types, "monthly weather csv"),
-    )
+    return read_csv_typed(spark, monthly_csv, m_types, "monthly facts csv"), read_weather(spark, weather_csv)
 
 
 def load_processed(spark: SparkSession, monthly_csv: str, weather_csv: str, warehouse_root: str) -> LoadResult:
@@ -70,5 +90,5 @@ def load_processed(spark: SparkSession, monthly_csv: str, weather_csv: str, ware
 def refresh(spark: SparkSession, daily_path: str, globs: Mapping[str, str], warehouse_root: str) -> LoadResult:
     """Transform and load in one plan, without the CSV hand-over."""
     monthly = transform_daily(spark, daily_path)
-    weather = transform_weather(spark, globs)
+    weather = load_weather(spark, globs)
     return load_frames(spark, Warehouse(spark, warehouse_root), monthly, weather)

@@ -2,13 +2,12 @@
 
 Intermediate files (key allocation checkpoints, fixtures that round-trip
 through files, published warehouse versions in examples) go below the
-cluster's ``spark.checkpoint.dir``, never to a machine-local folder. Only
-when the session has no checkpoint folder (a local test run) is one set.
+cluster's ``spark.checkpoint.dir``, never to a machine-local folder. Only a
+session whose master is local gets a folder of its own when none is set.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,25 +20,34 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "starload", extra=None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "starload", extra=None) -> SparkSession:
+    """A session on the cluster it was submitted to; master and shuffle
+    partitions are set only where the caller names them."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set one only where none is configured."""
+    """The session's checkpoint folder.
+
+    Where none is configured, a session on a local master gets a new folder; on
+    any other master that is an error, as executors would not see it.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: use the configured folder
@@ -52,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         conf_dir = tempfile.mkdtemp(prefix="starload-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -61,12 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/starload-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the path can be handed to local tools (tests)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

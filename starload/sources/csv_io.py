@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions import na_token_to_null, to_double, to_int_key
-from starload.operators.quality import require_columns
-from starload.sources.paths import read_input
+from starload.operators.quality import columns_checked
+from starload.sources.paths import read_headed_text
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -29,19 +29,14 @@ def read_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str], nam
     ``types`` maps column name to ``int`` (tolerant integer), ``double``
     (tolerant float) or ``string`` (missing tokens to NULL).
     """
-    raw = read_input(
-        lambda: spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path),
-        path,
-        name,
-    )
-    require_columns(raw, list(types), name)
+    raw = columns_checked(read_headed_text(spark, path, name, ","), types, name)
     cols = []
     for c, t in types.items():
         s = na_token_to_null(c)
         if t == "int":
-            cols.append(to_int_key(s, c).alias(c))
+            cols.append(to_int_key(c, c).alias(c))
         elif t == "double":
-            cols.append(to_double(s).alias(c))
+            cols.append(to_double(c).alias(c))
         elif t == "string":
             cols.append(s.alias(c))
         else:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_input(make: Callable[[], DataFrame], path: str, what: str) -> DataFrame:
@@ -16,3 +18,49 @@ def read_input(make: Callable[[], DataFrame], path: str, what: str) -> DataFrame
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"{what}: no input found at {path}") from e
         raise
+
+
+def inputs_found(spark: SparkSession, paths: dict[str, str], what: str = "input") -> DataFrame:
+    """Which expected inputs exist (V2): ``input, found, n_files, n_lines``.
+
+    Files are listed and their lines counted by Spark; an absent path or an empty
+    glob is a row with ``found`` false.
+    """
+    out = None
+    for name, path in sorted(paths.items()):
+        try:
+            lines = read_input(lambda p=path: spark.read.text(p), path, what).select(F.col("_metadata.file_path").alias("file"))
+            counts = lines.agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_lines"))
+        except FileNotFoundError:
+            counts = spark.range(0).agg(F.count(F.lit(1)).alias("n_files"), F.count(F.lit(1)).alias("n_lines"))
+        row = counts.select(F.lit(name).alias("input"), (F.col("n_files") > 0).alias("found"), "n_files", "n_lines")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def read_headed_text(spark: SparkSession, path: str, what: str, sep: str) -> DataFrame:
+    """Delimited files with a header line each, every column as text.
+
+    The column order is that of the header Spark meets first; a file whose header
+    differs from it fails the read with that file's name (columns are never bound
+    by position to another file's names). A line with more fields than the header
+    fails too; missing trailing fields are NULL, as in the source's reader.
+    """
+    options = {"sep": sep, "header": True, "quote": '"', "escape": '"', "inferSchema": False}
+    names = read_input(lambda: spark.read.options(**options).csv(path), path, what).columns
+    broken = "_broken_line"
+    schema = StructType([StructField(n, StringType()) for n in [*names, broken]])
+    raw = (
+        spark.read.options(**options)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", broken)
+        .option("columnPruning", False)
+        .schema(schema)
+        .csv(path)
+    )
+    # Spark hands over lines with too few or too many fields; quoted parts do not count.
+    plain = F.regexp_replace(broken, '"(""|[^"])*"', "")
+    fields = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
+    fault = F.raise_error(F.concat(F.lit(f"{what}: more than {len(names)} fields in "), F.input_file_name(), F.lit(": "), F.col(broken)))
+    fits = F.when(F.col(broken).isNotNull() & (fields > len(names)), fault.cast("boolean")).otherwise(F.lit(True))
+    return raw.where(fits).drop(broken)

@@ -15,6 +15,7 @@ files are kilobytes).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,6 +125,16 @@ def load_series(spark: SparkSession, path_glob: str, value_col: str, region: str
     return keep_last(parse_series(files, value_col, region), [value_col])
 
 
+def series_long(spark: SparkSession, globs: Mapping[str, str], region: str = SERIES_REGION_COL) -> DataFrame:
+    """The data rows of several series one behind the other (X1): ``series, file, n,
+    year, month, value``; nothing is lost or merged."""
+    parts = [
+        parse_series(read_series_files(spark, glob), "value", region).withColumn("series", F.lit(name))
+        for name, glob in globs.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def load_weather(spark: SparkSession, globs: Mapping[str, str], region: str = SERIES_REGION_COL) -> DataFrame:
     """Several series de-duplicated and inner-joined on (year, month).
 
@@ -133,13 +144,7 @@ def load_weather(spark: SparkSession, globs: Mapping[str, str], region: str = SE
     joins' shuffles.
     """
     names = list(globs)
-    parts = []
-    for name in names:
-        p = parse_series(read_series_files(spark, globs[name]), "value", region)
-        parts.append(p.withColumn("series", F.lit(name)))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    long = series_long(spark, globs, region)
     order = F.struct("file", "n")
     aggs = [
         F.max_by(F.when(F.col("series") == n, F.col("value")), F.when(F.col("series") == n, order)).alias(n)

@@ -1,12 +1,14 @@
 """Star-schema storage: table schemas (S8), table scans (S6, S7) and the
 all-or-nothing publish of a load (U5).
 
-Tables are Parquet directories. A load writes every changed table to a new
-version folder ``v<n>/<table>`` beside the current one (Spark never
-overwrites a path it is reading) and then writes a one-row commit record
-``_commits/commit-<n>``. Readers take the highest committed version, so a
-load that fails half-way leaves nothing visible; its orphan folder is
-overwritten by the next attempt. The fact table is partitioned by year: a
+Tables are Parquet directories. A load writes every changed table to a folder of
+its own, ``v<n>-<attempt>/<table>``, beside the current one (nothing is ever
+overwritten, so a retry or a second writer never mixes files with another) and
+then writes a one-row commit record ``_commits/commit-<n>``, which must not exist
+yet: of two loads that start from the same version one fails with
+``CommitConflict`` and publishes nothing. Readers take the highest committed
+version, so a load that fails half-way leaves nothing visible. All paths are
+opened by Spark, on whatever file system they name. The fact table is partitioned by year: a
 load rewrites only the years its batch touches and carries the other year
 folders forward by path in the commit record, without reading or copying
 them.
@@ -15,11 +17,11 @@ them.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,16 +65,16 @@ def _literal_map(d: Mapping, value_type: str):
     )
 
 
-def _surely_absent(path: str) -> bool:
-    """True only for a local path that does not exist (other file systems: unknown).
+class CommitConflict(RuntimeError):
+    """Another writer has published, or is publishing, the same version."""
 
-    Avoids a failing read for a warehouse that has no commit yet.
-    """
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    elif "://" in path or ":" in path.split("/")[0]:
-        return False
-    return not os.path.exists(path)
+
+@dataclass(frozen=True)
+class Attempt:
+    """One load's try at a version, with a folder that no other try uses."""
+
+    version: int
+    folder: str
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,16 @@ class Manifest:
         return int(self.max_keys.get(name, 0))
 
 
+def dimension_map(dim: DataFrame, name: str) -> DataFrame:
+    """(key, value) pairs of a stored text dimension."""
+    return dim.select(*TEXT_DIMENSIONS[name])
+
+
+def date_map(dim_datum: DataFrame) -> DataFrame:
+    """(datum_key, jahr, monat) of the stored date dimension."""
+    return dim_datum.select("datum_key", "jahr", "monat")
+
+
 class Warehouse:
     """A versioned set of star-schema tables below one root folder."""
 
@@ -114,29 +126,27 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     # -- reading -------------------------------------------------------------
-    def _commits(self) -> DataFrame | None:
-        if _surely_absent(f"{self.root}/_commits"):
-            return None
+    def _newest_commit(self) -> str | None:
+        """Path of the newest commit record. Only names are listed, no record is opened."""
         try:
-            return (
-                self.spark.read.schema(_COMMIT_SCHEMA)
+            files = (
+                self.spark.read.format("binaryFile")
                 .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.json")
-                .json(f"{self.root}/_commits")
+                .load(f"{self.root}/_commits")
             )
-        except Exception as e:
+        except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 return None
             raise
+        return files.agg(F.max(F.col("_metadata.file_path"))).first()[0]
 
     def manifest(self) -> Manifest:
         """The current version; version 0 (no tables) when nothing is published."""
-        commits = self._commits()
-        if commits is None:
-            return Manifest()
-        row = commits.orderBy(F.col("version").desc()).first()
-        if row is None:
+        newest = self._newest_commit()
+        if newest is None:
             return Manifest()
+        row = self.spark.read.schema(_COMMIT_SCHEMA).json(newest).first()
         return Manifest(int(row["version"]), dict(row["tables"] or {}), dict(row["max_keys"] or {}))
 
     def current_version(self) -> int:
@@ -154,18 +164,14 @@ class Warehouse:
             return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(*paths)
         return empty_table(self.spark, TABLE_SCHEMAS[name])
 
-    def dimension_map(self, name: str, manifest=None) -> DataFrame:
-        """(key, value) pairs of a text dimension."""
-        key, val = TEXT_DIMENSIONS[name]
-        return self.table(name, manifest).select(key, val)
-
-    def date_map(self, manifest=None) -> DataFrame:
-        """(datum_key, jahr, monat) of the date dimension."""
-        return self.table("dim_datum", manifest).select("datum_key", "jahr", "monat")
-
     # -- writing -------------------------------------------------------------
-    def version_path(self, version: int, name: str) -> str:
-        return f"{self.root}/v{version:08d}/{name}"
+    def attempt(self, manifest: Manifest) -> Attempt:
+        """A new try at the version behind the manifest's."""
+        version = manifest.version + 1
+        return Attempt(version, f"{self.root}/v{version:08d}-{uuid.uuid4().hex[:12]}")
+
+    def staged_path(self, attempt: Attempt, name: str) -> str:
+        return f"{attempt.folder}/{name}"
 
     @staticmethod
     def _columns(name: str) -> list[str]:
@@ -177,7 +183,7 @@ class Warehouse:
         if key_col:
             obs = Observation(f"max-key-{uuid.uuid4().hex}")
             df = df.observe(obs, F.max(key_col).alias("max_key"))
-        w = df.write.mode("overwrite")
+        w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(path)
@@ -186,40 +192,51 @@ class Warehouse:
         v = obs.get.get("max_key")
         return int(v) if v is not None else None
 
-    def stage(self, version: int, name: str, df: DataFrame, key_col: str | None = None) -> tuple[DataFrame, int | None]:
+    def stage(self, attempt: Attempt, name: str, df: DataFrame, key_col: str | None = None) -> tuple[DataFrame, int | None]:
         """Write one table of an unpublished version; return it read back and its largest key."""
-        path = self.version_path(version, name)
+        path = self.staged_path(attempt, name)
         mk = self._write(df.select(*self._columns(name)), path, key_col, None)
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(path), mk
 
     def stage_partitions(
-        self, version: int, name: str, df: DataFrame, part_col: str, key_col: str | None = None
+        self, attempt: Attempt, name: str, df: DataFrame, part_col: str, key_col: str | None = None
     ) -> int | None:
-        """Write the given rows partitioned by ``part_col`` (only the partitions present)."""
-        path = self.version_path(version, name)
-        return self._write(df.select(*self._columns(name), part_col), path, key_col, part_col)
+        """Write the given rows partitioned by ``part_col`` (only the partitions present).
 
-    def partition_entry(self, version: int, name: str, part_col: str, value) -> tuple[str, str]:
-        return f"{name}/{part_col}={value}", f"{self.version_path(version, name)}/{part_col}={value}"
+        Rows are first brought together by partition value, so a value gets few
+        files; large ones are split again (a rebalance, not a hash partitioning).
+        """
+        path = self.staged_path(attempt, name)
+        rows = df.select(*self._columns(name), part_col).hint("rebalance", part_col)
+        return self._write(rows, path, key_col, part_col)
+
+    def partition_entry(self, attempt: Attempt, name: str, part_col: str, value) -> tuple[str, str]:
+        return f"{name}/{part_col}={value}", f"{self.staged_path(attempt, name)}/{part_col}={value}"
 
     def commit(
         self,
-        version: int,
+        attempt: Attempt,
         staged: Mapping[str, str],
         carried: Mapping[str, str] | None = None,
         max_keys: Mapping[str, int] | None = None,
     ) -> int:
-        """Publish a version: one small commit record written last."""
+        """Publish a version: one small commit record written last, never over another."""
         tables = dict(carried or {})
         tables.update(staged)
         keys = {k: int(v) for k, v in (max_keys or {}).items()}
         rec = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
+            F.lit(attempt.version).cast("long").alias("version"),
             _literal_map(tables, "string").alias("tables"),
             _literal_map(keys, "long").alias("max_keys"),
         )
-        rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/commit-{version:08d}")
-        return version
+        path = f"{self.root}/_commits/commit-{attempt.version:08d}"
+        try:
+            rec.coalesce(1).write.mode("errorifexists").json(path)
+        except AnalysisException as e:
+            if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+                raise
+            raise CommitConflict(f"version {attempt.version} is taken by another load ({path})") from e
+        return attempt.version
 
     def describe(self) -> str:
         m = self.manifest()

@@ -1,12 +1,13 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starload.operators.keys import assign_keys
 from starload.operators.quality import DataQualityError
-from starload.plans.load import load_frames
+from starload.plans.load import load, load_frames, prepare_batch
 from starload.plans.marts import class_average, seasonality, warehouse_flat_view
-from starload.sources.warehouse import Warehouse
+from starload.sources.warehouse import CommitConflict, Warehouse
 from tests.conftest import plan_text, rows
 
 MONTHLY_SCHEMA = (
@@ -79,8 +80,8 @@ def test_same_batch_twice_changes_nothing(spark, tmp_path):
     assert res.version == 2
     assert facts(wh) == f1 and keys(wh) == k1
     tables = wh.manifest().tables
-    assert "/v00000001/" in tables["dim_syndrom"]     # no new value: carried forward, not rewritten
-    assert "/v00000002/" in tables["dim_datum"]
+    assert "/v00000001-" in tables["dim_syndrom"]     # no new value: carried forward, not rewritten
+    assert "/v00000002-" in tables["dim_datum"]
 
 
 def test_null_weather_overwrites_and_absent_rows_stay(spark, tmp_path):
@@ -135,7 +136,7 @@ def test_flat_view_plan_broadcasts_dimensions(spark, tmp_path):
 def test_ranged_keys_equal_window_keys(spark, values, start):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     small = assign_keys(df, ["v"], "k", start=start)
-    ranged = assign_keys(df, ["v"], "k", start=start, num_partitions=3, small_rows=0)
+    ranged = assign_keys(df, ["v"], "k", start=start, num_partitions=3)
     expect = [(v, start + i + 1) for i, v in enumerate(sorted(values, key=lambda s: s.encode("utf-8")))]
     assert rows(small, "v", "k") == sorted(expect)
     assert rows(ranged, "v", "k") == sorted(expect)
@@ -148,13 +149,13 @@ def test_untouched_years_are_carried_forward(spark, tmp_path):
     man = wh.manifest()
     parts = man.partitions("fakt_erkrankungen")
     assert sorted(parts) == ["fakt_erkrankungen/jahr=2023", "fakt_erkrankungen/jahr=2024"]
-    assert "/v00000001/" in parts["fakt_erkrankungen/jahr=2023"]
-    assert "/v00000002/" in parts["fakt_erkrankungen/jahr=2024"]
+    assert "/v00000001-" in parts["fakt_erkrankungen/jahr=2023"]
+    assert "/v00000002-" in parts["fakt_erkrankungen/jahr=2024"]
     assert man.max_key("fakt_erkrankungen") == 5 and man.max_key("dim_syndrom") == 3
     assert len(facts(wh)) == 5
 
 
-def test_sql_view_equals_dataframe_view(spark, tmp_path):
+def test_registered_view_equals_dataframe_view(spark, tmp_path):
     from starload.plans.marts import register_star
 
     wh = Warehouse(spark, str(tmp_path / "wh"))
@@ -177,16 +178,60 @@ def test_empty_batch_publishes_a_consistent_version(spark, tmp_path):
     assert facts(empty) == []
 
 
-def test_large_dimension_fallback_gives_same_keys(spark, tmp_path, monkeypatch):
-    import starload.plans.load as L
-    from starload.operators.upsert import text_dimension_rows
+def test_second_load_on_a_file_system_that_is_not_the_default_disk(spark, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    hadoop.set("fs.viewfs.mounttable.stars.link./data", f"file://{tmp_path}")
+    hadoop.set("fs.defaultFS", "viewfs://stars/")
+    try:
+        wh = Warehouse(spark, "/data/wh")
+        first = load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
+        second = load_frames(spark, wh, monthly(spark, [(2024, 3, "S3", "00+", "all", 1.0)]), weather(spark, []))
+        assert (first.version, second.version) == (1, 2)
+        got = facts(wh)
+    finally:
+        hadoop.set("fs.defaultFS", before)
+    assert len(got) == 5 and {r[0] for r in got} == {2023, 2024}
 
-    normal = Warehouse(spark, str(tmp_path / "normal"))
-    load_frames(spark, normal, monthly(spark, BATCH), weather(spark, WEATHER))
-    # pretend the new dimension values are too many for one ordered task
-    monkeypatch.setattr(L, "text_dimension_rows", lambda *a, **k: text_dimension_rows(*a, **k, small_rows=0))
-    ranged = Warehouse(spark, str(tmp_path / "ranged"))
-    load_frames(spark, ranged, monthly(spark, BATCH), weather(spark, WEATHER))
-    assert keys(ranged)["dim_syndrom"] == keys(normal)["dim_syndrom"]
-    assert keys(ranged)["dim_altersgruppe"] == keys(normal)["dim_altersgruppe"]
-    assert facts(ranged) == facts(normal)
+
+def test_crash_before_commit_publishes_nothing_and_the_retry_succeeds(spark, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_frames(spark, wh, monthly(spark, BATCH), weather(spark, WEATHER))
+    before = facts(wh)
+    more = [(2024, 3, "S3", "00+", "all", 1.0)]
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            load_frames(spark, wh, monthly(spark, more), weather(spark, []))
+    assert wh.current_version() == 1 and facts(wh) == before
+    assert load_frames(spark, wh, monthly(spark, more), weather(spark, [])).version == 2
+    assert len(facts(wh)) == 5
+    assert len(list((tmp_path / "wh").glob("v00000002-*"))) == 2      # each try has a folder of its own
+
+
+def test_two_loads_on_one_version_conflict(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    start = wh.manifest()
+    batch = prepare_batch(monthly(spark, BATCH), weather(spark, WEATHER))
+    load(spark, wh, batch, manifest=start)
+    before = facts(wh)
+    other = prepare_batch(monthly(spark, [(2023, 1, "S1", "00+", "all", 77.0)]), weather(spark, []))
+    with pytest.raises(CommitConflict):
+        load(spark, wh, other, manifest=start)
+    assert wh.current_version() == 1 and facts(wh) == before
+
+
+def test_a_load_leaves_no_cache_behind(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    dup = BATCH + [(2023, 1, " S1", "00+", "all", 9.0)]
+    with pytest.raises(DataQualityError):
+        load_frames(spark, wh, monthly(spark, dup), weather(spark, WEATHER))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_key_allocation_has_no_single_task_window_over_the_data(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("v"))
+    text = plan_text(assign_keys(df, ["v"], "k"), "simple")
+    assert text.count("Window") == 1 and "rowcount" not in text
+    assert text.index("Window") < text.index("partial_count") and "_pid" in text[text.index("Window"):].splitlines()[0]

@@ -22,7 +22,8 @@ def test_left_join_keeps_left_row_count(spark):
 
 def test_facts_plus_rejects_equal_batch(spark, tmp_path):
     batch = _batch(spark, SF)
-    dims, _, _ = stage_dimensions(Warehouse(spark, str(tmp_path / "w")), 1, batch, Manifest())
+    wh = Warehouse(spark, str(tmp_path / "w"))
+    dims, _, _ = stage_dimensions(wh, wh.attempt(Manifest()), batch, Manifest())
     dims["dim_syndrom"] = dims["dim_syndrom"].filter(F.col("syndrom_key") % 2 == 0)
     ok, rej = split_rejects(key_batch(batch, dims))
     assert ok.count() + rej.count() == batch.count() and rej.count() > 0

@@ -2,24 +2,30 @@ import pytest
 
 from starload.operators.monthly import monthly_aggregate
 from starload.operators.quality import (
+    ColumnsMissing,
     DataQualityError,
     assert_empty,
+    column_coverage,
+    columns_checked,
     duplicate_keys,
     not_constant_within,
     null_counts,
     orphan_keys,
     out_of_range,
-    require_columns,
 )
 from starload.sources.series_files import parse_series
 from tests.conftest import plan_text, rows
 
 
-def test_require_columns(spark):
-    df = spark.createDataFrame([(1, 2)], "a int, b int")
-    require_columns(df, ["a"], "t")
-    with pytest.raises(ValueError, match=r"t is missing columns: \['c'\]. Found: \['a', 'b'\]"):
-        require_columns(df, ["a", "c"], "t")
+def test_wanted_columns(spark):
+    df = spark.createDataFrame([(1, 2), (1, None)], "a int, b int")
+    assert columns_checked(df, ["a"], "t") is df
+    with pytest.raises(ColumnsMissing) as e:
+        columns_checked(df, ["d", "a", "c"], "t")
+    assert (e.value.source, e.value.missing, e.value.found) == ("t", ["c", "d"], ["a", "b"])
+    assert isinstance(e.value, DataQualityError)
+    got = rows(column_coverage(df, ["a", "b", "c"]), "column_name", "present", "n_rows", "n_values")
+    assert got == [("a", True, 2, 2), ("b", True, 2, 1), ("c", False, 2, 0)]
 
 
 def test_duplicates_orphans_nulls_ranges(spark):

@@ -3,9 +3,12 @@ import os
 import pytest
 from pyspark.errors import PySparkException
 
+from starload.functions import parse_date
 from starload.operators.monthly import monthly_aggregate
+from starload.sources.csv_io import read_csv_typed
 from starload.sources.daily_tsv import read_daily_tsv
 from starload.sources.landing import landing_manifest
+from starload.sources.paths import inputs_found
 from starload.sources.series_files import (
     load_series,
     load_weather,
@@ -53,7 +56,7 @@ def test_daily_bad_date_is_an_error(spark, tmp_path):
 def test_daily_missing_column(spark, tmp_path):
     p = tmp_path / "cols" / "series.tsv"
     write(str(p), DAILY.replace("ed_count\n", "count\n", 1))
-    with pytest.raises(ValueError, match="missing columns"):
+    with pytest.raises(ValueError, match="no column ed_count"):
         read_daily_tsv(spark, str(p.parent))
 
 
@@ -164,3 +167,55 @@ def test_csv_source_tokens_and_types(spark, tmp_path):
     write(str(p), "year,month,name,x\n2020.0,1,A,1.5\n,2,NA,\n2021,3,nan,x\n")
     df = read_csv_typed(spark, str(p.parent), {"year": "int", "month": "int", "name": "string", "x": "double"})
     assert rows(df, "month", "year", "name", "x") == [(1, 2020, "A", 1.5), (2, None, None, None), (3, 2021, None, None)]
+
+
+def test_daily_files_with_one_header(spark, tmp_path):
+    write(str(tmp_path / "d" / "a.tsv"), DAILY)
+    write(str(tmp_path / "d" / "b.tsv"), DAILY.replace("S1", "S2"))
+    assert {r["syndrome"] for r in read_daily_tsv(spark, str(tmp_path / "d")).collect()} == {"S1", "S2", None}
+
+
+def test_daily_file_with_another_column_order_raises(spark, tmp_path):
+    write(str(tmp_path / "d" / "a.tsv"), DAILY)
+    write(str(tmp_path / "d" / "b.tsv"), DAILY.replace("syndrome\tage_group", "age_group\tsyndrome"))
+    with pytest.raises(Exception, match="(?s)CSV header does not conform.*CSV file: .*d/[ab].tsv"):
+        read_daily_tsv(spark, str(tmp_path / "d")).collect()
+
+
+def test_surplus_fields_raise_and_missing_ones_are_null(spark, tmp_path):
+    write(str(tmp_path / "short" / "a.tsv"), DAILY.replace("\t12\n", "\n"))
+    got = rows(read_daily_tsv(spark, str(tmp_path / "short")).where("ed_count is null"), "relative_cases")
+    assert got == [(4.0,)]
+    write(str(tmp_path / "long" / "a.tsv"), DAILY.replace("\t12\n", "\t12\t13\n"))
+    with pytest.raises(PySparkException, match="more than 10 fields in .*a.tsv"):
+        read_daily_tsv(spark, str(tmp_path / "long")).select("date").collect()
+    write(str(tmp_path / "csv" / "a.csv"), 'a,b\n1,"x,y"\n')
+    assert rows(read_csv_typed(spark, str(tmp_path / "csv"), {"a": "int", "b": "string"})) == [(1, "x,y")]
+    write(str(tmp_path / "csv2" / "a.csv"), "a,b\n1,x,y\n")
+    with pytest.raises(PySparkException, match="more than 2 fields"):
+        read_csv_typed(spark, str(tmp_path / "csv2"), {"a": "int", "b": "string"}).collect()
+
+
+@pytest.mark.parametrize("text", ["2023", "2023-01-02 garbage", "2023-01-02Txx", "2023-1-2", " 2023-01-02"])
+def test_loose_dates_raise(spark, text):
+    with pytest.raises(PySparkException, match="cannot parse date"):
+        spark.createDataFrame([(text,)], "t string").select(parse_date("t")).collect()
+
+
+def test_series_keep_the_last_file(spark, tmp_path):
+    for name, value in (("01", "1,0"), ("02", "2,0")):
+        write(str(tmp_path / "s" / f"regional_averages_tm_{name}.txt"), f"x\nJahr;Monat;Deutschland;\n2023;01;{value};\n")
+    got = load_series(spark, str(tmp_path / "s" / "regional_averages_tm_*.txt"), "v")
+    assert rows(got, "year", "month", "v") == [(2023, 1, 2.0)]
+
+
+def test_series_lines_end_at_any_line_boundary(spark, tmp_path):
+    write(str(tmp_path / "s" / "f.txt"), "x\x0cJahr;Monat;Deutschland;\u20282023;01;1,5;\x852023;02;2,5;\n")
+    assert rows(load_series(spark, str(tmp_path / "s" / "*.txt"), "v"), "month", "v") == [(1, 1.5), (2, 2.5)]
+
+
+def test_inputs_found(spark, tmp_path):
+    write(str(tmp_path / "in" / "a.txt"), "1\n2\n")
+    write(str(tmp_path / "in" / "b.txt"), "3\n")
+    got = inputs_found(spark, {"here": str(tmp_path / "in" / "*.txt"), "gone": str(tmp_path / "no" / "*.txt")})
+    assert rows(got, "input", "found", "n_files", "n_lines") == [("gone", False, 0, 0), ("here", True, 2, 3)]
