@@ -170,22 +170,24 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     gives one row with the words of its blocks that are taken at least t times: the
     whole text, unchanged, if that is all of it, else the words joined by spaces.
     ``n_chars`` is set anew. A document of which nothing is taken goes."""
-    plan = mixed(docs).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tie").alias("_tie"), F.col("size").alias("_size"), F.col("pieces").alias("_pieces"))
+    plan = mixed(docs).select(F.xxhash64("doc_id", "source", "tie").alias("plan_k"), "doc_id", "source", "tie", "pieces")
+    plan = plan.withColumn("nth", F.row_number().over(Window.partitionBy("plan_k").orderBy("doc_id", "source", "tie", F.to_json("pieces")))).select("plan_k", "nth", "pieces")
     # Equal rows may lie in different blocks: they are told apart by their number.
     # Both sides number them in the same order, so the join needs only one key and
     # the texts move once.
-    key = lambda *c: F.xxhash64(*c)
-    own = docs.withColumn("_own_tie", F.xxhash64(text_or_empty()))
-    own = own.withColumn("_k", key(F.col("doc_id").cast("long"), F.col("source").cast("string"), "_own_tie"))
-    own = own.withColumn("_own_nth", F.row_number().over(Window.partitionBy("_k").orderBy("doc_id", "source", "_own_tie")))
-    plan = plan.withColumn("_plan_k", key("_id", "_source", "_tie"))
-    plan = plan.withColumn("_nth", F.row_number().over(Window.partitionBy("_plan_k").orderBy("_id", "_source", "_tie", F.to_json("_pieces"))))
-    held = own.join(plan, (F.col("_k") == F.col("_plan_k")) & (F.col("_own_nth") - F.col("_nth") == 0))
-    held = held.withColumn("_time", F.explode(F.array(*[F.lit(t) for t in range(1, REPEATS + 1)])))
-    mine = F.filter("_pieces", lambda p: p["times"] >= F.col("_time"))
-    held = held.withColumn("_mine", mine).where(F.size("_mine") > 0)
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    some = F.array_join(F.flatten(F.transform("_mine", lambda p: F.slice(F.col("_words"), p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
-    whole = F.size("_mine") == F.size("_pieces")
-    held = held.withColumn("_words", F.when(~whole, words)).withColumn("text", F.when(whole, F.col("text")).otherwise(some))
-    return held.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("src"),
+        F.xxhash64(text_or_empty()).alias("own_tie"),
+    )
+    own = own.withColumn("k", F.xxhash64("id", "src", "own_tie"))
+    own = own.withColumn("own_nth", F.row_number().over(Window.partitionBy("k").orderBy("id", "src", "own_tie")))
+    held = own.join(plan, (F.col("k") == F.col("plan_k")) & (F.col("own_nth") - F.col("nth") == 0))
+    held = held.select("row", "pieces", F.explode(F.array(*[F.lit(t) for t in range(1, REPEATS + 1)])).alias("time"))
+    held = held.withColumn("mine", F.filter("pieces", lambda p: p["times"] >= F.col("time"))).where(F.size("mine") > 0)
+    text = F.col("row").getField("text").cast("string")
+    whole = F.size("mine") == F.size("pieces")
+    held = held.withColumn("words", F.when(~whole, F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))))
+    some = F.array_join(F.flatten(F.transform("mine", lambda p: F.slice(F.col("words"), p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
+    held = held.withColumn("new_text", F.when(whole, text).otherwise(some))
+    new = {"text": F.col("new_text"), "n_chars": F.char_length("new_text").cast("long")}
+    return held.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

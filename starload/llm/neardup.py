@@ -221,7 +221,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay: one for each component. Of rows with
     the doc_id that names it, that with the smallest text stays (nulls first)."""
-    found = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    held = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
-    return held.withColumn("_nth", F.row_number().over(order)).where("doc_id is null or _nth = 1").drop("_nth")
+    found = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("id")).distinct().withColumn("k", F.xxhash64("id"))
+    # One key without nulls, so that the join's shuffle also serves the window.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
+    own = own.withColumn("own_k", F.xxhash64("own_id"))
+    held = own.join(found, (F.col("own_k") == F.col("k")) & F.col("own_id").eqNullSafe(F.col("id")), "left_semi")
+    rest = F.to_json(F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "text"]))
+    order = Window.partitionBy("own_k", "own_id").orderBy(F.col("row").getField("text"), rest)
+    held = held.withColumn("nth", F.row_number().over(order)).where("own_id is null or nth = 1")
+    return held.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

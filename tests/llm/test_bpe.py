@@ -1,0 +1,102 @@
+"""Operators 4 and 7 against the libraries themselves."""
+
+import base64
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starload.llm import bpe, token_counts, wordpieces
+from tests.llm import helpers as h
+
+PATH = public_tokenizers.path(bpe.RANKS)
+with open(PATH, "rb") as f:
+    RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+LIBRARY = Tokenizer.from_file(public_tokenizers.path(token_counts.MODEL))
+TRICKY = ["", " ", "  ", "a  b", " a", "a ", "a \n b", "x  y", "it's  we'll", "<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "日本 é́ 👍🏽", "aaaa " * 9, "\x1c \x1d\x85 z", "12 345 6"]
+
+
+def ids(text):
+    import numpy as np
+
+    [v] = bpe._encoder(PATH, public_tokenizers.PATTERN)([text])
+    return np.frombuffer(b"".join(v), np.int32).tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="ab ' \n\t.!0é日 \x85\x1c<|endofx>", max_size=60), st.lists(st.sampled_from(TRICKY), max_size=4).map(" ".join)))
+def test_equal_to_the_libraries(text):
+    assert ids(text) == TIKTOKEN.encode_ordinary(text)
+    [n] = token_counts._counter(public_tokenizers.path(token_counts.MODEL))([text])
+    assert sum(n) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(wordpieces, "REMEMBERED", 5)
+    for text in TRICKY + ["one two three four five six seven eight nine " * 3]:
+        assert ids(text) == TIKTOKEN.encode_ordinary(text)
+
+
+def test_parts_join_to_the_text():
+    for text in TRICKY:
+        assert " ".join(wordpieces.parts(text)) == text
+
+
+def test_byte_characters():
+    chars = wordpieces.byte_characters()
+    assert len(set(chars)) == 256 and chars[65] == "A" and not any(c.isspace() for c in chars)
+
+
+def test_documents(spark):
+    docs = h.documents(spark)
+    got = {r.doc_id: r for r in bpe.round_trip(docs).collect()}
+    counts = {r.doc_id: r for r in token_counts.counted(docs).collect()}
+    for r in docs.collect():
+        own = TIKTOKEN.encode_ordinary(r.text)
+        data = r.text.encode()
+        assert tuple(got[r.doc_id])[1:] == (len(own), hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest(), hashlib.sha256(data).hexdigest())
+        n = len(LIBRARY.encode(r.text, add_special_tokens=False).ids)
+        assert tuple(counts[r.doc_id])[1:] == (len(data), n, n > 512)
+
+
+def test_offsets(spark):
+    texts = TRICKY + ["split 👩‍👩‍👧 characters ǅ"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = bpe.tokenizer(PATH, public_tokenizers.PATTERN)
+    for r in bpe.encode(df, offsets=True).collect():
+        own = model.encode(r.text, add_special_tokens=False)
+        assert r.ids == own.ids
+        assert [tuple(x) for x in zip(r.starts, r.ends, strict=True)] == own.offsets
+
+
+def test_split_characters_decode(spark):
+    own = TIKTOKEN.encode_ordinary("👍🏽")
+    assert len(own) > 2
+    df = spark.createDataFrame([(own,), (own[:1],), ([],), (None,)], "ids array<int>")
+    assert [bytes(r.decoded) for r in bpe.decode(df).collect()] == ["👍🏽".encode(), TIKTOKEN.decode_bytes(own[:1]), b"", b""]
+    with pytest.raises(PySparkException, match="outside the vocabulary"):
+        bpe.decode(spark.createDataFrame([([50256],)], "ids array<int>")).collect()
+
+
+def test_odd_rows(spark):
+    nothing = hashlib.sha256(b"").hexdigest()
+    got = bpe.round_trip(h.clashing(spark, "ids", "decoded", "n_tokens")).collect()
+    assert len(got) == len(h.ODD)
+    assert {tuple(r)[1:] for r in got if r.doc_id in (2, 3)} == {(0, nothing, nothing)}
+    counts = token_counts.counted(h.clashing(spark, "n_tokens", "n_bytes")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in counts if r.doc_id in (2, 3, 5)} == {2: (0, 0), 3: (0, 0), 5: (150_000, len(LIBRARY.encode("word " * 30_000).ids))}
+    docs = h.clashing(spark, "ids", "extra")
+    full = bpe.encoded_documents(docs)
+    assert full.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert full.count() == len(h.ODD)
+    for f in (bpe.round_trip, token_counts.counted, bpe.encoded_documents):
+        assert f(h.empty(spark)).collect() == []
+    long = spark.createDataFrame([(1, "é" * 400_000)], "doc_id long, text string")
+    assert bpe.round_trip(long).first().decoded_sha256 == long.select(F.sha2("text", 256)).first()[0]
