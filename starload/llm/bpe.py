@@ -31,7 +31,6 @@ from .wordpieces import PartEncoder, byte_characters
 
 RANKS = "byte_bpe_50k.tiktoken"
 BATCH_BYTES = 1 << 20
-IDS = "ids array<int>"
 
 
 @cache
@@ -42,13 +41,19 @@ def token_bytes(path: str) -> list[bytes]:
     return [found.get(i, b"") for i in range(max(found) + 1)]
 
 
+@cache
+def vocabulary(path: str) -> list[str]:
+    """Each id's token, with a character for each byte."""
+    chars = byte_characters()
+    return ["".join([chars[b] for b in t]) for t in token_bytes(path)]
+
+
 @cache
 def tokenizer(path: str, pattern: str):
     """A tokenizers.Tokenizer with the ranks' vocabulary."""
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-    tokens, chars = token_bytes(path), byte_characters()
-    named = ["".join([chars[b] for b in t]) for t in tokens]
+    named = vocabulary(path)
     vocab = {n: i for i, n in enumerate(named) if n}
     merges = [(n[:k], n[k:]) for n in named for k in range(1, len(n)) if n[:k] in vocab and n[k:] in vocab]
     out = Tokenizer(models.BPE(vocab, merges, ignore_merges=True))
@@ -78,25 +83,56 @@ def spans(ids: np.ndarray, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray
     return char[starts + 1] - 1 if len(ids) else starts, char[ends]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoded(batches: Batches, ranks: str, pattern: str, text_col: str, offsets: bool) -> Batches:
+    path = public_tokenizers.path(ranks)
+    for b in batches:
+        data, at = texts(b[text_col])
+        for lo, hi in runs(at, BATCH_BYTES):
+            own = [bytes(data[at[i] : at[i + 1]]) for i in range(lo, hi)]
+            coded = [np.frombuffer(b"".join(v), np.int32) for v in _encoder(path, pattern)([t.decode() for t in own])]
+            cols = {"ids": coded}
+            if offsets:
+                found = [spans(i, t, _lengths(path)) for i, t in zip(coded, own, strict=True)]
+                cols |= {"starts": [f[0] for f in found], "ends": [f[1] for f in found]}
+            yield with_columns(b.slice(lo, hi - lo), {k: _lists(v) for k, v in cols.items()})
+
+
+def _decoded(batches: Batches, ranks: str, ids_col: str) -> Batches:
+    # The tokens' characters, turned to bytes by the reversed table.
+    back = {c: b for b, c in enumerate(byte_characters())}
+    made = [bytes([back[c] for c in token]) for token in vocabulary(public_tokenizers.path(ranks))]
+    for b in batches:
+        lists = b[ids_col]
+        out = []
+        for i in range(len(lists)):
+            own = lists[i].values.to_numpy(zero_copy_only=False).tolist() if lists[i].is_valid else []
+            if own and (min(own) < 0 or max(own) >= len(made)):
+                raise ValueError("an id outside the vocabulary")
+            out.append(b"".join([made[x] for x in own]))
+        yield with_columns(b, {"decoded": pa.array(out, pa.binary())})
+
+
 def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN, text_col: str = "text", offsets: bool = False) -> DataFrame:
     """Adds ``ids`` and, if asked for, ``starts`` and ``ends`` (character offsets)."""
     workers_import(docs.sparkSession)
     new = {"ids": "array<int>"} | ({"starts": "array<int>", "ends": "array<int>"} if offsets else {})
+    return docs.mapInArrow(lambda batches: _encoded(batches, ranks, pattern, text_col, offsets), added(docs, new))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = public_tokenizers.path(ranks)
-        for b in batches:
-            data, at = texts(b[text_col])
-            for lo, hi in runs(at, BATCH_BYTES):
-                own = [bytes(data[at[i] : at[i + 1]]) for i in range(lo, hi)]
-                coded = [np.frombuffer(b"".join(v), np.int32) for v in _encoder(path, pattern)([t.decode() for t in own])]
-                cols = {"ids": coded}
-                if offsets:
-                    found = [spans(i, t, _lengths(path)) for i, t in zip(coded, own, strict=True)]
-                    cols |= {"starts": [f[0] for f in found], "ends": [f[1] for f in found]}
-                yield with_columns(b.slice(lo, hi - lo), {k: _lists(v) for k, v in cols.items()})
 
-    return docs.mapInArrow(run, added(docs, new))
+def decode(coded: DataFrame, ranks: str = RANKS, ids_col: str = "ids") -> DataFrame:
+    """Adds ``decoded``, the bytes of the ids."""
+    workers_import(coded.sparkSession)
+    return coded.mapInArrow(lambda batches: _decoded(batches, ranks, ids_col), added(coded, {"decoded": "binary"}))
+
+
+def encode_and_decode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN, text_col: str = "text") -> DataFrame:
+    """Adds ``ids`` and ``decoded`` in one pass of the Python workers."""
+    workers_import(docs.sparkSession)
+    run = lambda batches: _decoded(_encoded(batches, ranks, pattern, text_col, False), ranks, "ids")
+    return docs.mapInArrow(run, added(docs, {"ids": "array<int>", "decoded": "binary"}))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -105,33 +141,10 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
 
 
-def decode(coded: DataFrame, ranks: str = RANKS, ids_col: str = "ids") -> DataFrame:
-    """Adds ``decoded``, the bytes of the ids."""
-    workers_import(coded.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The vocabulary's own characters, turned to bytes by the reversed table.
-        path = public_tokenizers.path(ranks)
-        back = {c: b for b, c in enumerate(byte_characters())}
-        model = tokenizer(path, public_tokenizers.PATTERN)
-        made = [bytes([back[c] for c in model.id_to_token(i)]) if t else None for i, t in enumerate(token_bytes(path))]
-        for b in batches:
-            lists = b[ids_col]
-            out = []
-            for i in range(len(lists)):
-                own = lists[i].values.to_numpy(zero_copy_only=False).tolist() if lists[i].is_valid else []
-                if own and (min(own) < 0 or max(own) >= len(made)):
-                    raise ValueError("an id outside the vocabulary")
-                out.append(b"".join([made[x] for x in own]))
-            yield with_columns(b, {"decoded": pa.array(out, pa.binary())})
-
-    return coded.mapInArrow(run, added(coded, {"decoded": "binary"}))
-
-
 def round_trip(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` from ids and decoded bytes."""
-    coded = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).drop("text")
-    return decode(coded).select("doc_id", *digests())
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return encode_and_decode(given).select("doc_id", *digests())
 
 
 def digests() -> list:
@@ -145,6 +158,6 @@ def digests() -> list:
 def encoded_documents(docs: DataFrame) -> DataFrame:
     """The columns of ``documents`` with the digests of their ids and decoded bytes;
     a column named like a new one is replaced."""
-    done = decode(encode(docs.withColumn("text", F.col("text").cast("string"))))
+    done = encode_and_decode(docs.withColumn("text", F.col("text").cast("string")))
     new = ("n_tokens", "ids_sha256", "decoded_sha256")
     return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*new, "ids", "decoded")], *digests())

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 2 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -20,11 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers started from this session import the package.
+    """Let Python workers started from this session import the package, and bound
+    the Arrow batches they get.
 
-    On a cluster the package is shipped with ``--py-files``; this covers local
-    sessions that were started from another folder.
+    On a cluster the package is shipped with ``--py-files``; the path covers local
+    sessions that were started from another folder. A batch holds ``ARROW_BYTES`` or
+    one long row, not 10,000 rows of any length; a smaller limit of the session stays.
     """
+    limit = spark.conf.get(ARROW_LIMIT, "67108864b").removesuffix("b")
+    if not limit.isdigit() or int(limit) > ARROW_BYTES:
+        spark.conf.set(ARROW_LIMIT, str(ARROW_BYTES))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:

@@ -140,11 +140,12 @@ def mixed(docs: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS, seed:
     bits = max(0, (sized.count() - 1) // RANGE_ROWS).bit_length()
     key = F.xxhash64(F.lit(seed), "doc_id", "tie")
     ranged = sized.withColumn("key", key).withColumn("part", F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long"))
-    # Where each document begins in its source's stream: by ranges of the order, then within a range.
+    # Where each document begins in its source's stream: by ranges of the order (that
+    # of the key without sign), then within a range.
     parts = ranged.groupBy("source", "part").agg(F.sum("size").alias("n"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("source", "part", F.coalesce(F.sum("n").over(before(Window.partitionBy("source").orderBy("part"))), F.lit(0)).alias("first"))
-    within = before(Window.partitionBy("source", "part").orderBy("key", "doc_id", "tie", "size"))
+    within = before(Window.partitionBy("source", "part").orderBy(F.col("key") < 0, "key", "doc_id", "tie", "size"))
     begun = ranged.withColumn("begin", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same = lambda a, b, cols: [a[c].eqNullSafe(b[c]) for c in cols]
     begun = begun.join(parts, same(begun, parts, ["source", "part"])).select(begun["source"], "doc_id", "tie", "size", (F.col("begin") + F.col("first")).alias("begin"))

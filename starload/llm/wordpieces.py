@@ -19,7 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 JOINED_BYTES = 1 << 16
 #: Parts that a worker remembers at most; beyond, it forgets them all.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def byte_characters() -> list[str]:
