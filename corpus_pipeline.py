@@ -7,7 +7,8 @@ columns of ``documents``:
 1. quality rules: documents that fail the base rules or hold mostly boilerplate
    lines go;
 2. quality classifier: documents that resemble bad ones go;
-3. MinHash near-dedup: one document of each group stays, that with the smallest id;
+3. MinHash near-dedup: documents whose sets of five-word shingles are similar by 0.8
+   or more form groups; one of each stays, that with the smallest id;
 4. mixing: each source gives its target number of words, in whole blocks;
 5. byte-level BPE: ids, digests of ids and of the decoded bytes.
 
@@ -23,6 +24,9 @@ from starload.llm import bpe, compression_quality, line_quality, mixing, neardup
 from starload.llm.common import table, written
 
 
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_quality.passing(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,7 +36,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs)
+    return neardup.one_of_each(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@
 3. Within a cluster, candidates' signatures are compared batch by batch. A pair
    leaves as soon as the posterior chance that its similarity reaches the
    threshold, given the matches so far, falls below ``MISS``. Survivors are
-   verified on their full sets: 100 * intersection >= PERCENT * union.
+   verified on their full sets: 100 * intersection >= percent * union.
    A pair whose ends are already joined by verified links needs no verification,
    so what leaves a task is a spanning forest and never all pairs.
 4. Components of the verified links, named by the smallest doc_id.
@@ -17,8 +17,8 @@ A cluster too large for one task is split into blocks; each pair of blocks is a
 task of its own, so no group is ever held whole. The two large joins are merge
 joins at every size, so the work grows evenly and hot keys can be split.
 
-The chance that a linked pair shares no band is (1 - 0.85**ROWS)**BANDS, about
-2e-7 at the threshold and far less above it.
+The chance that a linked pair shares no band is (1 - s**ROWS)**BANDS for the
+similarity s: 1e-9 at 0.85, 3e-6 at 0.8, and far less above.
 
 Cases: null, empty and wordless texts have an empty set and are linked with
 nothing; a null doc_id takes part in no link, has a null component and is kept;
@@ -44,8 +44,8 @@ from .words import chunks, mix, shingle_sets
 
 WIDTH = 5
 PERCENT = 85
-BANDS, ROWS = 48, 8
-BATCH = 32
+BANDS, ROWS = 54, 7
+BATCH = 42
 #: Chance, for each comparison, to drop a pair that reaches the threshold.
 MISS = 1e-9
 #: A task compares two blocks of about so many documents or bytes at most.
@@ -76,7 +76,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 @cache
-def least_matches(percent: int = PERCENT, miss: float = MISS) -> tuple[int, ...]:
+def least_matches(percent: int, miss: float = MISS) -> tuple[int, ...]:
     """For each number of batches the fewest matches with which a pair stays.
 
     With a uniform prior and m matches among n, the posterior chance of a
@@ -108,12 +108,12 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def candidates(sig_i: np.ndarray, sig_j: np.ndarray, key_i: np.ndarray, key_j: np.ndarray) -> np.ndarray:
+def candidates(sig_i: np.ndarray, sig_j: np.ndarray, key_i: np.ndarray, key_j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Estimated similarity of one signature with some others, -1 for pairs that
     share no band or were pruned."""
     alive = np.flatnonzero((key_j == key_i).any(axis=1))
     matches = np.zeros(len(alive), np.int64)
-    for k, least in enumerate(least_matches()):
+    for k, least in enumerate(least_matches(percent)):
         part = slice(k * BATCH, (k + 1) * BATCH)
         matches += (sig_j[alive, part] == sig_i[part]).sum(axis=1)
         stay = matches >= least
@@ -125,17 +125,17 @@ def candidates(sig_i: np.ndarray, sig_j: np.ndarray, key_i: np.ndarray, key_j: n
     return out
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets reach the threshold."""
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
     both = np.concatenate((a, b))
     both.sort(kind="stable")
     common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def forest(ids: list[int], sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple[int, int]]:
+def forest(ids: list[int], sets: list[np.ndarray], left: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Verified links that join the members as all their links would. ``left``
     marks the first of two blocks: pairs within one block are left to others."""
     root = list(range(len(ids)))
@@ -155,30 +155,30 @@ def forest(ids: list[int], sets: list[np.ndarray], left: np.ndarray | None = Non
             others = others[left[others] != left[i]]
         if not len(others):
             continue
-        seen = candidates(sig[i], sig[others], keys[i], keys[others])
+        seen = candidates(sig[i], sig[others], keys[i], keys[others], percent)
         for k in np.argsort(-seen, kind="stable"):
             if seen[k] < 0:
                 break
             j = int(others[k])
             x, y = top(i), top(j)
-            if x != y and linked(sets[i], sets[j]):
+            if x != y and linked(sets[i], sets[j], percent):
                 root[max(x, y)] = min(x, y)
                 links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
     return links
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for (_, x, y), t in keyed_groups(batches, ["cluster", "x", "y"]):
         data, at = texts(t["text"])
         sets = [s for c in chunks(data, at, lower=True) for s in shingle_sets(c, WIDTH)]
         left = None if x == y else np.array(t["block"].to_pylist()) == x
-        if links := forest(t["doc_id"].to_pylist(), sets, left):
+        if links := forest(t["doc_id"].to_pylist(), sets, left, percent):
             a, b = zip(*links, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each row; links reach ``percent``."""
     spark = docs.sparkSession
     workers_import(spark)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc_id", "text"
     )
     tasks = dealt.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "doc_id")
-    reached = components(tasks.mapInArrow(_verified, "a long, b long"), "links")
+    reached = components(tasks.mapInArrow(lambda batches: _verified(batches, percent), "a long, b long"), "links")
 
     named = classes.select("set_id", "rep").join(reached, F.col("rep") == F.col("node"), "left").select("set_id", F.coalesce("component", "rep").alias("component"))
     # A doc_id that names several sets belongs to the smallest of their components.
@@ -218,10 +218,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``documents`` that stay: one for each component. Of rows with
     the doc_id that names it, that with the smallest text stays (nulls first)."""
-    found = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("id")).distinct().withColumn("k", F.xxhash64("id"))
+    found = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("id")).distinct().withColumn("k", F.xxhash64("id"))
     # One key without nulls, so that the join's shuffle also serves the window.
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
     own = own.withColumn("own_k", F.xxhash64("own_id"))

@@ -26,7 +26,7 @@ def test_stages(spark):
             model = compression_quality.fit(table(spark, h.SF, "documents"), labels)
             assert ids(out) == ids(compression_quality.scored(docs, model).where("predicted = 1"))
         elif name == "near_dedup":
-            parts = plain([(r.doc_id, r.text) for r in docs.collect()])
+            parts = plain([(r.doc_id, r.text) for r in docs.collect()], cp.NEAR_PERCENT)
             assert ids(out) == sorted(d for d, (_, c) in parts.items() if d == c)
         elif name == "mix_sources":
             words = out.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n"))
