@@ -72,6 +72,7 @@ def digest(data: bytes) -> bytes:
 
 
 def encode(raw: bytes) -> str:
+    """A digest as text."""
     return base64.b64encode(raw).decode()
 
 
@@ -101,24 +102,26 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-_NAMES = [c.split()[0] for c in RESULT.split(", ")]
+#: What tasks write; texts of digests are made from the bytes at the end.
+RAW = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_TYPES = {"long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+_FIELDS = [(n, _TYPES[t]) for n, t in (c.split() for c in RAW.split(", "))]
 
 
 def _row(doc_id, text: str, raw: bytes, following: str, next_raw: bytes) -> tuple:
     changed = edited(text, following)
     data = changed.encode()
     own = digest(data)
-    return (doc_id, len(text), hashlib.sha256(data).hexdigest(), encode(raw), encode(own), likeness(raw, own), likeness(raw, next_raw))
+    return (doc_id, len(text), hashlib.sha256(data).digest(), raw, own, likeness(raw, own), likeness(raw, next_raw))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted texts in, result rows out (kind 0). A partition's last text waits for
     the next partition: kinds 1 and 2 carry the first and the last text."""
-    empty = [None] * len(_NAMES)
+    empty = [None] * len(_FIELDS)
     part = doc_id = text = raw = None
     rows: list[tuple] = []
-    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("text", pa.string()), ("doc_id", pa.int64()), ("n_chars", pa.int64()), *[(c, pa.string()) for c in _NAMES[2:5]], ("near_edited", pa.float64()), ("near_next", pa.float64())])
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("text", pa.string()), *_FIELDS])
     out = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
     for b in batches:
         for p, d, t in zip(b["part"].to_pylist(), b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
@@ -141,7 +144,7 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         made = [_row(d, t, digest(t.encode()), f, digest(f.encode())) for d, t, f in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["following"].to_pylist(), strict=True)]
         if made:
-            yield pa.RecordBatch.from_arrays([pa.array(c) if i else pa.array(c, pa.int64()) for i, c in enumerate(zip(*made, strict=True))], names=_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*made, strict=True), _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,7 +162,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .sortWithinPartitions("doc_id", "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
-    made = written(ordered.mapInArrow(_slices, "kind int, part int, text string, " + RESULT), "fingerprints")
+    made = written(ordered.mapInArrow(_slices, "kind int, part int, text string, " + RAW), "fingerprints")
     # One first and one last row for each partition: the successor of a last text
     # is the first of the next partition that has rows, or the first of all.
     order = Window.orderBy("part")
@@ -172,4 +175,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .join(first.withColumnRenamed("part", "next_part"), "next_part")
         .select("doc_id", "text", "following")
     )
-    return made.where("kind = 0").select(*_NAMES).unionByName(ends.mapInArrow(_ends, RESULT))
+    done = made.where("kind = 0").select(*[n for n, _ in _FIELDS]).unionByName(ends.mapInArrow(_ends, RAW))
+    base64 = lambda c: F.translate(F.base64(c), "\r\n", "")  # noqa: E731  one line, whatever the session's setting
+    as_text = {"edited_sha256": F.lower(F.hex("edited_sha256")), "fingerprint": base64("fingerprint"), "edited_fingerprint": base64("edited_fingerprint")}
+    return done.withColumns(as_text)
