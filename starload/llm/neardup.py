@@ -22,7 +22,8 @@ similarity s: 1e-9 at 0.85, 3e-6 at 0.8, and far less above.
 
 Cases: null, empty and wordless texts have an empty set and are linked with
 nothing; a null doc_id takes part in no link, has a null component and is kept;
-repeated rows get equal results; an empty table gives an empty result; texts of
+repeated rows get equal results, and rows that share a doc_id but not their text are
+each named by their own text's component; an empty table gives an empty result; texts of
 any length are taken whole. Other columns of the input are not read.
 """
 
@@ -209,7 +210,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     reached = components(tasks.mapInArrow(lambda batches: _verified(batches, percent), "a long, b long"), "links")
 
     named = classes.select("set_id", "rep").join(reached, F.col("rep") == F.col("node"), "left").select("set_id", F.coalesce("component", "rep").alias("component"))
-    # A doc_id that names several sets belongs to the smallest of their components.
     return (
         signed.select("doc_id", "n_shingles", "set_id")
         .join(named, "set_id", "left")

@@ -63,14 +63,14 @@ def test_every_row_may_land_anywhere(spark):
     """Over many seeds the shard of a row is uniform."""
     docs = spark.createDataFrame([(i, str(i)) for i in range(12)], "doc_id long, text string").coalesce(1).cache()
     seen = Counter()
-    for seed in range(12):
-        seen.update((r.doc_id, r.shard) for r in sharding.uniform_shards(docs, shards=3, seed=seed, block_rows=4).collect())
+    for seed in range(5):
+        seen.update((r.doc_id, r.shard) for r in sharding.uniform_shards(docs, shards=3, seed=seed, block_rows=6).collect())
     docs.unpersist()
     by_shard = Counter()
     for (_, s), n in seen.items():
         by_shard[s] += n
-    assert set(by_shard.values()) == {48}
-    assert len(seen) > 30 and max(seen.values()) < 12
+    assert set(by_shard.values()) == {20}
+    assert len(seen) > 24 and max(seen.values()) < 5
 
 
 def test_odd_rows(spark):
