@@ -40,40 +40,48 @@ SPREAD = 10
 
 def _span(lo: Column, hi: Column, down: bool = False) -> Column:
     """The integers lo..hi, none if hi < lo; from hi to lo if ``down``."""
-    ends = (hi, lo, F.lit(-1).cast("long")) if down else (lo, hi, F.lit(1).cast("long"))
-    return F.when(hi < lo, F.array().cast("array<long>")).otherwise(F.sequence(F.least(*ends[:2]) if not down else ends[0], F.greatest(*ends[:2]) if not down else ends[1], ends[2]))
+    step = F.lit(-1 if down else 1).cast("long")
+    return F.when(hi >= lo, F.sequence(hi, lo, step) if down else F.sequence(lo, hi, step)).otherwise(F.array().cast("array<long>"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
     """Number of good ones among ``draws`` from ``total`` of which ``good`` are
     good, as the quantile of ``u`` in [0, 1) with values taken outward from the mode."""
-    bad = total - good
-    lo, hi = F.greatest(F.lit(0).cast("long"), draws - bad), F.least(draws, good)
-    mode = F.least(hi, F.greatest(lo, F.floor((draws + 1) * ((good + 1) / (total + 2)))))
-    share = good / F.greatest(total, F.lit(1))
-    wide = F.ceil(SPREAD * F.sqrt(draws * share * (1 - share) * (total - draws) / F.greatest(total - 1, F.lit(1)))) + 20
-    first, last = F.greatest(lo, mode - wide), F.least(hi, mode + wide)
-    more = lambda k: (good - k).cast("double") * (draws - k) / ((k + 1).cast("double") * (bad - draws + k + 1))
-    less = lambda k: k.cast("double") * (bad - draws + k) / ((good - k + 1).cast("double") * (draws - k + 1))
-    one, zero, none = F.lit(1.0), F.lit(0.0), F.lit(None).cast("long")
-
-    def walk(start: Column, t: Column | None) -> Column:
+    long = lambda x: F.lit(x).cast("long")
+    given = F.struct((total - good).alias("bad"), good.alias("good"), draws.alias("draws"), u.alias("u"))
+
+    def limits(p: Column) -> Column:
+        n, share = p["good"] + p["bad"], p["good"] / F.greatest(p["good"] + p["bad"], long(1))
+        lo, hi = F.greatest(long(0), p["draws"] - p["bad"]), F.least(p["draws"], p["good"])
+        mode = F.least(hi, F.greatest(lo, F.floor((p["draws"] + 1) * ((p["good"] + 1) / (n + 2)))))
+        wide = F.ceil(SPREAD * F.sqrt(p["draws"] * share * (1 - share) * (n - p["draws"]) / F.greatest(n - 1, long(1)))) + 20
+        return F.struct(mode.alias("mode"), F.greatest(lo, mode - wide).alias("first"), F.least(hi, mode + wide).alias("last"))
+
+    def walk(p: Column, q: Column, t: Column | None) -> Column:
         """Sum of the weights outward from the mode, and where it passes t."""
+        more = lambda k: (p["good"] - k).cast("double") * (p["draws"] - k) / ((k + 1).cast("double") * (p["bad"] - p["draws"] + k + 1))
+        less = lambda k: k.cast("double") * (p["bad"] - p["draws"] + k) / ((p["good"] - k + 1).cast("double") * (p["draws"] - k + 1))
 
         def step(ratio):
             def f(a: Column, k: Column) -> Column:
                 c = a["sum"] + a["w"]
-                at = none if t is None else F.coalesce(a["at"], F.when(c > t, k))
+                at = F.lit(None).cast("long") if t is None else F.coalesce(a["at"], F.when(c > t, k))
                 return F.struct((a["w"] * ratio(k)).alias("w"), c.alias("sum"), at.alias("at"))
 
             return f
 
-        up = F.aggregate(_span(mode, last), start, step(more))
-        turned = F.struct((one * less(mode)).alias("w"), up["sum"].alias("sum"), up["at"].alias("at"))
-        return F.aggregate(_span(first, mode - 1, down=True), turned, step(less))
+        start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("at"))
+        up = F.aggregate(_span(q["mode"], q["last"]), start, step(more))
+        turn = lambda a: F.struct(less(q["mode"]).alias("w"), a["sum"].alias("sum"), a["at"].alias("at"))
+        return _let(up, lambda a: F.aggregate(_span(q["first"], q["mode"] - 1, down=True), turn(a), step(less)))
 
-    start = F.struct(one.alias("w"), zero.alias("sum"), none.alias("at"))
-    return F.coalesce(walk(start, u * walk(start, None)["sum"])["at"], mode)
+    found = lambda p, q: _let(p["u"] * walk(p, q, None)["sum"], lambda t: F.coalesce(walk(p, q, t)["at"], q["mode"]))
+    return _let(given, lambda p: _let(limits(p), lambda q: found(p, q)))
 
 
 def uniform(*parts) -> Column:
@@ -87,8 +95,7 @@ def _split(caps: Column, rows: Column, draws: Column, node: Column, seed: int) -
     def step(a: Column, j: Column) -> Column:
         good = F.get(caps, j)
         k = hypergeometric(a["rows"], good, a["draws"], uniform(F.lit(seed), node, j))
-        # A field of its own first: the draw is used twice.
-        return F.transform(F.array(k), lambda x: F.struct((a["rows"] - good).alias("rows"), (a["draws"] - x).alias("draws"), F.array_append(a["out"], x).alias("out")))[0]
+        return _let(k, lambda x: F.struct((a["rows"] - good).alias("rows"), (a["draws"] - x).alias("draws"), F.array_append(a["out"], x).alias("out")))
 
     start = F.struct(rows.alias("rows"), draws.alias("draws"), F.array().cast("array<long>").alias("out"))
     return F.aggregate(F.sequence(F.lit(0), F.size(caps) - 1), start, step)["out"]
