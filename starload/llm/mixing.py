@@ -6,7 +6,9 @@ allotted to the sources by highest quotients target / (2 * blocks + 1), so a
 source's quota is an integer; as this rule never takes back a block when more are
 dealt, the quotas of the first k shards nest and their differences are each
 shard's integer quotas. A source with quota q of b blocks gives every block
-q // b times and q % b blocks, chosen by a seeded permutation, once more.
+q // b times and one run of q % b neighbouring blocks once more. As the documents'
+order is seeded, a run is a random choice of whole documents; only those at its two
+ends are taken in part.
 
 Targets: sources in code point order, null last, weigh 1, 2, 3, repeating, and
 share all words; a target stops at ``REPEATS`` times its source's words and the
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 from .common import text_or_empty, written
 
 WORD = r"[^\x20\x09-\x0D]+"
+SEPARATOR, SEPARATORS = r"[\x20\x09-\x0D]", " \t\n\v\f\r"
+#: Between a separator and the word behind it.
+PARTS = rf"(?<={SEPARATOR})(?!{SEPARATOR})(?!\z)"
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
 BLOCK_WORDS = 64
@@ -93,17 +98,13 @@ def shard_quotas(sizes: list[int], wanted: list[float], shards: int = SHARDS, bl
 
 
 def _stride(blocks: int, seed: int) -> tuple[int, int]:
-    """Factor and shift of a permutation of 0..blocks-1, k -> (k * factor + shift) mod blocks."""
-    from math import gcd
-
-    factor = (seed * 2_654_435_761 + int(blocks * 0.6180339887)) % blocks if blocks > 1 else 1
-    while gcd(factor, blocks) != 1:
-        factor += 1
-    return factor % blocks or 1, seed % max(blocks, 1)
+    """Factor and shift of a permutation of 0..blocks-1, k -> (k * factor + shift) mod blocks.
+    The factor is 1, so neighbours stay neighbours."""
+    return 1, seed % max(blocks, 1)
 
 
 def source_plan(sized: DataFrame, shards: int = SHARDS, block: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """One row for each source: words, target, quotas and block permutation."""
+    """One row for each source: words, target, quotas and the first block of its run."""
     spark = sized.sparkSession
     rows = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     rows = sorted(rows, key=lambda r: (r.source is None, (r.source or "").encode()))
@@ -113,16 +114,17 @@ def source_plan(sized: DataFrame, shards: int = SHARDS, block: int = BLOCK_WORDS
     out = []
     for i, r in enumerate(rows):
         blocks = max(1, -(-sizes[i] // block))
-        factor, shift = _stride(blocks, seed + i)
         of_shards = [q[i] for q in quotas]
-        out.append((r.source, sizes[i], wanted[i], blocks, sum(of_shards), of_shards, factor, shift))
-    schema = "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, factor long, shift long"
+        # A run ends before the last block does, so it has no gap within a document.
+        _, start = _stride(blocks - sum(of_shards) % blocks + 1, seed + i)
+        out.append((r.source, sizes[i], wanted[i], blocks, sum(of_shards), of_shards, start))
+    schema = "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, start long"
     return spark.createDataFrame(out, schema)
 
 
 def _times(block: Column) -> Column:
     """How often the mix takes a block of a source; columns of its plan are at hand."""
-    once_more = F.pmod(block * F.col("factor") + F.col("shift"), F.col("blocks")) < F.pmod("quota", "blocks")
+    once_more = (block >= F.col("start")) & (block < F.col("start") + F.pmod("quota", "blocks"))
     return F.expr("quota div blocks") + once_more.cast("long")
 
 
@@ -168,9 +170,9 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as rows of ``documents``. For each time t = 1..``REPEATS`` a document
-    gives one row with the words of its blocks that are taken at least t times: the
-    whole text, unchanged, if that is all of it, else the words joined by spaces.
-    ``n_chars`` is set anew. A document of which nothing is taken goes."""
+    gives one row with its blocks that are taken at least t times: the whole text,
+    unchanged, if that is all of it, else the span of the text from the first to the
+    last of their words. ``n_chars`` is set anew. A document of which nothing is taken goes."""
     plan = mixed(docs).select(F.xxhash64("doc_id", "source", "tie").alias("plan_k"), "doc_id", "source", "tie", "pieces")
     plan = plan.withColumn("nth", F.row_number().over(Window.partitionBy("plan_k").orderBy("doc_id", "source", "tie", F.to_json("pieces")))).select("plan_k", "nth", "pieces")
     # Equal rows may lie in different blocks: they are told apart by their number.
@@ -187,8 +189,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     held = held.withColumn("mine", F.filter("pieces", lambda p: p["times"] >= F.col("time"))).where(F.size("mine") > 0)
     text = F.col("row").getField("text").cast("string")
     whole = F.size("mine") == F.size("pieces")
-    held = held.withColumn("words", F.when(~whole, F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))))
-    some = F.array_join(F.flatten(F.transform("mine", lambda p: F.slice(F.col("words"), p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
+    # Parts begin at words; separators before the first word are a part of their own.
+    held = held.withColumn("parts", F.when(~whole, F.split(text, PARTS)))
+    lead = text.rlike(f"^{SEPARATOR}").cast("int")
+    first, n = F.col("mine")[0]["first"].cast("int"), F.aggregate("mine", F.lit(0), lambda a, p: a + p["words"].cast("int"))
+    span = F.when(first == 0, F.slice("parts", F.lit(1), n + lead)).otherwise(F.slice("parts", first + lead + 1, n))
+    cut = F.array_join(span, "")
+    to_end = F.element_at("mine", -1) == F.element_at("pieces", -1)
+    some = F.when(to_end, cut).otherwise(F.rtrim(cut, F.lit(SEPARATORS)))
     held = held.withColumn("new_text", F.when(whole, text).otherwise(some))
     new = {"text": F.col("new_text"), "n_chars": F.char_length("new_text").cast("long")}
     return held.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -115,6 +115,31 @@ def test_mixed_documents_hold_the_taken_words(spark):
             assert r.text == text[d] or all(w in it for w in WORD.findall(r.text))
 
 
+def test_documents_are_taken_whole_but_at_the_ends_of_a_run(spark):
+    docs = h.documents(spark, h.SF01)
+    text = {r.doc_id: (r.source, r.text) for r in docs.collect()}
+    cut = defaultdict(list)
+    for r in mixing.mixed_documents(docs).collect():
+        if r.text != text[r.doc_id][1]:
+            cut[r.source].append(r)
+    assert cut and all(len(rows) <= 2 for rows in cut.values())
+    for rows in cut.values():  # a span of the text with its lines
+        assert all(r.text in text[r.doc_id][1] for r in rows)
+
+
+def test_parts_of_a_text_keep_their_separators(spark):
+    long = "".join(f"{' ' * (i % 3)}\n\tw{i}é\x85 \r\n" for i in range(3000))
+    rows = [(i, t, "en", s, None) for i, (t, s) in enumerate([(long, "a"), (long, "b"), (long.strip(), "c"), (long.strip(), "d")])]
+    docs = spark.createDataFrame(rows, h.SCHEMA)
+    report = {r.doc_id: r for r in mixing.mix_report(docs).collect()}
+    got = defaultdict(list)
+    for r in mixing.mixed_documents(docs).collect():
+        assert r.text in rows[r.doc_id][1] and r.n_chars == len(r.text)
+        got[r.doc_id].append(len(WORD.findall(r.text)))
+    assert {d: sum(n) for d, n in got.items()} == {d: r.taken for d, r in report.items() if r.taken}
+    assert any(n < report[d].size for d, ns in got.items() for n in ns)
+
+
 def test_odd_rows(spark):
     docs = h.clashing(spark, "size", "taken", "target", "k", "row", "pieces", "_time")
     rows = mixing.mix_report(docs).collect()
