@@ -10,7 +10,9 @@
    its text is always the same (least and greatest hash of the text). A slot that
    is constant over at least ``CONSTANT_PAGES`` pages is template, a varying one is
    content, unless its element's name or marks say menu, header, footer, sidebar,
-   notice, advert, form or comments, or all its text is links.
+   notice, advert, form or comments, or all its text is links. Marks like
+   'has-sidebar' and those around a main element say nothing; within a main element
+   a mark that may be a topic ('related-work') counts only with links or a constant text.
 4. Each page is aligned to its host's reference again; the blocks of its content
    slots, in page order, are its text. On a page with marked main elements (article,
    main) only slots within them count.
@@ -54,6 +56,11 @@ CHROME_WORDS = frozenset(
     share sharing social related recommended comment comments commentlist disqus respond reply replies discussion
     pagination pager toc skip form contentinfo complementary alert""".split()
 )
+#: Of these, the words that rule out a part of a main element whatever it holds; a
+#: section of an article may bear any other one as its topic.
+SURE_WORDS = frozenset("ad ads advert adverts adbox sponsored nav navbar breadcrumb breadcrumbs sidebar share sharing comment comments commentlist disqus respond reply replies pagination pager".split())
+#: In a mark, words behind these tell what stands beside or is missing.
+BESIDE_WORDS = frozenset("with without has have no not hide".split())
 MAIN_TAGS = frozenset(("article", "main"))
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -71,20 +78,32 @@ def label(node: Node) -> str:
     return _label(node.tag, node.marks)
 
 
+def _marked(marks: str) -> Iterator[str]:
+    """The chrome words that marks name as what the element is."""
+    for m in marks.split():
+        own = re.search("article|post|entry|content", m) is not None
+        for w in _WORD.findall(m):
+            if w in BESIDE_WORDS:
+                break
+            if w in CHROME_WORDS and not (own and w in ("header", "masthead", "side")):
+                yield w
+
+
 @lru_cache(maxsize=4096)
-def chrome(lab: str, inside_main: bool = False) -> bool:
-    """Whether a label is no main text by its tag or marks; a header within an
-    article belongs to it."""
+def chrome(lab: str, inside_main: bool = False, around_main: bool = False) -> str:
+    """'out' if a label is no main text by its tag or marks, 'doubt' if its marks may
+    also be a topic, else ''. A header within an article belongs to it; marks say
+    nothing of an element around a main one."""
     tag, _, marks = lab.partition(" ")
     if tag in CHROME_TAGS and not (inside_main and tag == "header"):
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    for m in marks.split():
-        own = re.search("article|post|entry|content", m) is not None or inside_main
-        if any(w in CHROME_WORDS and not (own and w in ("header", "masthead", "side")) for w in _WORD.findall(m)):
-            return True
-    return False
+        return "out"
+    if tag in ("html", "body", "article", "main") or around_main:
+        return ""
+    found = set(_marked(marks))
+    if not inside_main:
+        return "out" if found else ""
+    found -= {"header", "masthead", "side"}
+    return "out" if found & SURE_WORDS else "doubt" if found else ""
 
 
 # A skeleton is (label, [children]); like neighbours are one repeated node.
@@ -301,15 +320,19 @@ def _slots(packed: str, reference: str) -> dict[str, str]:
 
 
 @lru_cache(maxsize=65536)
-def standing(path: str) -> tuple[bool, bool]:
-    """Whether a path lies in a main element, and whether chrome rules it out."""
-    main = False
-    for step in path.split("/")[1:]:
-        lab = step.removeprefix("+").rpartition(".")[0]
-        if chrome(lab, main):
-            return main, True
+def standing(path: str) -> tuple[bool, bool, bool]:
+    """Whether a path lies in a main element, whether chrome rules it out, and
+    whether it does so if its slot is constant or holds links."""
+    main = doubt = False
+    labels = [step.removeprefix("+").rpartition(".")[0] for step in path.split("/")[1:]]
+    last = max((i for i, lab in enumerate(labels) if lab.partition(" ")[0] == "main"), default=-1)
+    for i, lab in enumerate(labels):
+        kind = chrome(lab, main, i < last)
+        if kind == "out":
+            return main, True, doubt
+        doubt = doubt or kind == "doubt"
         main = main or lab.partition(" ")[0] in MAIN_TAGS
-    return main, False
+    return main, False, doubt
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,8 +357,9 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = [_slots(s, r)[p] for s, r, p in zip(b["skeleton"].to_pylist(), b["reference"].to_pylist(), b["path"].to_pylist(), strict=True)]
         main = [standing(p)[0] for p in b["path"].to_pylist()]
         title = [m and p.rpartition("/")[2].startswith("h1") for m, p in zip(main, b["path"].to_pylist(), strict=True)]
+        doubt = [standing(p)[2] for p in b["path"].to_pylist()]
         kept = ["host", "pages", "least", "most", "chars", "links"]
-        yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(slots, pa.string()), pa.array(main), pa.array(title)], names=[*kept, "slot", "main", "title"])
+        yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(slots, pa.string()), pa.array(main), pa.array(title), pa.array(doubt)], names=[*kept, "slot", "main", "title", "doubt"])
 
 
 _COUNTS = "pages long, least long, most long, chars long, links long"
@@ -351,12 +375,12 @@ def wrappers(hosted: DataFrame) -> DataFrame:
     shape = hosted.mapInArrow(_shapes, f"host string, skeleton string, path string, {_COUNTS}")
     shape = written(_counted(shape, "host", "skeleton", "path"), "page-shapes")
     reference = shape.where("path = ''").groupBy("host").agg(F.max_by("skeleton", F.struct("pages", "skeleton")).alias("reference"), F.sum("pages").alias("of_host"))
-    slots = shape.join(reference.select("host", "reference"), "host").mapInArrow(_aligned, f"host string, {_COUNTS}, slot string, main boolean, title boolean")
-    judged = _counted(slots.where("slot <> ''"), "host", "slot", "main", "title")
+    slots = shape.join(reference.select("host", "reference"), "host").mapInArrow(_aligned, f"host string, {_COUNTS}, slot string, main boolean, title boolean, doubt boolean")
+    judged = _counted(slots.where("slot <> ''"), "host", "slot", "main", "title", "doubt")
     differ = Window.partitionBy("host", "main")
     judged = judged.withColumn("varied", F.max((F.col("least") != F.col("most")) & ~F.col("title")).over(differ)).join(reference, "host")
     constant = (F.col("least") == F.col("most")) & (F.col("pages") >= CONSTANT_PAGES) & (2 * F.col("pages") >= F.col("of_host")) & F.col("varied") & ~F.col("title")
-    only_links = ~F.col("main") & (F.col("links") > 0) & (10 * F.col("links") >= 9 * F.col("chars"))
+    only_links = (~F.col("main") | F.col("doubt")) & (F.col("links") > 0) & (10 * F.col("links") >= 9 * F.col("chars"))
     fixed = judged.where(constant | only_links).groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template"))
     return written(reference.select("host", "reference").join(fixed, "host", "left"), "wrappers")
 

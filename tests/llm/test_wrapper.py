@@ -115,6 +115,18 @@ def test_copies_of_one_article_stay(spark):
     assert by == {**dict.fromkeys(range(4), "Same One text."), **{4 + i: f"Same One text, edit {i}." for i in range(4)}}
 
 
+def test_marks_that_name_no_chrome(spark):
+    around = "<div class='content-with-sidebar'><p>Text {0}</p></div>"
+    has = "<body><div id=page class='has-sidebar no-menu'><p>Text {0}</p><div class='sidebar-left'>s{0}</div></div></body>"
+    holds = "<div class='menu-page'><main><p>Text {0}</p></main></div>"
+    within = "<article><p>Text {0}</p><section id=related-work><p>Work {0}</p></section><section id=discussion><p>Talk {0}</p></section>"
+    within += "<div class=comments>c{0}</div><div class=related><a href=x>Link {0}</a></div><div class=notice>Same</div></article>"
+    sites = [around, has, holds, within]
+    pages = [(f"//h{k}.example/{i}", s.format(i)) for k, s in enumerate(sites) for i in range(5)]
+    by = {r.page_id: r.text for r in wrapper.main_texts(site(spark, pages)).collect()}
+    assert by == {5 * k + i: f"Text {i}" + (f" Work {i} Talk {i}" if k == 3 else "") for k in range(4) for i in range(5)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (2, "not a url", ""), (None, "http://x/", "<p>a</p>"), (3, "http://x/", "plain"), (4, "http://x/", "<p>" + "long " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'own' as host", "1 as reference", "2 as text")
