@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression_quality, digest, line_quality, mixing, neardup, sharding, token_counts, warc, wrapper
+from . import bpe, compression_quality, digest, filter_audit, line_quality, mixing, neardup, sharding, token_counts, warc, wrapper
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _ALL = (
     op1_document_fingerprints,
     op2_near_duplicates,
@@ -61,8 +65,9 @@ _ALL = (
     op8_compression_quality,
     op9_main_text,
     op10_warc,
+    op11_filter_audit,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Only where SQL can express the result.
-ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE, "op11_filter_audit": filter_audit.ORACLE}

@@ -1,0 +1,113 @@
+"""Filter audit against counting every order document by document."""
+
+import random
+import re
+from fractions import Fraction
+from itertools import permutations
+from math import factorial
+
+import pytest
+from pyspark.sql import functions as F
+
+from starload.llm import filter_audit as fa
+from tests.llm.helpers import ODD, clashing, empty, odd
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def fails(text, doc_id, rows):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    out = set()
+    if len(words) < 200:
+        out.add("A")
+    if 100 * len(set(words)) < 50 * len(words):
+        out.add("B")
+    if 100 * len(re.findall("[A-Z]", text)) > 3 * len(text):
+        out.add("C")
+    if re.search(r"[#$%&*|]", text):
+        out.add("D")
+    if doc_id is not None and any(d is not None and d < doc_id and (t or "") == text for d, t, *_ in rows):
+        out.add("E")
+    return out
+
+
+def brute(rows, labels):
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    docs = [(r[2] or "", r[0], fails(r[1] or "", r[0], rows)) for r in rows]
+    out = {}
+    for part in {p for p, _, _ in docs}:
+        mine = [(d, f) for p, d, f in docs if p == part]
+        share = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = list(mine)
+            for k, f in enumerate(order, 1):
+                gone = [x for x in left if f in x[1]]
+                left = [x for x in left if f not in x[1]]
+                share[f] += len(gone)
+                out[part, "".join(order), k] = [
+                    len(left), len(gone), sum(f in x[1] for x in mine) - len(gone), sum(x[1] == {f} for x in mine),
+                    sum(x[0] in good for x in gone), sum(x[0] in toxic for x in gone),
+                ]
+        for (p, o, k), v in out.items():
+            if p == part:
+                v.append(share[o[k - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def told(df):
+    c = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    got = [(tuple(r[x] for x in ("part", "filter_order", "step")), tuple(r[x] for x in c)) for r in df.collect()]
+    assert len(dict(got)) == len(got)
+    return dict(got)
+
+
+def test_kernel_equations_give_shapley_values():
+    rng = random.Random(5)
+    for n in (2, 3, 5):
+        worth = [0] + [rng.randrange(1000) for _ in range(2**n - 1)]
+        want = [Fraction(0)] * n
+        for order in permutations(range(n)):
+            s = 0
+            for i in order:
+                want[i] += Fraction(worth[s | 1 << i] - worth[s], factorial(n))
+                s |= 1 << i
+        got = [sum(w * v for w, v in zip(row, worth, strict=True)) for row in fa.solution(n)]
+        assert got == want
+
+
+def test_odd_rows(spark):
+    labels = [(1, 1, 0), (7, 1, 1), (7, 0, None), (4, None, 1), (None, 1, 1), (5, 0, 0), (99, 1, 1)]
+    got = told(fa.audit(odd(spark), spark.createDataFrame(labels, LABELS)))
+    assert got == brute(ODD, labels)
+    assert {k[0] for k in got} == {"en", "fr", "de", ""} and len(got) == 4 * 600
+
+
+def test_random_rows_with_many_copies(spark):
+    rng = random.Random(11)
+    pool = [" ".join(rng.choice(["aa", "bb", "Cc", "d#", "E"]) + str(rng.randrange(9)) for _ in range(rng.choice([3, 150, 260]))) for _ in range(12)]
+    pool += [" ".join(str(i) for i in range(k)) for k in (199, 200, 201)] + ["A" * 3 + "b" * 97, "A" * 4 + "b" * 96]
+    rows = [(i if i % 17 else None, rng.choice(pool) if i % 3 else pool[0], rng.choice(["x", "y", None, ""])) for i in range(300)]
+    rows += rng.sample(rows, 40)
+    labels = [(rng.randrange(320), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert told(fa.audit(df, spark.createDataFrame(labels, LABELS))) == brute([(a, b, c) for a, b, c in rows], labels)
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    labels = spark.createDataFrame([(1, 1, 0)], LABELS)
+    plain = told(fa.audit(odd(spark), labels))
+    names = ["part", "failed", "digest", "words", "n", "good", "toxic", "quality", "first", "total"]
+    assert told(fa.audit(clashing(spark, *names), labels.withColumn("text", F.lit("x")))) == plain
+    assert fa.audit(empty(spark), labels).count() == 0
+    assert {v[4:6] for v in told(fa.audit(odd(spark), spark.createDataFrame([], LABELS))).values()} == {(0, 0)}
+
+
+def test_other_filters(spark):
+    conditions = {"L": F.length("text") < 10, "N": F.size("words") == 0}
+    got = told(fa.audit(odd(spark), spark.createDataFrame([], LABELS), conditions, copies=None))
+    assert {k[1] for k in got} == {"LN", "NL"}
+    # every row without words is short: N after L removes nothing
+    assert all(v[1] == 0 for k, v in got.items() if k[1:] == ("LN", 2))
+    with pytest.raises(ValueError):
+        fa.audit(odd(spark), odd(spark), {"X": F.lit(True)}, copies=None)
