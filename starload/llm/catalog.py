@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression_quality, digest, filter_audit, line_quality, mixing, neardup, sharding, token_counts, warc, wrapper
+from . import bpe, compression_quality, digest, filter_audit, language_centroids, line_quality, mixing, neardup, sharding, token_counts, vector_codes, warc, wrapper
 from .common import table
 
 
@@ -54,6 +54,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_centroids.languages(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_document_fingerprints,
     op2_near_duplicates,
@@ -66,8 +74,10 @@ _ALL = (
     op9_main_text,
     op10_warc,
     op11_filter_audit,
+    op12_vector_codes,
+    op13_language_centroids,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Only where SQL can express the result.
-ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE, "op11_filter_audit": filter_audit.ORACLE}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
