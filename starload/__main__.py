@@ -2,8 +2,9 @@
 
 ``transform`` writes the processed CSV files, ``load`` loads them, ``refresh``
 does both in one plan, ``report`` writes the BI aggregates of the published
-version as CSV, every row of them, and prints where and how many. The session runs
-on the cluster it is submitted to.
+version as CSV, every row of them, and prints where and how many. ``view`` points the
+catalog view at the newest version, ``clean`` removes what the newest versions do not
+need. The session runs on the cluster it is submitted to.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from starload.plans.catalog_view import DATABASE, publish_view
 from starload.plans.marts import report_tables
 from starload.plans.refresh import load_processed, refresh, transform_daily, transform_weather, weather_globs
 from starload.session import build_session
@@ -20,11 +22,14 @@ from starload.sources.warehouse import Warehouse
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starload")
-    ap.add_argument("command", choices=["transform", "load", "refresh", "report"])
+    ap.add_argument("command", choices=["transform", "load", "refresh", "report", "view", "clean"])
     ap.add_argument("--daily", help="daily tab-separated series (file, folder or glob)")
     ap.add_argument("--series", help="root of the monthly series folders")
     ap.add_argument("--processed", help="folder for the processed CSV hand-over")
     ap.add_argument("--warehouse", help="warehouse root folder")
+    ap.add_argument("--state", help="folder of the monthly state: refresh then reads new daily files only")
+    ap.add_argument("--database", default=DATABASE, help="database of the catalog view")
+    ap.add_argument("--keep", type=int, default=2, help="versions that clean keeps")
     ap.add_argument("--out", help="folder for the report's CSV files")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     a = ap.parse_args(argv)
@@ -39,8 +44,12 @@ def main(argv=None) -> None:
         res = load_processed(spark, f"{a.processed}/monthly_facts", f"{a.processed}/monthly_weather", a.warehouse)
         print(json.dumps({"version": res.version, **res.report}))
     elif a.command == "refresh":
-        res = refresh(spark, a.daily, weather_globs(a.series), a.warehouse)
+        res = refresh(spark, a.daily, weather_globs(a.series), a.warehouse, a.state)
         print(json.dumps({"version": res.version, **res.report}))
+    elif a.command == "view":
+        print(json.dumps({"version": publish_view(Warehouse(spark, a.warehouse), a.database)}))
+    elif a.command == "clean":
+        print(json.dumps({"removed": Warehouse(spark, a.warehouse).clean(a.keep)}))
     else:
         wh = Warehouse(spark, a.warehouse)
         print(wh.describe())

@@ -1,51 +1,60 @@
 """Dense surrogate keys in value order (U4).
 
-A window without partition key would move every row into one task. Here rows
-are range-partitioned and sorted on the order columns, each row gets its
-position inside its partition (``monotonically_increasing_id`` counts rows per
-partition in iteration order), and a per-partition row count turns positions
-into global ranks: ``key = start + rows in earlier partitions + position + 1``.
-The number of partitions is Spark's (adaptive execution joins small ones). The
-ranged frame is checkpointed to the shared checkpoint folder between the two
-passes so partition ids and positions cannot change on a recomputation. The
-offset table has one row per partition, so broadcasting it is bounded by the
-partition count, not by the data. One method serves every input size.
+A window without partition key would move every row into one task. Here the rows are
+written once, range-partitioned and sorted on the order columns, and read back: a row's
+key is its number in its file (``_metadata.row_index``) behind the rows of the files
+before it,
+
+    key = start + rows in earlier files + row number in the file + 1
+
+The rows of each file are counted by the write itself (observed, no further job), so
+ranking costs the sample that finds the ranges and the write, whatever the size, and the
+keyed rows are a plain scan however often they are used. The number of partitions is
+Spark's (adaptive execution joins small ones). The files stand in a shared folder, so
+keys cannot change on a recomputation after a lost executor. One count for each file
+reaches the driver: that is bounded by the partition count, not by the data. One method
+serves every input size.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from starload.session import checkpoint_root
+from starload.session import scratch_path
 
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
+MOST_PARTITIONS = 100_000  # more would be counted by approximation
+_PART = r"part-(\d+)-"
 
 
-def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, start: int = 0, num_partitions: int | None = None) -> DataFrame:
+def assign_keys(
+    df: DataFrame, order_by: Sequence[str], key_col: str, start: int = 0, num_partitions: int | None = None, path: str | None = None
+) -> DataFrame:
     """Add ``key_col`` = start + 1, start + 2, ... in ascending ``order_by`` order.
 
     ``order_by`` should be unique (dimension values, a fact grain); ties get
-    distinct keys in an unspecified order.
+    distinct keys in an unspecified order. The ranked rows are written to ``path``, a
+    folder that does not exist yet (default: one below the session's checkpoint folder).
     """
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "keys")
     ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
-    ranged = (
-        ranged.sortWithinPartitions(*order_by)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS))
-        .checkpoint(eager=True)
-    )
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return (
-        ranged.join(F.broadcast(offsets), "_pid")
-        .withColumn(key_col, (F.lit(start) + F.col("_base") + F.col("_pos") + F.lit(1)).cast("long"))
-        .drop("_pid", "_pos", "_base")
+    counted = Observation(f"rows-{uuid.uuid4().hex}")
+    # A histogram with a bin for each value is their exact count.
+    numbered = ranged.sortWithinPartitions(*order_by).withColumn("_pid", F.spark_partition_id())
+    numbered = numbered.observe(counted, F.histogram_numeric("_pid", F.lit(MOST_PARTITIONS)).alias("rows")).drop("_pid")
+    numbered.write.option("maxRecordsPerFile", 0).parquet(path)
+    rows = sorted((int(r["x"]), int(r["y"])) for r in counted.get["rows"] or [])
+    before = dict(zip([p for p, _ in rows], accumulate((n for _, n in rows), initial=0)))
+    ranked = spark.read.schema(df.schema).parquet(path).select(
+        "*", F.regexp_extract(F.col("_metadata.file_name"), _PART, 1).cast("int").alias("_pid"), F.col("_metadata.row_index").alias("_pos")
     )
+    base = F.element_at(F.map_from_arrays(F.array(*[F.lit(p) for p in before]), F.array(*[F.lit(n) for n in before.values()])), F.col("_pid")) if before else F.lit(0)
+    return ranked.withColumn(key_col, (F.lit(start) + base + F.col("_pos") + F.lit(1)).cast("long")).drop("_pid", "_pos")
 
 
 def max_key(df: DataFrame, key_col: str) -> int:

@@ -8,7 +8,7 @@ nothing is collected except, in ``assert_empty``, a handful of sample rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,16 @@ class ColumnsMissing(DataQualityError):
         self.source, self.missing, self.found = source, missing, found
 
 
+class ConstraintViolation(DataQualityError):
+    """A version of the star would break its constraints; ``violations`` holds a
+    ``rule, subject, violations`` mapping for each broken one."""
+
+    def __init__(self, violations: list[dict]):
+        told = "; ".join(f"{v['rule']} {v['subject']}: {v['violations']}" for v in violations)
+        super().__init__(f"nothing published, constraints broken: {told}")
+        self.violations = violations
+
+
 def columns_checked(df: DataFrame, wanted: Iterable[str], source: str) -> DataFrame:
     """The frame itself if it has the wanted columns (V1), else ``ColumnsMissing``."""
     absent = sorted(set(wanted).difference(df.columns))
@@ -103,6 +113,28 @@ def _rows(counts: DataFrame, named: list[tuple[str, str, str]]) -> DataFrame:
     return counts.select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
+def dimension_violations(spec: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
+    """Broken rules of several dimensions as ``rule, subject, violations`` (V5, V7), in one aggregate.
+
+    ``spec`` maps a dimension to (table, unique columns, other required columns).
+    Unique columns may not be NULL either. No row means that every rule holds.
+    """
+    rows = None
+    for name, (dim, unique, required) in spec.items():
+        cells = [F.struct(F.lit(f"{name}.{c}").alias("subject"), F.lit(True).alias("one"), F.col(c).cast("string").alias("value")) for c in unique]
+        missing = [F.struct(F.lit(f"{name}.{c}").alias("subject"), F.lit(False).alias("one"), F.when(F.col(c).isNotNull(), "").alias("value")) for c in required]
+        part = dim.select(F.inline(F.array(*cells, *missing)))
+        rows = part if rows is None else rows.unionByName(part)
+    values = rows.groupBy("subject", "one", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = values.groupBy("subject").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("not_null"),
+        F.count_if(F.col("one") & F.col("value").isNotNull() & (F.col("n") > 1)).alias("unique"),
+    )
+    return found.select("subject", F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("violations")) for r in ("not_null", "unique")]))).where(
+        "violations > 0"
+    ).select("rule", "subject", "violations").orderBy("subject", "rule")
+
+
 def star_checks(
     fact: DataFrame,
     dims: dict[str, tuple[DataFrame, str, Sequence[str]]],

@@ -47,15 +47,19 @@ def text_dimension_rows(
     spec: Mapping[str, tuple[str, str, str]],
     stored: Mapping[str, DataFrame],
     starts: Mapping[str, int],
-) -> tuple[DataFrame, DataFrame]:
+    path: str | None = None,
+    stored_empty: bool = False,
+) -> tuple[DataFrame, DataFrame | None]:
     """U1 for several text dimensions in one plan: (stored, new) ``dim, key, value`` rows.
 
     ``spec`` maps a batch column to (dimension, key column, value column).
     The cleaned values of all columns are tagged with their dimension and
     de-duplicated in one shuffle, new values are found with one anti join
-    against all stored values, ranked together in (dimension, value) order, and
-    a dimension's keys are its ranks less those of the dimensions before it (one
-    row for each dimension) plus its largest stored key.
+    against all stored values, ranked together in (dimension, value) order (in
+    ``path``), and a dimension's keys are its ranks less those of the dimensions before
+    it (one row for each dimension) plus its largest stored key. Where the anti join
+    finds nothing there is nothing to rank, and ``new`` is None. When the caller knows
+    that nothing is stored, every value is new.
     """
     tagged = F.array(
         *[F.struct(F.lit(d).alias("dim"), dimension_text(c).alias("value")) for c, (d, _, _) in spec.items()]
@@ -65,12 +69,14 @@ def text_dimension_rows(
     for d, key, val in spec.values():
         part = stored[d].select(F.lit(d).alias("dim"), F.col(key).cast("long").alias("key"), F.col(val).alias("value"))
         known = part if known is None else known.unionByName(part)
-    ranked = assign_keys(values.join(known.select("dim", "value"), ["dim", "value"], "left_anti"), ["dim", "value"], "rank")
-    first = ranked.groupBy(F.col("dim").alias("_dim")).agg((F.min("rank") - 1).alias("_before"))
-    pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0))).cast("long"))]
-    start = F.element_at(F.create_map(*pairs), F.col("dim"))
-    new = ranked.join(first, F.col("dim") == F.col("_dim")).select("dim", (start + F.col("rank") - F.col("_before")).alias("key"), "value")
-    return known, new
+    unknown = values if stored_empty else values.join(known.select("dim", "value"), ["dim", "value"], "left_anti")
+    if not stored_empty and unknown.isEmpty():
+        return known, None
+    ranked = assign_keys(unknown, ["dim", "value"], "rank", path=path)
+    first = {r.dim: r.least for r in ranked.groupBy("dim").agg(F.min("rank").alias("least")).collect()}  # a row for each dimension
+    pairs = [x for d, _, _ in spec.values() for x in (F.lit(d), F.lit(int(starts.get(d, 0)) - first.get(d, 1) + 1).cast("long"))]
+    shift = F.element_at(F.create_map(*pairs), F.col("dim"))
+    return known, ranked.select("dim", (F.col("rank") + shift).alias("key"), "value")
 
 
 def dimension_from_rows(rows: DataFrame, dim: str, key_col: str, val_col: str) -> DataFrame:
@@ -95,16 +101,23 @@ def date_rows(pairs: DataFrame, year: str = "year", month: str = "month") -> Dat
 _DATE_ATTRS = ("jahr", "monat", "woche", "saison")
 
 
-def upsert_date_dimension(stored: DataFrame, batch_rows: DataFrame, start: int | None = None) -> DataFrame:
-    """Update attributes of stored dates, keep their keys, add new dates."""
+def upsert_date_dimension(
+    stored: DataFrame, batch_rows: DataFrame, start: int | None = None, path: str | None = None, stored_empty: bool = False
+) -> DataFrame:
+    """Update attributes of stored dates, keep their keys, add new dates.
+
+    Only dates that are not stored are ranked (in ``path``); where there is none,
+    nothing is."""
     b = batch_rows.select("datum", *[F.col(a).alias(f"_b_{a}") for a in _DATE_ATTRS])
     updated = stored.join(b, "datum", "left").select(
         "datum_key", "datum", *[F.coalesce(F.col(f"_b_{a}"), F.col(a)).alias(a) for a in _DATE_ATTRS]
     )
-    new = batch_rows.join(stored.select("datum"), "datum", "left_anti")
-    keyed = assign_keys(new, ["datum"], "datum_key", start=_start(stored, "datum_key", start))
     cols = ["datum_key", "datum", *_DATE_ATTRS]
-    return updated.select(*cols).unionByName(keyed.select(*cols))
+    new = batch_rows if stored_empty else batch_rows.join(stored.select("datum"), "datum", "left_anti")
+    if not stored_empty and new.isEmpty():
+        return updated.select(*cols)
+    keyed = assign_keys(new, ["datum"], "datum_key", start=_start(stored, "datum_key", start), path=path)
+    return keyed.select(*cols) if stored_empty else updated.select(*cols).unionByName(keyed.select(*cols))
 
 
 def resolve_keys(
@@ -143,7 +156,7 @@ def split_rejects(keyed: DataFrame, keys: Sequence[str] = FACT_GRAIN) -> tuple[D
     return keyed.filter(ok), keyed.filter(~ok)
 
 
-def upsert_facts(
+def merge_facts(
     stored: DataFrame,
     batch: DataFrame,
     grain: Sequence[str] = FACT_GRAIN,
@@ -151,29 +164,39 @@ def upsert_facts(
     key_col: str = "fakt_key",
     start: int | None = None,
     stored_empty: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
-    """Grain upsert (U3): batch rows overwrite all measures (NULL included),
-    new grains get keys, stored rows absent from the batch stay.
-
-    One full outer join on the grain decides all three cases; it is the only
-    shuffle of the stored table. Its result is checkpointed (shared folder,
-    survives executor loss, no cache left behind) because both the matched
-    and the new rows are read from it. When the caller knows the stored
-    table is empty (a first load), every batch row is new and only keys are
-    assigned.
+    """Grain upsert (U3): batch rows overwrite all measures (NULL included), new grains
+    get keys, stored rows absent from the batch stay.
+
+    Grains that are not stored are ranked first (in ``path``; skipped where there is
+    none). Then stored rows, batch rows and new keys meet in one grouped aggregate on
+    the grain, the only shuffle of the stored table. It also counts the stored and the
+    batch rows of each grain, so that a grain that stands twice in either is seen while
+    the result is written (columns ``_stored``, ``_batch``). When the caller knows
+    the stored table is empty (a first load), every batch row is new, keys are
+    all there is to do, and the counts are 0 and 1 (V12 is the caller's check).
     """
     cols = [key_col, *grain, *measures]
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     if stored_empty:
-        keyed = assign_keys(batch.select(*grain, *measures), list(grain), key_col, start=start or 0)
-        return keyed.select(*cols)
-    s = stored.select(key_col, *grain, *[F.col(m).alias(f"_s_{m}") for m in measures])
-    b = batch.select(*grain, *measures).withColumn("_in_batch", F.lit(True))
-    j = s.join(b, list(grain), "full_outer")
-    pick = [
-        F.when(F.col("_in_batch"), F.col(m)).otherwise(F.col(f"_s_{m}")).alias(m) for m in measures
-    ]
-    merged = j.select(key_col, *grain, *pick).checkpoint(eager=True)
-    known = merged.filter(F.col(key_col).isNotNull())
-    new = merged.filter(F.col(key_col).isNull()).drop(key_col)
-    keyed = assign_keys(new, list(grain), key_col, start=_start(stored, key_col, start))
-    return known.select(*cols).unionByName(keyed.select(*cols))
+        keyed = assign_keys(batch.select(*grain, *measures), list(grain), key_col, start=start or 0, path=path)
+        return keyed.select(*cols, zero.alias("_stored"), one.alias("_batch"))
+    new = batch.select(*grain).join(stored.select(*grain), list(grain), "left_anti")
+    none = F.lit(None).cast("long").alias(key_col)
+    rows = stored.select(*cols, F.lit(0).alias("_from")).unionByName(batch.select(none, *grain, *measures, F.lit(1).alias("_from")))
+    if not new.isEmpty():
+        keyed = assign_keys(new, list(grain), key_col, start=_start(stored, key_col, start), path=path)
+        blank = [F.lit(None).cast(batch.schema[m].dataType).alias(m) for m in measures]
+        rows = rows.unionByName(keyed.select(key_col, *grain, *blank, F.lit(-1).alias("_from")))
+    return rows.groupBy(*grain).agg(
+        F.max(key_col).alias(key_col),
+        *[F.max_by(m, "_from").alias(m) for m in measures],
+        F.count_if(F.col("_from") == 0).alias("_stored"),
+        F.count_if(F.col("_from") == 1).alias("_batch"),
+    ).select(*cols, "_stored", "_batch")
+
+
+def upsert_facts(stored: DataFrame, batch: DataFrame, **options) -> DataFrame:
+    """The rows of ``merge_facts`` without its counts."""
+    return merge_facts(stored, batch, **options).drop("_stored", "_batch")

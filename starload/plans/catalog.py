@@ -7,6 +7,7 @@ must give the same rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,9 @@ from starload.functions import (
 from starload.functions.patterns import FACT_GRAIN, MONTHLY_COLUMNS, WEATHER_MEASURES
 from starload.operators.keys import assign_keys
 from starload.operators.monthly import monthly_aggregate
+from starload.operators.monthly_state import MonthlyState
 from starload.operators.quality import (
+    ConstraintViolation,
     column_coverage,
     duplicate_keys,
     not_constant_within,
@@ -40,6 +43,7 @@ from starload.operators.upsert import (
     upsert_text_dimension,
 )
 from starload.plans import oracle_sql as O
+from starload.plans.catalog_view import publish_view
 from starload.plans.load import key_batch, load, prepare_batch, stage_dimensions
 from starload.plans.marts import (
     DEFAULT_CLASSES,
@@ -427,6 +431,91 @@ def idempotent_reload(spark, sf):
     return keyed_view(wh)
 
 
+def month_rewrite(spark, sf):
+    """U3 by month: a star loaded whole, then one month with a NULL measure; which
+    months the second load wrote anew, and their facts."""
+    batch = _batch(spark, sf).persist()
+    wh = Warehouse(spark, scratch_path(spark, "months"))
+    load(spark, wh, batch)
+    load(spark, wh, batch.filter((F.col("year") == 1997) & (F.col("month") == 5)).withColumn("precipitation", F.lit(None).cast("double")))
+    batch.unpersist()
+    man = wh.manifest()
+    anew = [k for k, v in man.partitions("fakt_erkrankungen").items() if "/v00000002-" in v]
+    months = wh.table("fakt_erkrankungen", man, anew).select("datum_key").distinct().join(wh.table("dim_datum", man), "datum_key")
+    flat = warehouse_flat_view(wh, register=False)
+    counts = flat.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_facts"), F.count("precipitation").alias("n_precipitation"))
+    anew = months.select(F.col("jahr").alias("year"), F.col("monat").alias("month"), F.lit(True).alias("written"))
+    return counts.join(anew, ["year", "month"], "left").withColumn("rewritten", F.coalesce("written", F.lit(False))).drop("written")
+
+
+def refused_load(spark, sf):
+    """V5, V6 as a gate: a published star with one age group doubled and one syndrome
+    removed; the next load is refused. The rules it names, and the newest version."""
+    batch = _batch(spark, sf).persist()
+    wh = Warehouse(spark, scratch_path(spark, "refused"))
+    load(spark, wh, batch.filter(F.col("year") < 1999))
+    man = wh.manifest()
+    spoiled = wh.attempt(man)
+    ages = wh.table("dim_altersgruppe", man)
+    doubled = ages.unionByName(ages.filter("altersgruppe = 'A'").withColumn("altersgruppe_key", F.col("altersgruppe_key") + 1000))
+    wh.stage(spoiled, "dim_altersgruppe", doubled)
+    wh.stage(spoiled, "dim_syndrom", wh.table("dim_syndrom", man).filter("bezeichnung <> 'STANDARD'"))
+    staged = {t: wh.staged_path(spoiled, t) for t in ("dim_altersgruppe", "dim_syndrom")}
+    wh.commit(spoiled, staged, {k: v for k, v in man.tables.items() if k not in staged}, man.max_keys, man.held, man.hidden)
+    try:
+        load(spark, wh, batch.filter("year >= 1998 and age_group <> 'A' and syndrome <> 'STANDARD'"))
+        raise AssertionError("the load was published")
+    except ConstraintViolation as e:
+        found = e.violations
+    finally:
+        batch.unpersist()
+    told = F.array(*[F.struct(F.lit(v["rule"]).alias("rule"), F.lit(v["subject"]).alias("subject"), F.lit(v["violations"]).cast("long").alias("violations")) for v in found])
+    return spark.range(1).select(F.inline(told)).withColumn("version", F.lit(wh.current_version()).cast("long"))
+
+
+def monthly_incremental(spark, sf):
+    """A1 as mergeable state: daily files of the years before 1998; then one of them
+    replaced by its right content and the later years; only what is new is read."""
+    daily = daily_from_tables(spark, sf).filter(F.col("date").isNotNull()).persist()
+    root = scratch_path(spark, "daily-files")
+    state = MonthlyState(spark, scratch_path(spark, "monthly-state"))
+    year = F.year("date")
+    write_daily_tsv(daily.filter(year < 1997), f"{root}/early")
+    write_daily_tsv(daily.filter(year == 1997).withColumn("ed_count", F.lit(9e6)), f"{root}/1997")
+    state.refresh(f"{root}/*")
+    write_daily_tsv(daily.filter(year == 1997), f"{root}/1997")
+    write_daily_tsv(daily.filter(year > 1997), f"{root}/late")
+    state.refresh(f"{root}/*")
+    daily.unpersist()
+    return state.monthly()
+
+
+def lasting_view(spark, sf):
+    """The catalog view after two loads, as another session sees it."""
+    batch = _batch(spark, sf).persist()
+    wh = Warehouse(spark, scratch_path(spark, "lasting"))
+    database = f"bi_{uuid.uuid4().hex[:12]}"
+    load(spark, wh, batch.filter(F.col("year") < 1998))
+    publish_view(wh, database)
+    load(spark, wh, batch.filter(F.col("year") >= 1998))
+    publish_view(wh, database, keep=1)
+    batch.unpersist()
+    return spark.newSession().table(f"{database}.vw_erkrankungen_monatlich")
+
+
+def retained_versions(spark, sf):
+    """Three loads, one try that died; clean-up keeps the files of the newest version, which reads as before."""
+    batch = _batch(spark, sf).persist()
+    wh = Warehouse(spark, scratch_path(spark, "retained"))
+    load(spark, wh, batch.filter(F.col("year") < 1998))
+    load(spark, wh, batch.filter(F.col("year") >= 1998))
+    wh.stage(wh.attempt(wh.manifest()), "dim_edtype", wh.table("dim_edtype"))
+    load(spark, wh, batch.filter(F.col("year") == 1998))
+    batch.unpersist()
+    wh.clean(keep=1, dead_after_s=0)
+    return warehouse_flat_view(wh, register=False)
+
+
 def single_series_build(spark, sf):
     """The one-series build through files."""
     series = series_from_tables(spark, sf)
@@ -575,6 +664,11 @@ QUERIES: dict[str, Query] = {
     "bi_flat_view": bi_flat_view,
     "dq_required_columns": dq_required_columns,
     "dq_inputs_found": dq_inputs_found,
+    "month_rewrite": month_rewrite,
+    "refused_load": refused_load,
+    "monthly_incremental": monthly_incremental,
+    "lasting_view": lasting_view,
+    "retained_versions": retained_versions,
     "dq_file_format": dq_file_format,
     "dq_unique_grain": dq_unique_grain,
     "dq_foreign_keys": dq_foreign_keys,
@@ -730,6 +824,19 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS price
 SELECT 'orders' AS input, true AS found, count(*) AS n_lines FROM orders
 UNION ALL SELECT 'customer', true, count(*) FROM customer
 UNION ALL SELECT 'absent', false, 0""",
+    "month_rewrite": O.BASE_FLAT + """
+SELECT year, month, count(*) AS n_facts, CASE WHEN year = 1997 AND month = 5 THEN 0 ELSE count(precipitation) END AS n_precipitation,
+       year = 1997 AND month = 5 AS rewritten
+FROM flat GROUP BY year, month""",
+    "refused_load": O.BASE + """
+SELECT 'unique' AS rule, 'dim_altersgruppe.altersgruppe' AS subject, CAST(1 AS BIGINT) AS violations, CAST(2 AS BIGINT) AS version
+UNION ALL
+SELECT 'foreign_key', 'fakt_erkrankungen.syndrom_key', count(*), 2 FROM monthly m
+WHERE syndrome = 'STANDARD' AND year = 1998 AND EXISTS (
+  SELECT 1 FROM monthly b WHERE b.year = m.year AND b.month = m.month AND b.age_group <> 'A' AND b.syndrome <> 'STANDARD')""",
+    "monthly_incremental": O.BASE + _MONTHLY_SELECT,
+    "lasting_view": O.BASE_FLAT + _FLAT_SELECT,
+    "retained_versions": O.BASE_FLAT + _FLAT_SELECT,
     "dq_file_format": """
 SELECT * FROM (VALUES (2, 'header not found'), (7, 'column Deutschland not found')) t(file_month, problem)""",
     "dq_unique_grain": """

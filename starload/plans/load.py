@@ -9,7 +9,10 @@ Order (one Spark application, each step a lazy plan):
    new, unpublished attempt first, so the fact lookup sees final keys.
 3. Surrogate-key lookup (J4), rejects split off (F5), fact grain checked
    for duplicates (V12), fact upsert (U3) written to the same attempt.
-4. One commit record publishes all five tables at once (U5); running the
+4. The star's constraints (V5, V6, V7) are measured on what was written: the
+   dimensions in one small job, the facts of the touched months while they are written.
+   A violation, be it in the batch or in the stored star, refuses the load.
+5. One commit record publishes all five tables at once (U5); running the
    same load again gives the same rows and keys (U6).
 """
 
@@ -33,18 +36,34 @@ from starload.functions.patterns import (
     WEATHER_COLUMNS,
     WEATHER_MEASURES,
 )
-from starload.operators.quality import assert_empty, columns_checked, duplicate_keys
+from starload.operators.quality import (
+    ConstraintViolation,
+    assert_empty,
+    columns_checked,
+    dimension_violations,
+    duplicate_keys,
+)
 from starload.operators.upsert import (
     all_resolved,
     date_rows,
     dimension_from_rows,
-    text_dimension_rows,
+    merge_facts,
     resolve_keys,
     split_rejects,
+    text_dimension_rows,
     upsert_date_dimension,
-    upsert_facts,
 )
-from starload.sources.warehouse import TEXT_DIMENSIONS, Attempt, Manifest, Warehouse, date_map, dimension_map
+from starload.sources.warehouse import (
+    FACT_PARTITION,
+    TEXT_DIMENSIONS,
+    WHOLE_YEAR,
+    Attempt,
+    Manifest,
+    Warehouse,
+    date_map,
+    dimension_map,
+    entry_values,
+)
 
 # batch column -> text dimension table
 DIMENSION_OF = {"syndrome": "dim_syndrom", "age_group": "dim_altersgruppe", "ed_type": "dim_edtype"}
@@ -142,16 +161,19 @@ def stage_dimensions(
         spec = {c: (t, *TEXT_DIMENSIONS[t]) for c, t in DIMENSION_OF.items()}
         stored = {t: wh.table(t, manifest) for t in DIMENSION_OF.values()}
         starts = {t: manifest.max_key(t) for t in DIMENSION_OF.values()}
-        known, new = text_dimension_rows(batch, spec, stored, starts)
-        if all(t in manifest.tables for t in stored) and new.isEmpty():
+        none = not any(manifest.has(t) for t in stored)
+        known, new = text_dimension_rows(batch, spec, stored, starts, wh.key_scratch(attempt, "text"), stored_empty=none)
+        if new is None and all(t in manifest.tables for t in stored):
             carried.update({t: manifest.tables[t] for t in stored})
             return {t: (stored[t], None) for t in stored}
-        rows = known.unionByName(new)
+        rows = known if new is None else known.unionByName(new)
         steps = [(lambda t=t, key=key, val=val: wh.stage(attempt, t, dimension_from_rows(rows, t, key, val), key)) for t, key, val in spec.values()]
         return dict(zip([t for t, _, _ in spec.values()], _side_by_side(wh.spark, *steps), strict=True))
 
     def date_dim():
-        dates = upsert_date_dimension(wh.table("dim_datum", manifest), date_rows(batch), manifest.max_key("dim_datum"))
+        stored = wh.table("dim_datum", manifest)
+        scratch, none = wh.key_scratch(attempt, "dim_datum"), not manifest.has("dim_datum")
+        dates = upsert_date_dimension(stored, date_rows(batch), manifest.max_key("dim_datum"), scratch, stored_empty=none)
         return wh.stage(attempt, "dim_datum", dates, "datum_key")
 
     text, date = _side_by_side(wh.spark, text_dims, date_dim)
@@ -173,32 +195,147 @@ def fact_rows(keyed_ok: DataFrame) -> DataFrame:
 
 
 FACT_TABLE = "fakt_erkrankungen"
-FACT_PARTITION = "jahr"
 
 
-def stage_facts(wh: Warehouse, attempt: Attempt, facts: DataFrame, dim_datum: DataFrame, manifest: Manifest):
-    """Fact upsert (U3) restricted to the years the batch touches.
+@dataclass
+class StagedFacts:
+    """Fact partitions of an unpublished version: new and carried entries, which months
+    they hold and which of them are replaced (by date key), largest key, broken rules."""
+
+    entries: dict[str, str]
+    carried: dict[str, str]
+    held: dict[str, list[int]]
+    hidden: dict[str, list[int]]
+    max_key: int
+    violations: list[dict]
+
 
-    Only those year folders of the stored table are read and rewritten; the
-    other years are carried forward by path. Returns (new entries, carried
-    entries, largest key).
+@dataclass
+class TouchedMonths:
+    """What a batch's months mean for the stored fact partitions.
+
+    ``rows`` counts the batch's rows by (year, month, date key). A stored year all of whose
+    months are in the batch (or of which the record does not say what it holds) is
+    ``whole``: its entries are replaced by one. Of another year only the batch's months are
+    written, each to an entry of its own.
+    """
+
+    rows: dict[tuple[int, int, int], int]
+    whole: set[int]
+    unknown: set[int]  # of these, the years of which the record does not say what they hold
+    read: list[str]  # stored entries to open
+    unread: list[int]  # date keys in them that the batch does not touch
+
+    @classmethod
+    def of(cls, rows: dict[tuple[int, int, int], int], manifest: Manifest) -> TouchedMonths:
+        touched: dict[int, set[int]] = {}
+        for year, _, key in rows:
+            touched.setdefault(year, set()).add(key)
+        by_year: dict[int, list[str]] = {}
+        for entry in manifest.partitions(FACT_TABLE):
+            by_year.setdefault(entry_values(entry)[0], []).append(entry)
+        whole, unknown, read, unread = set(), set(), [], []
+        for year, keys in touched.items():
+            entries = by_year.get(year, [])
+            live = {e: set(manifest.held[e]) - set(manifest.hidden.get(e, ())) for e in entries if e in manifest.held}
+            if len(live) < len(entries) or set().union(*live.values()) <= keys:
+                whole.add(year)
+                unknown |= {year} if len(live) < len(entries) else set()
+                read += entries
+            else:
+                hit = [e for e in entries if live[e] & keys]
+                read += hit
+                unread += [k for e in hit for k in live[e] - keys]
+        return cls(rows, whole, unknown, read, sorted(unread))
+
+    def folder(self, year: int, month: int) -> tuple[int, int]:
+        """Values of the partition that a row is written to."""
+        return (year, WHOLE_YEAR if year in self.whole else month)
+
+    def months(self) -> dict[tuple[int, int], list[int]]:
+        """Date keys of each partition to write."""
+        out: dict[tuple[int, int], list[int]] = {}
+        for year, month, key in self.rows:
+            out.setdefault(self.folder(year, month), []).append(key)
+        return out
+
+    def counts(self) -> dict[tuple[int, int], int]:
+        out: dict[tuple[int, int], int] = {}
+        for (year, month, _), n in self.rows.items():
+            f = self.folder(year, month)
+            out[f] = out.get(f, 0) + n
+        return out
+
+
+def _fact_rules(stored_empty: bool) -> dict[tuple[str, str], F.Column]:
+    """Rule and subject -> count over the merged rows and the marks of found dimensions."""
+    rules = {("not_null", f"{FACT_TABLE}.{k}"): F.count_if(F.col(k).isNull()) for k in FACT_GRAIN}
+    if not stored_empty:
+        rules[("unique", f"{FACT_TABLE}.{'+'.join(FACT_GRAIN)}")] = F.count_if((F.col("_stored") > 1) | (F.col("_batch") > 1))
+        for k in FACT_GRAIN:
+            rules[("foreign_key", f"{FACT_TABLE}.{k}")] = F.count_if(F.col(k).isNotNull() & F.col(f"_found_{k}").isNull())
+    return rules
+
+
+def stage_facts(
+    wh: Warehouse, attempt: Attempt, facts: DataFrame, rows: dict[tuple[int, int, int], int], dims: dict[str, DataFrame], manifest: Manifest
+) -> StagedFacts:
+    """Fact upsert (U3) restricted to the months the batch touches.
+
+    Only their stored rows are merged and written; other months are carried forward by
+    path, also where one folder holds both: the record then says which of its months
+    are replaced. NOT NULL, the grain's uniqueness and the foreign keys (V5-V7) are counted
+    while the rows are written; rows of a first load have just got their keys from the
+    dimensions, so those need no look-up. ``rows`` counts the batch's rows by (year,
+    month, date key).
     """
-    years_of = dim_datum.select("datum_key", F.col("jahr").alias(FACT_PARTITION))
-    years = sorted(r[0] for r in facts.join(years_of, "datum_key").select(FACT_PARTITION).distinct().collect())
-    stored_paths = manifest.paths(FACT_TABLE, years)
-    stored = wh.table(FACT_TABLE, manifest, part_values=years)
-    new = upsert_facts(stored, facts, start=manifest.max_key(FACT_TABLE), stored_empty=not stored_paths)
-    mk = wh.stage_partitions(attempt, FACT_TABLE, new.join(years_of, "datum_key"), FACT_PARTITION, "fakt_key")
-    entries = dict(wh.partition_entry(attempt, FACT_TABLE, FACT_PARTITION, y) for y in years)
-    carried = {k: v for k, v in manifest.partitions(FACT_TABLE).items() if k not in entries}
-    return entries, carried, max(manifest.max_key(FACT_TABLE), mk or 0)
+    touched = TouchedMonths.of(rows, manifest)
+    first = not touched.read
+    stored = wh.table(FACT_TABLE, Manifest() if first else manifest, None if first else touched.read)
+    if touched.unread:
+        stored = stored.where(F.col("datum_key").isNull() | ~F.col("datum_key").isin(touched.unread))
+    merged = merge_facts(stored, facts, start=manifest.max_key(FACT_TABLE), stored_empty=first, path=wh.key_scratch(attempt, FACT_TABLE))
+    month = F.when(F.col("jahr").isin(sorted(touched.whole)), WHOLE_YEAR).otherwise(F.col("monat")) if touched.whole else F.col("monat")
+    merged = merged.join(dims["dim_datum"].select("datum_key", "jahr", month.alias("monat"), F.lit(True).alias("_found_datum_key")), "datum_key", "left")
+    if not first:
+        for t, (key, _) in TEXT_DIMENSIONS.items():
+            merged = merged.join(dims[t].select(key, F.lit(True).alias(f"_found_{key}")), key, "left")
+    rules = _fact_rules(first)
+    metrics = {"max_key": F.max("fakt_key"), **{f"m{i}": m for i, m in enumerate(rules.values())}}
+    seen = wh.stage_partitions(attempt, FACT_TABLE, merged, FACT_PARTITION, metrics, touched.counts(), FACT_GRAIN)
+    broken = [{"rule": rule, "subject": subject, "violations": seen[f"m{i}"]} for i, (rule, subject) in enumerate(rules) if seen.get(f"m{i}")]
+    months = touched.months()
+    for year in touched.unknown:  # what its old folders held is known now that it is written
+        at = f"{wh.staged_path(attempt, FACT_TABLE)}/jahr={year}/monat={WHOLE_YEAR}"
+        keys = wh.spark.read.schema(wh.schemas[FACT_TABLE]).parquet(at).select("datum_key").distinct()
+        months[(year, WHOLE_YEAR)] = [r.datum_key for r in keys.collect()]
+    entries = wh.partition_entries(attempt, FACT_TABLE, FACT_PARTITION, months)
+    held = {**manifest.held, **dict(zip(entries, months.values(), strict=True))}
+    replaced = {k for keys in months.values() for k in keys}
+    carried, hidden = {}, {}
+    for e, path in manifest.partitions(FACT_TABLE).items():
+        gone = set(manifest.hidden.get(e, ())) | (set(manifest.held.get(e, ())) & replaced)
+        if e in entries or entry_values(e)[0] in touched.whole or (e in manifest.held and gone >= set(manifest.held[e])):
+            continue
+        carried[e], hidden[e] = path, sorted(gone)
+    return StagedFacts(entries, carried, held, hidden, max(manifest.max_key(FACT_TABLE), seen.get("max_key", 0)), broken)
+
+
+def dimension_rules(dims: dict[str, DataFrame]) -> DataFrame:
+    """Broken rules of the four dimensions (V5, V7)."""
+    spec = {"dim_datum": (dims["dim_datum"], ["datum_key", "datum"], ["jahr", "monat", "woche", "saison"])}
+    spec |= {t: (dims[t], [key, val], []) for t, (key, val) in TEXT_DIMENSIONS.items()}
+    return dimension_violations(spec)
 
 
 def load(spark: SparkSession, wh: Warehouse, batch: DataFrame, manifest: Manifest | None = None) -> LoadResult:
     """Load one prepared batch into the warehouse and publish it atomically.
 
     ``manifest`` is the version to build on (default: the current one); if another
-    load has published on it in the meantime, this one raises ``CommitConflict``.
+    load has published on it in the meantime, this one raises ``CommitConflict``. If the
+    version would break a constraint of the star, ``ConstraintViolation`` names the
+    rules, nothing is published and what was written is removed. The rules cover all
+    dimension rows and the facts of the months that the batch touches.
     """
     manifest = wh.manifest() if manifest is None else manifest
     attempt = wh.attempt(manifest)
@@ -212,15 +349,23 @@ def load(spark: SparkSession, wh: Warehouse, batch: DataFrame, manifest: Manifes
         held.append(keyed)
         ok, _rejected = split_rejects(keyed)
         facts = fact_rows(ok)
-        # the report (with the grain check) and the fact upsert run side by
-        # side; the version is committed only if both succeed
-        (entries, carried, fact_max), report = _side_by_side(
-            spark, lambda: stage_facts(wh, attempt, facts, dims["dim_datum"], manifest), lambda: load_report(keyed)
+
+        def staged() -> StagedFacts:
+            months = ok.groupBy("year", "month", "datum_key").agg(F.count(F.lit(1)).alias("n")).collect()  # bounded by the calendar
+            return stage_facts(wh, attempt, facts, {(r.year, r.month, r.datum_key): r.n for r in months}, dims, manifest)
+
+        # the report (with the grain check), the rules of the dimensions and the fact upsert
+        # run side by side; the version is committed only if all succeed
+        facts_done, report, broken = _side_by_side(
+            spark, staged, lambda: load_report(keyed), lambda: [r.asDict() for r in dimension_rules(dims).collect()]
         )
+        if broken := broken + facts_done.violations:
+            wh.discard(attempt)
+            raise ConstraintViolation(broken)
         if report.pop("n_grains") != report["facts_upserted"]:
             assert_empty(duplicate_keys(facts, FACT_GRAIN), "two batch rows for one fact grain")
-        max_keys[FACT_TABLE] = fact_max
-        wh.commit(attempt, {**dim_paths, **entries}, carried, max_keys)
+        max_keys[FACT_TABLE] = facts_done.max_key
+        wh.commit(attempt, {**dim_paths, **facts_done.entries}, facts_done.carried, max_keys, facts_done.held, facts_done.hidden)
         return LoadResult(attempt.version, report)
     finally:
         for df in held:

@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from starload.functions.patterns import MONTHLY_COLUMNS, SERIES_GLOBS, WEATHER_COLUMNS
 from starload.operators.monthly import monthly_aggregate
+from starload.operators.monthly_state import MonthlyState
 from starload.plans.load import LoadResult, load_frames
 from starload.plans.marts import head_rows
 from starload.sources.csv_io import read_csv_typed, write_csv
 from starload.sources.daily_tsv import read_daily_tsv
+from starload.sources.paths import required_inputs
 from starload.sources.series_files import load_weather
 from starload.sources.warehouse import Warehouse
 
@@ -87,8 +89,20 @@ def load_processed(spark: SparkSession, monthly_csv: str, weather_csv: str, ware
     return load_frames(spark, Warehouse(spark, warehouse_root), monthly, weather)
 
 
-def refresh(spark: SparkSession, daily_path: str, globs: Mapping[str, str], warehouse_root: str) -> LoadResult:
-    """Transform and load in one plan, without the CSV hand-over."""
-    monthly = transform_daily(spark, daily_path)
+def refresh(
+    spark: SparkSession, daily_path: str, globs: Mapping[str, str], warehouse_root: str, state_root: str | None = None
+) -> LoadResult:
+    """Transform and load in one plan, without the CSV hand-over.
+
+    With ``state_root`` the monthly aggregate is kept there, and only daily files that
+    are new or have changed since the last refresh are read.
+    """
+    required_inputs(spark, {"daily series": daily_path, **globs})
+    if state_root:
+        state = MonthlyState(spark, state_root)
+        state.refresh(daily_path)
+        monthly = state.monthly()
+    else:
+        monthly = transform_daily(spark, daily_path)
     weather = load_weather(spark, globs)
     return load_frames(spark, Warehouse(spark, warehouse_root), monthly, weather)

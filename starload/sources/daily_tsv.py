@@ -8,7 +8,9 @@ scan stage: no shuffle, no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from starload.functions import na_token_to_null, parse_date, to_double
 from starload.functions.patterns import DAILY_COLUMNS, DAILY_KEYS, DAILY_MEASURES
@@ -16,13 +18,14 @@ from starload.operators.quality import columns_checked
 from starload.sources.paths import read_headed_text
 
 
-def read_daily_text(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, bound by each file's own header line."""
-    return read_headed_text(spark, path, "daily series", "\t")
+def read_daily_text(spark: SparkSession, path: str | list[str], further: Sequence[Column] = ()) -> DataFrame:
+    """All columns as text, bound by each file's own header line; ``further`` columns
+    may be of the file's ``_metadata``."""
+    return read_headed_text(spark, path, "daily series", "\t", further)
 
 
-def clean_daily(raw: DataFrame) -> DataFrame:
-    """Typed daily frame: date, 3 text keys, 6 double measures.
+def clean_daily(raw: DataFrame, further: Sequence[str] = ()) -> DataFrame:
+    """Typed daily frame: date, 3 text keys, 6 double measures, and ``further`` columns as they are.
 
     No missing token spells a number, so the measures need no token test.
     """
@@ -30,7 +33,7 @@ def clean_daily(raw: DataFrame) -> DataFrame:
     cols = [parse_date(na_token_to_null("date")).alias("date")]
     cols += [na_token_to_null(k).alias(k) for k in DAILY_KEYS]
     cols += [to_double(m).alias(m) for m in DAILY_MEASURES]
-    return raw.select(*cols)
+    return raw.select(*cols, *further)
 
 
 def read_daily_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starload.sources.storage import Storage
+
 
 def read_input(make: Callable[[], DataFrame], path: str, what: str) -> DataFrame:
     """Run a reader; a missing path or an empty glob becomes FileNotFoundError."""
@@ -20,26 +22,38 @@ def read_input(make: Callable[[], DataFrame], path: str, what: str) -> DataFrame
         raise
 
 
-def inputs_found(spark: SparkSession, paths: dict[str, str], what: str = "input") -> DataFrame:
-    """Which expected inputs exist (V2): ``input, found, n_files, n_lines``.
+def inputs_found(spark: SparkSession, paths: Mapping[str, str], what: str = "input", lines: bool = True) -> DataFrame:
+    """Which expected inputs exist (V2): ``input, found, n_files, n_bytes`` and, on request, ``n_lines``.
 
-    Files are listed and their lines counted by Spark; an absent path or an empty
-    glob is a row with ``found`` false.
+    An input is found if its path or glob names a file, be it empty. That is answered by
+    listing names; no file is opened. Lines are counted apart, by one text scan for each
+    input that has bytes. An absent path or an empty glob is a row with ``found`` false.
     """
+    storage = Storage(spark)
     out = None
     for name, path in sorted(paths.items()):
-        try:
-            lines = read_input(lambda p=path: spark.read.text(p), path, what).select(F.col("_metadata.file_path").alias("file"))
-            counts = lines.agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_lines"))
-        except FileNotFoundError:
-            counts = spark.range(0).agg(F.count(F.lit(1)).alias("n_files"), F.count(F.lit(1)).alias("n_lines"))
-        row = counts.select(F.lit(name).alias("input"), (F.col("n_files") > 0).alias("found"), "n_files", "n_lines")
+        files = storage.files(path)
+        size = sum(f.size for f in files)
+        seen = [F.lit(name).alias("input"), F.lit(bool(files)).alias("found"), F.lit(len(files)).cast("long").alias("n_files"), F.lit(size).cast("long").alias("n_bytes")]
+        if not lines:
+            row = spark.range(1).select(*seen)
+        else:
+            text = read_input(lambda p=path: spark.read.text(p), path, what) if size else spark.range(0)
+            row = text.agg(F.count(F.lit(1)).alias("n_lines")).select(*seen, "n_lines")
         out = row if out is None else out.unionByName(row)
     return out
 
 
-def read_headed_text(spark: SparkSession, path: str, what: str, sep: str) -> DataFrame:
-    """Delimited files with a header line each, every column as text.
+def required_inputs(spark: SparkSession, paths: Mapping[str, str]) -> None:
+    """Raise ``FileNotFoundError`` with every input that does not exist (V2), by listing names only."""
+    storage = Storage(spark)
+    absent = {name: path for name, path in sorted(paths.items()) if not storage.files(path)}
+    if absent:
+        raise FileNotFoundError("no input found at " + ", ".join(f"{path} ({name})" for name, path in absent.items()))
+
+
+def read_headed_text(spark: SparkSession, path: str | list[str], what: str, sep: str, further: Sequence[Column] = ()) -> DataFrame:
+    """Delimited files with a header line each, every column as text, and ``further`` columns.
 
     The column order is that of the header Spark meets first; a file whose header
     differs from it fails the read with that file's name (columns are never bound
@@ -63,4 +77,4 @@ def read_headed_text(spark: SparkSession, path: str, what: str, sep: str) -> Dat
     fields = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
     fault = F.raise_error(F.concat(F.lit(f"{what}: more than {len(names)} fields in "), F.input_file_name(), F.lit(": "), F.col(broken)))
     fits = F.when(F.col(broken).isNotNull() & (fields > len(names)), fault.cast("boolean")).otherwise(F.lit(True))
-    return raw.where(fits).drop(broken)
+    return raw.where(fits).select(*[F.col(f"`{n}`") for n in names], *further)

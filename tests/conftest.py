@@ -11,7 +11,7 @@ from starload.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[*]", shuffle_partitions=8, app="starload-tests")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="starload-tests", extra={"spark.driver.memory": "6g"})
     # a test run owns its checkpoint folder only when the session has none
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starload-test-ckpt-"))

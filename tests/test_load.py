@@ -148,9 +148,9 @@ def test_untouched_years_are_carried_forward(spark, tmp_path):
     load_frames(spark, wh, monthly(spark, [(2024, 3, "S3", "00+", "all", 1.0)]), weather(spark, []))
     man = wh.manifest()
     parts = man.partitions("fakt_erkrankungen")
-    assert sorted(parts) == ["fakt_erkrankungen/jahr=2023", "fakt_erkrankungen/jahr=2024"]
-    assert "/v00000001-" in parts["fakt_erkrankungen/jahr=2023"]
-    assert "/v00000002-" in parts["fakt_erkrankungen/jahr=2024"]
+    assert sorted(parts) == ["fakt_erkrankungen/jahr=2023/monat=0", "fakt_erkrankungen/jahr=2024/monat=0"]   # 0: a whole year
+    assert "/v00000001-" in parts["fakt_erkrankungen/jahr=2023/monat=0"]
+    assert "/v00000002-" in parts["fakt_erkrankungen/jahr=2024/monat=0"]
     assert man.max_key("fakt_erkrankungen") == 5 and man.max_key("dim_syndrom") == 3
     assert len(facts(wh)) == 5
 

@@ -8,14 +8,14 @@ from starload.operators.monthly import monthly_aggregate
 from starload.sources.csv_io import read_csv_typed
 from starload.sources.daily_tsv import read_daily_tsv
 from starload.sources.landing import landing_manifest
-from starload.sources.paths import inputs_found
+from starload.sources.paths import inputs_found, required_inputs
 from starload.sources.series_files import (
     load_series,
     load_weather,
     read_series_files,
     series_format_problems,
 )
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 DAILY = (
     "date\tsyndrome\tage_group\ted_type\trelative_cases\trelative_cases_7day_ma\texpected_value\t"
@@ -219,3 +219,18 @@ def test_inputs_found(spark, tmp_path):
     write(str(tmp_path / "in" / "b.txt"), "3\n")
     got = inputs_found(spark, {"here": str(tmp_path / "in" / "*.txt"), "gone": str(tmp_path / "no" / "*.txt")})
     assert rows(got, "input", "found", "n_files", "n_lines") == [("gone", False, 0, 0), ("here", True, 2, 3)]
+
+
+def test_an_empty_file_is_found_without_reading_anything(spark, tmp_path):
+    write(str(tmp_path / "in" / "a.txt"), "")
+    write(str(tmp_path / "some" / "deep" / "b.txt"), "1\n2\n")
+    write(str(tmp_path / "some" / "_hidden" / "c.txt"), "x\n")
+    paths = {"empty": str(tmp_path / "in"), "folder": str(tmp_path / "some"), "glob": str(tmp_path / "*" / "*.txt"), "gone": str(tmp_path / "no")}
+    got = inputs_found(spark, paths, lines=False)
+    assert rows(got, "input", "found", "n_files", "n_bytes") == [("empty", True, 1, 0), ("folder", True, 1, 4), ("glob", True, 1, 0), ("gone", False, 0, 0)]
+    assert "Scan" not in plan_text(got, "simple")
+    empty = inputs_found(spark, {"empty": paths["empty"], "gone": paths["gone"]})
+    assert rows(empty, "input", "found", "n_files", "n_lines") == [("empty", True, 1, 0), ("gone", False, 0, 0)]
+    required_inputs(spark, {"empty": paths["empty"]})
+    with pytest.raises(FileNotFoundError, match="gone"):
+        required_inputs(spark, paths)
