@@ -198,10 +198,10 @@ def document_frequencies(learn: DataFrame) -> tuple[int, np.ndarray]:
 
 def sampled(learn: DataFrame) -> DataFrame:
     """``lang, text``: at most ``SAMPLE`` different rows of each of the ``LANGUAGES`` most
-    frequent languages. Only hashes are ranked, and of a language with n rows only the
-    ``SPARE`` * SAMPLE / n least of them, about; the texts come by a join with the chosen ones."""
+    frequent languages. Only hashes are ranked, and of a language with n different rows only
+    the ``SPARE`` * SAMPLE / n least of them, about; the texts come by a join with the chosen ones."""
     rows = learn.withColumn("at", F.xxhash64(F.lit(SEED), "doc_id", "text"))
-    common = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    common = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("at").alias("n")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
     least = F.col("at").cast("double") / 2.0**64 + 0.5 < SPARE * SAMPLE / F.col("n")
     different = rows.select("lang", "at").join(F.broadcast(common), "lang").where(least).select("lang", "at").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))

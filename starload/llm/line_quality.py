@@ -6,9 +6,13 @@ of its words lie in content lines. Plain counts of words, symbols, repeated line
 and repeated word windows stand before it as base rules.
 
 The field is trained here, by maximum likelihood with L2 regularisation, on at
-most ``TRAIN_DOCS`` labelled documents of each quality: every line of a document
-carries its label. All of a training document's lines count, in sequences of at
-most ``TRAIN_LINES``. Decoding always covers whole texts.
+most ``TRAIN_DOCS`` labelled documents of each quality (one text for each id), of each
+of which one run of at most ``TRAIN_LINES`` neighbouring lines is taken. The labels of
+lines are hidden; a document's quality only makes content or boilerplate likelier in it
+(``PRIOR``). So labels and field are learned in turns (hard expectation
+maximisation): first from lines alone, each bearing its document's quality; then
+``ROUNDS`` times the lines are labelled by the best sequence under field and prior, and
+the field is trained on those sequences. Decoding always covers whole texts.
 
 Cases: a null or empty text has no words and fails the base rules; lines without
 words take part in the sequence and weigh nothing; a text of any length is decoded
@@ -37,9 +41,11 @@ MAX_REPEAT_PERCENT = 50
 CONTENT_SHARE = 0.5
 TRAIN_DOCS = 1500
 TRAIN_LINES = 200
+PRIOR = 0.5
+ROUNDS = 3
 SEED = 11
 STEPS = 150
-L2 = 1.0
+L2 = 0.1
 
 _KIND = {"symbol": b"#*$%&|<>", "upper": bytes(range(65, 91)), "lower": bytes(range(97, 123)), "digit": b"0123456789", "mark": b"!?", "stop": b".,;:", "web": b"@/\\_=+~^{}[]"}
 _IS = {k: np.isin(np.arange(256), np.frombuffer(v, np.uint8)) for k, v in _KIND.items()}
@@ -172,13 +178,14 @@ def _log_add(a: np.ndarray, axis: int) -> np.ndarray:
     return m + np.log(np.exp(a - np.expand_dims(m, axis)).sum(axis=axis))
 
 
-def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int = STEPS, l2: float = L2) -> Field:
+def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int = STEPS, l2: float = L2, kinds: np.ndarray | None = None) -> Field:
     """Maximum likelihood by gradient ascent (Adam), forward-backward over all
-    sequences at once; the two qualities weigh alike."""
+    sequences at once; the two qualities of sequences (``kinds``; default: that of the
+    first line) weigh alike."""
     order, n = _by_length(at)
     order, n = order[n > 0], n[n > 0]
     begin, longest = at[:-1][order], int(n[0])
-    kind = labels[begin]
+    kind = labels[begin] if kinds is None else kinds[order]
     weight = np.where(kind == 1, 0.5 / max((kind == 1).sum(), 1), 0.5 / max((kind == 0).sum(), 1)) * len(n)
     w = np.zeros((FEATURES + 2, 2))  # the last two rows are the moves
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -219,6 +226,29 @@ def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int =
     return Field(w[:FEATURES], w[FEATURES:])
 
 
+def line_labels(features: np.ndarray, at: np.ndarray, field: Field, kinds: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+    """Best label of each training line under the field, where the quality of its document
+    adds ``prior`` to the score of its like."""
+    scores = features @ field.emit
+    for y in (0, 1):
+        scores[:, y] += prior * (np.repeat(kinds, np.diff(at)) == y)
+    return viterbi(scores, at, field.move)
+
+
+def learn(features: np.ndarray, at: np.ndarray, kinds: np.ndarray, rounds: int = ROUNDS) -> tuple[Field, np.ndarray]:
+    """Field and line labels from sequences whose documents' qualities are known."""
+    single = np.arange(len(features) + 1)
+    labels = np.repeat(kinds, np.diff(at))
+    field = train(features, labels, single)
+    field = Field(field.emit, np.zeros((2, 2)))
+    for _ in range(rounds):
+        labels = line_labels(features, at, field, kinds)
+        if len(set(labels.tolist())) < 2:
+            break
+        field = train(features, labels, at, kinds=kinds)
+    return field, labels
+
+
 @dataclass
 class Counts:
     n_words: np.ndarray
@@ -259,6 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     chosen = known.where("quality = 0").orderBy(order, "doc_id").limit(TRAIN_DOCS).unionByName(known.where("quality = 1").orderBy(order, "doc_id").limit(TRAIN_DOCS))
     # At most 2 * TRAIN_DOCS ids: small by that limit.
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    held = held.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -270,8 +301,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
                 rows = []
                 for i in range(c.n):
                     own = packed[lines.at[i] : lines.at[i + 1]]
-                    if len(own) > TRAIN_LINES:  # evenly spread runs of lines
-                        own = own[np.linspace(0, len(own) - 1, TRAIN_LINES).astype(int)]
+                    if (more := len(own) - TRAIN_LINES) > 0:  # one run of neighbours
+                        skip = ids[c.first + i] % (more + 1)
+                        own = own[skip : skip + TRAIN_LINES]
                     rows.append((ids[c.first + i], kinds[c.first + i], own.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc_id", "quality", "lines"])
 
@@ -281,8 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     width = (FEATURES + 7) // 8
     parts = [np.unpackbits(np.frombuffer(bytes(r[2]), np.uint8).reshape(-1, width), axis=1)[:, :FEATURES] for r in rows]
     at = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    kinds = np.repeat([r[1] for r in rows], np.diff(at))
-    return train(np.concatenate(parts).astype(np.float32), kinds, at)
+    return learn(np.concatenate(parts).astype(np.float32), at, np.array([r[1] for r in rows]))[0]
 
 
 NEW = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "content_words": "long", "n_lines": "long", "content_lines": "long"}

@@ -5,10 +5,11 @@ into blocks of ``BLOCK_WORDS`` equal words. The blocks of the whole mix are
 allotted to the sources by highest quotients target / (2 * blocks + 1), so a
 source's quota is an integer; as this rule never takes back a block when more are
 dealt, the quotas of the first k shards nest and their differences are each
-shard's integer quotas. A source with quota q of b blocks gives every block
-q // b times and one run of q % b neighbouring blocks once more. As the documents'
-order is seeded, a run is a random choice of whole documents; only those at its two
-ends are taken in part.
+shard's integer quotas. Each shard takes its quota of a source as the next blocks of
+one round through the source's stream that starts at a seeded block. So a shard's
+blocks are neighbours in a seeded order of documents, a random choice of mostly whole
+documents; in all shards together a source with quota q of b blocks gives every block
+q // b times and one run of q % b blocks once more.
 
 Targets: sources in code point order, null last, weigh 1, 2, 3, repeating, and
 share all words; a target stops at ``REPEATS`` times its source's words and the
@@ -23,6 +24,7 @@ result. One row for each source reaches the driver, documents never do.
 from __future__ import annotations
 
 import heapq
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,14 +99,9 @@ def shard_quotas(sizes: list[int], wanted: list[float], shards: int = SHARDS, bl
     return out
 
 
-def _stride(blocks: int, seed: int) -> tuple[int, int]:
-    """Factor and shift of a permutation of 0..blocks-1, k -> (k * factor + shift) mod blocks.
-    The factor is 1, so neighbours stay neighbours."""
-    return 1, seed % max(blocks, 1)
-
-
 def source_plan(sized: DataFrame, shards: int = SHARDS, block: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """One row for each source: words, target, quotas and the first block of its run."""
+    """One row for each source: words, target, quotas, where each shard's part of the
+    round through its blocks ends, and the block at which the round starts."""
     spark = sized.sparkSession
     rows = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     rows = sorted(rows, key=lambda r: (r.source is None, (r.source or "").encode()))
@@ -115,22 +112,25 @@ def source_plan(sized: DataFrame, shards: int = SHARDS, block: int = BLOCK_WORDS
     for i, r in enumerate(rows):
         blocks = max(1, -(-sizes[i] // block))
         of_shards = [q[i] for q in quotas]
-        # A run ends before the last block does, so it has no gap within a document.
-        _, start = _stride(blocks - sum(of_shards) % blocks + 1, seed + i)
-        out.append((r.source, sizes[i], wanted[i], blocks, sum(of_shards), of_shards, start))
-    schema = "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, start long"
+        # What is taken once more ends before the last block does: no gap within a document.
+        start = (seed + i) % (blocks - sum(of_shards) % blocks + 1)
+        out.append((r.source, sizes[i], wanted[i], blocks, sum(of_shards), list(accumulate(of_shards)), start))
+    schema = "source string, source_size long, target double, blocks long, quota long, shard_ends array<long>, start long"
     return spark.createDataFrame(out, schema)
 
 
-def _times(block: Column) -> Column:
-    """How often the mix takes a block of a source; columns of its plan are at hand."""
-    once_more = (block >= F.col("start")) & (block < F.col("start") + F.pmod("quota", "blocks"))
-    return F.expr("quota div blocks") + once_more.cast("long")
+def _shards_of(block: Column) -> Column:
+    """The shards that take a block of a source, once for each time; columns of its plan are at hand."""
+    turn = F.pmod(block - F.col("start"), F.col("blocks"))
+    times = F.expr("quota div blocks") + (turn < F.pmod("quota", "blocks")).cast("long")
+    nth = F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1)).otherwise(F.array().cast("array<long>"))
+    return F.transform(nth, lambda m: F.size(F.filter("shard_ends", lambda e: e <= turn + m * F.col("blocks"))))
 
 
 def mixed(docs: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Each row with ``doc_id, source, size, source_size, target, taken`` and
-    ``pieces``: the blocks' parts of its text as (from word, words, times)."""
+    ``pieces``: the blocks' parts of its text as (from word, words, times, shards), and
+    ``shard_words``: the words that each shard takes of it."""
     sized = written(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
@@ -157,15 +157,18 @@ def mixed(docs: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS, seed:
     piece = lambda k: F.struct(
         (F.greatest(k * block, "begin") - F.col("begin")).alias("first"),
         (F.least((k + 1) * block, end) - F.greatest(k * block, "begin")).alias("words"),
-        _times(k).alias("times"),
+        _shards_of(k).alias("shards"),
     )
     held = held.withColumn("pieces", F.transform(spans, piece))
+    held = held.withColumn("pieces", F.transform("pieces", lambda p: p.withField("times", F.size(p["shards"]).cast("long"))))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"] * p["times"])
-    return held.select("doc_id", "source", "tie", "size", "source_size", "target", taken.alias("taken"), "pieces")
+    of = lambda j: F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"] * F.size(F.filter(p["shards"], lambda x: x == j)))
+    by_shard = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), of)
+    return held.select("doc_id", "source", "tie", "size", "source_size", "target", taken.alias("taken"), "pieces", by_shard.alias("shard_words"))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "shard_words")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

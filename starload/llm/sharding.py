@@ -3,19 +3,22 @@
 Law ``rows``: shard row counts differ by at most one. Every row has the same
 chance to land in any slot of any shard:
 
-1. Rows fall in source blocks by a hash of their identity.
+1. Equal rows are counted and numbered. Rows fall in source blocks by a hash of their
+   identity and number, so copies of one row are dealt like any other rows.
 2. The communication matrix, how many rows of each block go to each shard, is
    drawn exactly: from the root, which holds all rows and the shards' exact
    capacities, each node of a binary tree over the blocks splits its capacities
    between its halves by a multivariate hypergeometric draw, one shard after the
    other. Row sums are the block sizes and column sums the shard sizes. A draw
-   inverts the distribution function, summed outward from the mode.
+   inverts the distribution function, summed outward from the mode over ``SPREAD``
+   deviations to either side; the mass beyond them is below the 2**-53 steps of the
+   uniform number that is inverted, so it takes no draw.
 3. Each block is permuted locally and dealt to the shards by its matrix row.
 4. Each shard is permuted again; the position is the slot. Large shards are cut
    into ranges of the random key, so no task sorts a whole shard.
 
 All draws come from hashes of the seed, node and shard, so a lost task is
-repeated with the same outcome.
+repeated with the same outcome, and reruns agree however the input is cut.
 
 Cases: a null text has no bytes (size 16, checksum 0); null doc_ids, repeated
 rows and ties are dealt as rows of their own (equal rows may swap slots); an
@@ -34,7 +37,9 @@ SHARDS = 40
 SEED = 20_240
 #: Rows of a source block, and of a range of a shard that one task sorts, about.
 BLOCK_ROWS = 20_000
-#: Standard deviations around the mode that a draw sums; beyond lie less than 1e-20.
+#: Copies of one row that one task numbers.
+COPIES = 10_000
+#: Standard deviations around the mode that a draw sums; beyond lie less than 1e-20 of the mass.
 SPREAD = 10
 
 
@@ -124,16 +129,26 @@ def communication_matrix(counts: DataFrame, levels: int, total: int, shards: int
     return nodes.select(F.col("node").alias("block"), "caps")
 
 
+def numbered(rows: DataFrame, columns: tuple[str, ...], most: int = COPIES) -> DataFrame:
+    """The rows, equal ones numbered ``nth`` = 0, 1, ... They are counted before they move;
+    what is more than ``most`` copies is numbered in parts by several tasks."""
+    counted = rows.groupBy(*columns).agg(F.count("*").alias("n"))
+    few = counted.where(F.col("n") <= most).select(*columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("nth"))
+    many = counted.where(F.col("n") > most).select(*columns, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {most}"))).alias("part"))
+    last = F.least(F.col("n"), (F.col("part") + 1) * most) - 1
+    many = many.repartition(*columns, "part").select(*columns, F.explode(F.sequence(F.col("part") * most, last)).alias("nth"))
+    return few.unionByName(many)
+
+
 def uniform_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for each row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sized = written(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")),
-        "sized",
-    )
+    columns = ("doc_id", "text_crc32", "size")
+    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    sized = written(numbered(sized, columns), "sized")
     total = sized.count()
     levels = max(0, (total - 1) // block_rows).bit_length()
-    identity = ("doc_id", "text_crc32", "size")
+    identity = (*columns, "nth")
     top = lambda key, bits: F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")
     blocked = sized.withColumn("block", top(F.xxhash64(F.lit(seed), F.lit("block"), *identity), levels))
     counts = blocked.groupBy("block").agg(F.count("*").alias("rows"))
@@ -146,12 +161,12 @@ def uniform_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bloc
     dealt = ranked.join(matrix, "block").withColumn("shard", F.size(F.filter("bounds", lambda b: b < F.col("r"))).cast("int"))
     key = F.xxhash64(F.lit(seed), F.lit("slot"), *identity)
     bits = max(0, (total // shards - 1) // block_rows).bit_length()
-    dealt = written(dealt.select(*identity, "shard", key.alias("key")).withColumn("part", top(F.col("key"), bits)), "dealt")
+    dealt = written(dealt.select(*columns, "shard", key.alias("key")).withColumn("part", top(F.col("key"), bits)), "dealt")
 
     parts = dealt.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("shard", "part").orderBy("key", *identity)
+    within = Window.partitionBy("shard", "part").orderBy("key", *columns)
     placed = dealt.withColumn("nth", F.row_number().over(within)).join(parts, ["shard", "part"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",

@@ -1,6 +1,7 @@
 """Operator 5: plain counts, exhaustive decoding, held-out accuracy."""
 
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -104,6 +105,60 @@ def test_held_out_documents(spark):
     assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_planted_lines_in_good_documents(spark):
+    """Junk lines of held-out bad documents, put between the lines of held-out good ones, are
+    found, and the other lines stay content."""
+    docs, labels = h.documents(spark, h.SF01), h.labels(spark, h.SF01)
+    field = q.fit(docs, labels.where("doc_id % 2 = 0"))
+    assert field.move[1, 1] > field.move[1, 0] and field.move[0, 0] > field.move[0, 1]
+    rows = docs.join(labels, "doc_id").where("doc_id % 2 = 1 and text is not null").select("doc_id", "text", "quality").orderBy("doc_id").collect()
+    junk = [x for r in rows if r.quality == 0 for x in r.text.split("\n") if len(x.split()) > 2 and len(re.findall(r"[#*$%&]", x)) > 0.03 * len(x)]
+    rng = random.Random(3)
+    texts, truth = [], []
+    for r in rows:
+        lines = r.text.split("\n")
+        if r.quality == 1 and len(lines) > 4:
+            kind = [1] * len(lines)
+            for _ in range(2):
+                i = rng.randrange(len(lines) + 1)
+                lines.insert(i, rng.choice(junk))
+                kind.insert(i, 0)
+            texts.append("\n".join(lines))
+            truth += kind
+    data = "".join(texts).encode()
+    at = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    got = np.concatenate([q.viterbi(x.features @ field.emit, x.at, field.move) for x in (q.counts_of(c).lines for c in q.chunks(memoryview(data), at))])
+    truth = np.array(truth)
+    found, wrong, missed = ((got == 0) & (truth == 0)).sum(), ((got == 0) & (truth == 1)).sum(), ((got == 1) & (truth == 0)).sum()
+    assert len(truth) == len(got) and found > 100
+    assert 2 * found / (2 * found + wrong + missed) >= 0.9
+    mixed = q.label_lines(spark.createDataFrame([(t,) for t in texts], "text string"), field).where("content_lines > 0 and content_lines < n_lines").count()
+    assert mixed > 0.8 * len(texts)
+
+
+def test_learning_turns_labels_within_a_document():
+    """Lines of the other kind inside a document change their label; runs are neighbours."""
+    rng = np.random.default_rng(5)
+    kinds = np.array([1, 0] * 30)
+    at = np.arange(0, 61 * 8, 8)
+    true = np.repeat(kinds, 8)
+    for d in range(0, 60, 2):
+        true[at[d] + 3] = 0
+    x = np.zeros((len(true), q.FEATURES), np.float32)
+    x[:, 0] = 1
+    x[:, 1] = (true == 0) & (rng.random(len(true)) < 0.98)
+    x[:, 2] = rng.random(len(true)) < 0.3
+    field, labels = q.learn(x, at, kinds)
+    assert (labels == true).mean() > 0.97 and {tuple(labels[at[d] : at[d + 1]]) for d in range(0, 60, 2)} >= {(1, 1, 1, 0, 1, 1, 1, 1)}
+
+
+def test_one_text_for_each_sampled_id(spark):
+    docs = h.documents(spark)
+    labels = h.labels(spark)
+    again = docs.unionByName(docs).unionByName(docs.where("doc_id % 3 = 0"))
+    assert np.allclose(q.fit(again, labels).emit, q.fit(docs, labels).emit)
+
+
 def test_odd_rows(spark):
     labels = h.labels(spark)
     got = q.rules(h.clashing(spark, "n_words", "quality", "kept"), labels).collect()

@@ -58,11 +58,33 @@ def test_targets():
         assert max(free, default=0) == pytest.approx(min(free, default=0))
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 3, 7, 64, 1000])
-def test_block_choice_is_a_permutation(blocks):
-    for seed in range(5):
-        factor, shift = mixing._stride(blocks, seed)
-        assert sorted((k * factor + shift) % blocks for k in range(blocks)) == list(range(blocks))
+def test_shards_take_their_quotas(spark):
+    """Words by shard and source are the shard's quota of blocks, but for a source's short last block."""
+    rng = random.Random(6)
+    rows = [(i, " ".join("w" * rng.randrange(1, 5) for _ in range(rng.choice((0, 3, 40, 700)))), rng.choice("aabc")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    block, shards = 16, 5
+    done = mixing.mixed(docs, block=block, shards=shards).select("source", "source_size", "taken", "shard_words", "pieces").collect()
+    names = sorted({r[2] for r in rows})
+    sizes = [sum(len(t.split()) for _, t, s in rows if s == n) for n in names]
+    wanted = mixing.targets(sizes, [1, 2, 3][: len(names)])
+    quotas = mixing.shard_quotas(sizes, wanted, shards, block)
+    for j in range(shards):
+        for i, n in enumerate(names):
+            words = sum(r.shard_words[j] for r in done if r.source == n)
+            times_last = -(-quotas[j][i] // max(1, -(-sizes[i] // block)))
+            assert abs(words - quotas[j][i] * block) < block * max(1, times_last)
+    assert all(sum(r.shard_words) == r.taken and all(p.times == len(p.shards) for p in r.pieces) for r in done)
+    # a shard takes most documents whole
+    parts = [sum(j in p.shards for p in r.pieces) / len(r.pieces) for r in done for j in range(shards) if any(j in p.shards for p in r.pieces)]
+    assert sum(x == 1 for x in parts) > 0.8 * len(parts)
+
+
+def test_very_many_sources(spark):
+    docs = spark.range(100_000).select("id", F.lit("one two three").alias("text"), F.concat(F.lit("s"), "id").alias("source")).withColumnRenamed("id", "doc_id")
+    got = mixing.mixed(docs, block=1).agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
+    assert got.n == 100_000 and abs(got.taken - got["size"]) <= 8
+
 
 
 def check(rows, source_of):

@@ -73,6 +73,28 @@ def test_every_row_may_land_anywhere(spark):
     assert len(seen) > 24 and max(seen.values()) < 5
 
 
+def test_copies_are_dealt_like_other_rows(spark):
+    """4000 copies of one row among 8000: along the slots copies and others change places as
+    often as in a uniform order, and each shard has its share."""
+    docs = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    got = sharding.uniform_shards(docs, block_rows=500).select("doc_id", "shard", "slot").orderBy("shard", "slot").collect()
+    kind = [r.doc_id == -1 for r in got]
+    changes = sum(a != b for x, y in zip(got, got[1:]) if x.shard == y.shard for a, b in [(x.doc_id == -1, y.doc_id == -1)])
+    expected = 7960 * 2 * 0.5 * 4000 / 7999
+    assert abs(changes - expected) < 5 * (7960 * 0.25) ** 0.5
+    for j in range(40):
+        own = [k for k, r in zip(kind, got, strict=True) if r.shard == j]
+        assert len(own) == 200 and abs(sum(own) - 100) < 6 * (200 * 0.25) ** 0.5
+
+
+def test_copies_are_numbered_in_parts(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 63, F.lit(None).cast("long")).otherwise(F.col("id") % 30).alias("a"), F.lit("t").alias("b"))
+    got = sorted((r.a or -1, r.nth) for r in sharding.numbered(df, ("a", "b"), most=10).collect())
+    want = Counter(-1 if i < 63 else i % 30 for i in range(100))
+    want = sorted((a if a else -1, k) for a, n in want.items() for k in range(n))
+    assert sorted(k for a, k in got if a == -1) == sorted(k for a, k in want if a == -1) and got == want
+
+
 def test_odd_rows(spark):
     got = sharding.uniform_shards(h.clashing(spark, "size", "shard", "block", "key", "r"), shards=4, block_rows=3).collect()
     check(got, [(d, t) for d, t, *_ in h.ODD], 4)
