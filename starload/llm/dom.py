@@ -33,10 +33,6 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 
 
-#: Elements nested deeper are read as if their tags were not there.
-DEEPEST = 150
-
-
 @dataclass(slots=True)
 class Node:
     """An element; ``inside`` holds strings (text) and nodes in order."""
@@ -54,12 +50,12 @@ def _marks(attributes: str) -> str:
 
 
 def parse(text: str) -> Node:
-    """The tree of a page. Unclosed elements end with their parent, closing tags
-    without an open element are passed over, comments and raw elements leave nothing."""
+    """The tree of a page, however deep. Unclosed elements end with their parent, closing
+    tags without an open element are passed over, a slash does not close an element that
+    has content, comments and raw elements leave nothing."""
     root = Node("#root")
     stack = [root]
     at, n = 0, len(text)
-    beyond: list[str] = []
     while at < n:
         m = TAG.search(text, at)
         until = m.start() if m else n
@@ -72,10 +68,7 @@ def parse(text: str) -> Node:
             continue
         name = m[2].lower()
         if m[1]:
-            if beyond and name == beyond[-1]:
-                beyond.pop()
-            else:
-                _close(stack, name)
+            _close(stack, name)
             continue
         if name in RAW or name in RCDATA:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(text, at)
@@ -95,11 +88,8 @@ def parse(text: str) -> Node:
                     break
         node = Node(name, _marks(m[3]))
         stack[-1].inside.append(node)
-        if name not in VOID and not m[3].endswith("/"):
-            if len(stack) < DEEPEST:
-                stack.append(node)
-            else:
-                beyond.append(name)
+        if name not in VOID:
+            stack.append(node)
     return root
 
 

@@ -3,7 +3,8 @@
 * ``write_monolithic``: records as text files, each compressed as one gzip stream,
   by Spark's own writer. Records end with CRLF CRLF, which is the writer's line
   separator. A record whose payload another one carries is a revisit without it.
-* ``normalise``: each whole-file stream is inflated once, piece by piece; every
+* ``normalise``: each whole-file stream is opened by its path and inflated once, piece
+  by piece, so a task holds one record at a time, whatever the archive's size; every
   record becomes a gzip member of its own in a new archive, and its offset and
   length go to a sidecar index (one line of JSON for each record beside the
   archive, and the rows of the result).
@@ -18,7 +19,8 @@ Cases: a null html is an empty payload; records with equal payloads of at least
 that page_id are all responses; null page_ids are smallest of all, and where all
 are null each row is a response; a null url is an empty target; a payload may hold
 any text, CRLF CRLF and WARC headers too, as its length is given; an empty table
-makes no archive and gives an empty result.
+makes no archive and gives an empty result. A record's id comes from its page_id and
+payload, so rows that share both share it, and a repeated task writes the same ids.
 """
 
 from __future__ import annotations
@@ -74,12 +76,20 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     return keyed.join(groups, ["payload_digest", "payload_bytes"], "left").withColumn("refers_to", F.when(F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")))
 
 
+def record_id(page_id: Column, digest: Column) -> Column:
+    """The record of a page and payload as a URN."""
+    h = F.md5(F.concat(F.coalesce(page_id.cast("string"), F.lit("-")), F.lit("/"), digest))
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
+
+
 def _header(revisit: Column) -> Column:
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     opt = lambda name, value: F.coalesce(line(name, value.cast("string")), F.lit(""))
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        line("WARC-Record-ID", record_id(F.col("page_id"), F.col("payload_digest"))),
+        F.when(revisit, line("WARC-Refers-To", record_id(F.col("refers_to"), F.col("payload_digest")))).otherwise(""),
         line("WARC-Target-URI", _one_line(F.col("url"))),
         F.lit(f"WARC-Date: {DATE}\r\n"),
         opt("X-Page-Id", F.col("page_id")),
@@ -136,13 +146,15 @@ class _Reader:
         while len(self.have) < n:
             if not self._more():
                 raise ValueError("the archive ends within a record")
-        out = bytes(self.have[:n])
+        with memoryview(self.have) as have:
+            out = bytes(have[:n])
         del self.have[:n]
         return out
 
 
-def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
-    """(header fields, payload, the record's bytes) of each record of a gzip file."""
+def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], memoryview, bytes]]:
+    """(header fields, payload, the record's bytes) of each record of a gzip file; the
+    payload is a view of the record."""
     r = _Reader(pieces)
     while (head := r.until(END)) is not None:
         head = head.lstrip(b"\r\n")
@@ -150,14 +162,18 @@ def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], byt
         if not lines[0].startswith("WARC/"):
             raise ValueError("no WARC record here")
         fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:] if x)
-        payload = r.take(int(fields["Content-Length"]))
-        r.take(len(END))
-        yield fields, payload, head + payload + END
+        size = int(fields["Content-Length"])
+        record = head + r.take(size + len(END))
+        yield fields, memoryview(record)[len(head) : len(head) + size], record
+        del record
 
 
-def _cut(data: bytes) -> Iterator[bytes]:
-    for i in range(0, len(data), PIECE):
-        yield data[i : i + PIECE]
+def pieces_of(uri: str) -> Iterator[bytes]:
+    """A file's bytes, a piece at a time."""
+    fs, path = _file_system(uri)
+    with fs.open_input_stream(path, compression=None) as stream:
+        while piece := stream.read(PIECE):
+            yield piece
 
 
 def member(record: bytes, level: int = LEVEL) -> bytes:
@@ -178,18 +194,20 @@ def _normaliser(target: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = _file_system(target)
         for b in batches:
-            for path, content in zip(b["path"], b["content"], strict=True):
-                name = path.as_py().rpartition("/")[2].partition(".")[0] + ".warc.gz"
+            for path in b["path"].to_pylist():
+                name = path.rpartition("/")[2].partition(".")[0] + ".warc.gz"
                 task = TaskContext.get()
                 attempt = f"{folder}/_attempt-{task.taskAttemptId() if task else 0}-{uuid.uuid4().hex[:8]}-{name}"
                 at, rows = 0, []
                 with fs.open_output_stream(attempt, compression=None) as out:
-                    for fields, _, record in parse_records(_cut(memoryview(content.as_buffer()))):
+                    for fields, view, record in parse_records(pieces_of(path)):
+                        del view
                         packed = member(record)
                         out.write(packed)
                         url = None if "X-Url-Null" in fields else fields["WARC-Target-URI"]
                         rows.append((name, at, len(packed), _int(fields.get("X-Page-Id")), url, fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Bytes"]), _int(fields.get("X-Refers-To-Page-Id"))))
                         at += len(packed)
+                        del record  # before the next one is read
                 names = [c.split()[0] for c in INDEX.split(", ")]
                 with fs.open_output_stream(attempt + ".idx", compression=None) as out:
                     out.write("".join(json.dumps(dict(zip(names, r, strict=True))) + "\n" for r in rows).encode())
@@ -204,12 +222,12 @@ def _normaliser(target: str):
 
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrite every gzip file below ``source`` into ``target``, a folder of the shared
-    store, and return the sidecar index. Each file is one task's row; files are
-    bounded by the writer's record limit."""
+    store, and return the sidecar index. Spark deals out paths; a task reads each file as
+    a stream, so both folders must be such that pyarrow can open them."""
     workers_import(spark)
     fs, folder = _file_system(target)
     fs.create_dir(folder, recursive=True)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
     return written(files.mapInArrow(_normaliser(target), INDEX), "warc-index")
 
 
@@ -234,7 +252,7 @@ def read_records(index: DataFrame, target: str) -> DataFrame:
                     digest, size = b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
                 if (digest, size, _int(fields.get("X-Page-Id"))) != (r["payload_digest"], r["payload_bytes"], r["page_id"]):
                     raise ValueError(f"{r['archive']} at {r['at']} does not hold the record of its index")
-                rows.append((r["page_id"], size, digest, kind, _int(fields.get("X-Refers-To-Page-Id")), r["url"], payload if kind == "response" else None))
+                rows.append((r["page_id"], size, digest, kind, _int(fields.get("X-Refers-To-Page-Id")), r["url"], bytes(payload) if kind == "response" else None))
             if rows:
                 types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])

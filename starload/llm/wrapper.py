@@ -1,44 +1,54 @@
 """Main text of pages by wrapper induction (operator 9).
 
-1. Each page's DOM tree is cut down to its block elements, and runs of like
-   siblings become one repeated node, so a page's skeleton is small.
+1. Each page's DOM tree is cut down to its block elements, and like siblings become
+   one repeated node, so a page's skeleton is small however long the page.
 2. Pages of a host with equal skeletons are one; the most frequent skeleton of a
    host is its reference, and every other skeleton is aligned to it by simple tree
    matching. Aligned nodes share a slot; nodes without a partner get slots of their
    own below their parent's.
-3. For each slot of a host it is counted on how many pages it stands and whether
-   its text is always the same (least and greatest hash of the text). A slot that
-   is constant over at least ``CONSTANT_PAGES`` pages is template, a varying one is
-   content, unless its element's name or marks say menu, header, footer, sidebar,
-   notice, advert, form or comments, or all its text is links. Marks like
-   'has-sidebar' and those around a main element say nothing; within a main element
-   a mark that may be a topic ('related-work') counts only with links or a constant text.
-4. Each page is aligned to its host's reference again; the blocks of its content
-   slots, in page order, are its text. On a page with marked main elements (article,
-   main) only slots within them count.
-
-Constants within main elements count only where other main slots of the host vary
-(copies of one article are no template), and a main element's h1 is never one.
+3. For each slot of a host it is counted on how many pages it stands, whether its text
+   is always the same, and whether the rest of these pages is not (least and greatest
+   hashes of both). A slot with one text over at least ``CONSTANT_PAGES`` pages that
+   differ otherwise is template, a varying one is content. As a slot is compared with
+   the pages that have it, each of several layouts of a host has its own template.
+4. On pages without a marked main element (article, main) single blocks are judged as
+   well, because like siblings share a slot: a block is template if it stands on
+   ``CONSTANT_PAGES`` pages or more that differ otherwise and on half of those that have
+   its slot; and a slot is (rotating adverts, notices) if half of what stands in it
+   recurs so on pages of any host whose longest other blocks differ too, and it holds
+   less than half of the host's text. Copies of one page are no template: nothing
+   else differs on them.
+5. Each page is aligned to its host's reference again; the blocks of its content
+   slots, in page order, are its text. On a page with marked main elements
+   only slots within them count.
+
+Menus, headers, footers and forms by element name are never main text. Marks (class, id,
+role) that name such things rule an element out only if it holds no more than half of the
+page's text, comments always; marks like 'has-sidebar' and those around a main element
+say nothing; within a main element a mark that may be a topic ('related-work') counts only
+with links or a constant text. Constants within main elements count only where the
+other text of main elements differs, and a main element's h1 is never one.
 
 The wrapper is one row for each host, aggregated from counts before any shuffle;
 pages meet it by a join that Spark may split or broadcast by its size.
 
 Cases: a null or empty html gives an empty text; a null or odd url belongs to the
 host ''; a host with one page has no constants and keeps all slots not ruled out;
-repeated rows and equal page_ids give a row each; a page of any length is taken
+repeated rows and equal page_ids give a row each; a page of any length and depth is taken
 whole; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import json
 import re
+import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import workers_import, written
@@ -59,6 +69,8 @@ CHROME_WORDS = frozenset(
 #: Of these, the words that rule out a part of a main element whatever it holds; a
 #: section of an article may bear any other one as its topic.
 SURE_WORDS = frozenset("ad ads advert adverts adbox sponsored nav navbar breadcrumb breadcrumbs sidebar share sharing comment comments commentlist disqus respond reply replies pagination pager".split())
+#: Marks with these words rule out an element of any size.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 #: In a mark, words behind these tell what stands beside or is missing.
 BESIDE_WORDS = frozenset("with without has have no not hide".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -89,11 +101,22 @@ def _marked(marks: str) -> Iterator[str]:
                 yield w
 
 
+@contextmanager
+def deep_trees():
+    """Trees are walked by recursion: as deep as pages are nested."""
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, 5_000_000))
+    try:
+        yield
+    finally:
+        sys.setrecursionlimit(before)
+
+
 @lru_cache(maxsize=4096)
 def chrome(lab: str, inside_main: bool = False, around_main: bool = False) -> str:
-    """'out' if a label is no main text by its tag or marks, 'doubt' if its marks may
-    also be a topic, else ''. A header within an article belongs to it; marks say
-    nothing of an element around a main one."""
+    """'out' if a label is no main text by its tag, 'mark' if by its marks, 'doubt' if its
+    marks may also be a topic, else ''. A header within an article belongs to it; marks
+    say nothing of an element around a main one."""
     tag, _, marks = lab.partition(" ")
     if tag in CHROME_TAGS and not (inside_main and tag == "header"):
         return "out"
@@ -101,12 +124,12 @@ def chrome(lab: str, inside_main: bool = False, around_main: bool = False) -> st
         return ""
     found = set(_marked(marks))
     if not inside_main:
-        return "out" if found else ""
+        return "out" if found & COMMENT_WORDS else "mark" if found else ""
     found -= {"header", "masthead", "side"}
     return "out" if found & SURE_WORDS else "doubt" if found else ""
 
 
-# A skeleton is (label, [children]); like neighbours are one repeated node.
+# A skeleton is (label, [children]); like siblings are one repeated node.
 Skeleton = tuple
 
 
@@ -122,64 +145,61 @@ def blocks(node: Node) -> list[Node]:
     return out
 
 
-def skeleton(node: Node) -> Skeleton:
-    return (label(node), _merged([skeleton(b) for b in blocks(node)]))
-
-
-def _merged(children: list[Skeleton]) -> list[Skeleton]:
-    """Neighbours with one label become one node with the merged children of all."""
-    out: list[Skeleton] = []
-    for c in children:
-        if out and out[-1][0] == c[0]:
-            out[-1] = (c[0], _merged_two(out[-1][1], c[1]))
-        else:
-            out.append(c)
-    return out
+def straight(root: Node) -> Node:
+    """Nested elements of one label with nothing else between them become one."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        while True:
+            own = [x for x in node.inside if not isinstance(x, str) or x.strip()]
+            if len(own) != 1 or not isinstance(own[0], Node) or own[0].tag in INLINE or label(own[0]) != label(node):
+                break
+            node.inside = own[0].inside
+        stack += [x for x in node.inside if isinstance(x, Node)]
+    return root
 
 
-def _merged_two(a: list[Skeleton], b: list[Skeleton]) -> list[Skeleton]:
-    if not b or a == b:
-        return a
-    pairs = dict(matching(a, b)[1])
-    out, j = [], 0
-    for i, x in enumerate(a):
-        if i in pairs:
-            out += b[j : pairs[i]]
-            out.append((x[0], _merged_two(x[1], b[pairs[i]][1])))
-            j = pairs[i] + 1
-        else:
-            out.append(x)
-    return _joined(out + b[j:])
+def skeleton(node: Node) -> Skeleton:
+    return (label(node), _shapes_below([node]))
 
 
-def _joined(nodes: list[Skeleton]) -> list[Skeleton]:
-    out: list[Skeleton] = []
-    for c in nodes:
-        if out and out[-1][0] == c[0]:
-            out[-1] = (c[0], _merged_two(out[-1][1], c[1]))
-        else:
-            out.append(c)
-    return out
+def _shapes_below(nodes: list[Node]) -> list[Skeleton]:
+    """Children of like nodes, those with one label together, in order of their first."""
+    like: dict[str, list[Node]] = {}
+    for n in nodes:
+        for x in blocks(n):
+            like.setdefault(label(x), []).append(x)
+    return [(lab, _shapes_below(of)) for lab, of in like.items()]
 
 
-def tree_match(a: Skeleton, b: Skeleton) -> int:
+def tree_match(a: Skeleton, b: Skeleton, known: dict | None = None) -> int:
     """Simple tree matching: the most nodes that can be paired in order, roots first."""
-    return 1 + matching(a[1], b[1])[0] if a[0] == b[0] else 0
-
-
-def matching(a: list[Skeleton], b: list[Skeleton]) -> tuple[int, list[tuple[int, int]]]:
-    """Best ordered pairing of two lists of trees: its size and its pairs."""
-    if not a or not b:
+    if a[0] != b[0]:
+        return 0
+    known = {} if known is None else known
+    key = (id(a), id(b))
+    if key not in known:
+        known[key] = 1 + matching(a[1], b[1], known)[0]
+    return known[key]
+
+
+def matching(a: list[Skeleton], b: list[Skeleton], known: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
+    """Best ordered pairing of two lists of trees: its size and its pairs. Only trees whose
+    label stands in both lists can be paired; ``known`` remembers sizes of pairs."""
+    known = {} if known is None else known
+    both = {x[0] for x in a} & {x[0] for x in b}
+    rows, columns = [i for i, x in enumerate(a) if x[0] in both], [j for j, x in enumerate(b) if x[0] in both]
+    if not both:
         return 0, []
-    w = [[tree_match(x, y) for y in b] for x in a]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
+    w = [[tree_match(a[i], b[j], known) for j in columns] for i in rows]
+    best = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
+    for i in range(1, len(rows) + 1):
+        for j in range(1, len(columns) + 1):
             best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w[i - 1][j - 1])
-    pairs, i, j = [], len(a), len(b)
+    pairs, i, j = [], len(rows), len(columns)
     while i and j:
         if w[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + w[i - 1][j - 1]:
-            pairs.append((i - 1, j - 1))
+            pairs.append((rows[i - 1], columns[j - 1]))
             i, j = i - 1, j - 1
         elif best[i][j] == best[i - 1][j]:
             i -= 1
@@ -188,15 +208,6 @@ def matching(a: list[Skeleton], b: list[Skeleton]) -> tuple[int, list[tuple[int,
     return best[-1][-1], pairs[::-1]
 
 
-def paths(tree: Skeleton, at: str = "") -> Iterator[tuple[str, str]]:
-    """(path, label) of each node; a path step is the label and its turn among like siblings."""
-    yield at, tree[0]
-    turn: dict[str, int] = {}
-    for c in tree[1]:
-        turn[c[0]] = turn.get(c[0], -1) + 1
-        yield from paths(c, f"{at}/{c[0]}.{turn[c[0]]}")
-
-
 def _steps(children: list[Skeleton], at: str) -> list[str]:
     turn: dict[str, int] = {}
     out = []
@@ -210,6 +221,7 @@ def aligned(tree: Skeleton, reference: Skeleton) -> dict[str, str]:
     """Slot of each path of ``tree``: the path of its partner in the reference, or
     for a node without one its own path below its parent's slot, marked with +."""
     out: dict[str, str] = {}
+    known: dict = {}
 
     def alone(t: Skeleton, path: str, slot: str) -> None:
         out[path] = slot
@@ -218,7 +230,7 @@ def aligned(tree: Skeleton, reference: Skeleton) -> dict[str, str]:
 
     def both(t: Skeleton, path: str, r: Skeleton, slot: str) -> None:
         out[path] = slot
-        pairs = dict(matching(t[1], r[1])[1])
+        pairs = dict(matching(t[1], r[1], known)[1])
         own, theirs = _steps(t[1], path), _steps(r[1], slot)
         for i, c in enumerate(t[1]):
             if i in pairs:
@@ -234,7 +246,26 @@ def aligned(tree: Skeleton, reference: Skeleton) -> dict[str, str]:
 
 
 def _pack(tree: Skeleton) -> str:
-    return json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
+    """One line for each node in page order: depth and label (which has no line breaks)."""
+    out, stack = [], [(0, tree)]
+    while stack:
+        depth, (lab, below) = stack.pop()
+        out.append(f"{depth} {lab}")
+        stack += [(depth + 1, c) for c in reversed(below)]
+    return "\n".join(out)
+
+
+@lru_cache(maxsize=256)
+def _tree(packed: str) -> Skeleton:
+    open_: list[Skeleton] = []
+    for line in packed.split("\n"):
+        depth, _, lab = line.partition(" ")
+        del open_[int(depth) :]
+        node = (lab, [])
+        if open_:
+            open_[-1][1].append(node)
+        open_.append(node)
+    return open_[0]
 
 
 def texts_of(root: Node, tree: Skeleton) -> list[tuple[str, str, int]]:
@@ -242,8 +273,7 @@ def texts_of(root: Node, tree: Skeleton) -> list[tuple[str, str, int]]:
     out: list[tuple[str, str, int]] = []
 
     def visit(node: Node, path: str, shape: Skeleton) -> None:
-        steps = _steps(shape[1], path)
-        place = 0
+        steps = dict(zip((c[0] for c in shape[1]), zip(_steps(shape[1], path), shape[1], strict=True), strict=True))
         text: list[str] = []
         linked = 0
 
@@ -257,7 +287,7 @@ def texts_of(root: Node, tree: Skeleton) -> list[tuple[str, str, int]]:
             linked = 0
 
         def walk(x: Node, link: bool) -> None:
-            nonlocal place, linked
+            nonlocal linked
             for y in x.inside:
                 if isinstance(y, str):
                     text.append(y)
@@ -269,13 +299,7 @@ def texts_of(root: Node, tree: Skeleton) -> list[tuple[str, str, int]]:
                     walk(y, link or y.tag == "a")
                 else:
                     flush()
-                    lab = label(y)
-                    # Merged neighbours share a node; the next label lies at or behind it.
-                    k = next((k for k in range(place, len(shape[1])) if shape[1][k][0] == lab), None)
-                    if k is None:
-                        k = next(k for k in range(len(shape[1])) if shape[1][k][0] == lab)
-                    place = k
-                    visit(y, steps[k], shape[1][k])
+                    visit(y, *steps[label(y)])
 
         walk(node, False)
         flush()
@@ -288,101 +312,182 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host and skeleton of a batch, and each path with text: pages, the
-    least and greatest hash of the text, characters and characters in links."""
-    for b in batches:
-        seen: dict[tuple[str, str, str], list] = {}
-        for host, page in zip(b["host"].to_pylist(), b["html"].to_pylist(), strict=True):
-            root = parse(page or "")
-            tree = skeleton(root)
-            packed = _pack(tree)
-            held: dict[str, tuple[list[str], int]] = {"": ([], 0)}
-            for path, text, links in texts_of(root, tree):
-                have = held.get(path, ([], 0))
-                have[0].append(text)
-                held[path] = (have[0], have[1] + links)
-            for path, (text, links) in held.items():
-                h, size = _hash("\n".join(text)), sum(map(len, text))
-                s = seen.setdefault((host, packed, path), [0, h, h, 0, 0])
-                s[0], s[1], s[2], s[3], s[4] = s[0] + 1, min(s[1], h), max(s[2], h), s[3] + size, s[4] + links
-        if seen:
-            rows = [(*k, *v) for k, v in seen.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string()] * 3 + [pa.int64()] * 5, strict=True)], names=["host", "skeleton", "path", "pages", "least", "most", "chars", "links"])
-
-
-_tree = lru_cache(maxsize=256)(lambda packed: json.loads(packed))
-
-
-@lru_cache(maxsize=256)
-def _slots(packed: str, reference: str) -> dict[str, str]:
-    return aligned(_tree(packed), _tree(reference))
+def _rest(hashes: dict[str, int], counted: set[str], path: str) -> int:
+    """A hash of the texts of the other counted paths."""
+    total = sum(hashes[p] for p in counted if p != path)
+    return (total + (1 << 63)) % (1 << 64) - (1 << 63)
 
 
 @lru_cache(maxsize=65536)
-def standing(path: str) -> tuple[bool, bool, bool]:
-    """Whether a path lies in a main element, whether chrome rules it out, and
-    whether it does so if its slot is constant or holds links."""
+def standing(path: str) -> tuple[bool, str, bool, bool]:
+    """Of a path: whether it lies in a main element; the path of the outermost element
+    whose marks rule it out, if any; whether an element's name (or comments) does; and
+    whether marks do so if its slot is constant or holds links."""
     main = doubt = False
-    labels = [step.removeprefix("+").rpartition(".")[0] for step in path.split("/")[1:]]
+    marked = ""
+    steps = path.split("/")[1:]
+    labels = [step.removeprefix("+").rpartition(".")[0] for step in steps]
     last = max((i for i, lab in enumerate(labels) if lab.partition(" ")[0] == "main"), default=-1)
     for i, lab in enumerate(labels):
         kind = chrome(lab, main, i < last)
         if kind == "out":
-            return main, True, doubt
+            return main, marked, True, doubt
+        if kind == "mark" and not marked:
+            marked = "/" + "/".join(steps[: i + 1])
         doubt = doubt or kind == "doubt"
         main = main or lab.partition(" ")[0] in MAIN_TAGS
-    return main, False, doubt
+    return main, marked, False, doubt
+
+
+def readable(found: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+    """The blocks that neither an element's name nor marks rule out. What is marked counts
+    as ruled out unless it holds more than half of the text outside named elements."""
+    open_ = [x for x in found if not standing(x[0])[2]]
+    total = sum(len(t) for _, t, _ in open_)
+    held: dict[str, int] = {}
+    for path, text, _ in open_:
+        steps = path.split("/")
+        for i in range(2, len(steps) + 1):
+            at = "/".join(steps[:i])
+            held[at] = held.get(at, 0) + len(text)
+
+    def out(path: str) -> bool:
+        at = standing(path)[1]
+        if not at or 2 * held[at] <= total:
+            return bool(at)
+        # The outermost marked element is the page's body: look at those within it.
+        inner = path.split("/")
+        for i in range(at.count("/") + 2, len(inner) + 1):
+            step = "/".join(inner[:i])
+            if chrome(inner[i - 1].rpartition(".")[0]) == "mark" and 2 * held[step] <= total:
+                return True
+        return False
+
+    return [x for x in open_ if not out(x[0])]
+
+
+def _block_contexts(lengths: dict[int, int]) -> Iterator[tuple[int, int, int]]:
+    """(block, longest other block, hash of all others) of a page's block hashes and lengths."""
+    longest = sorted(lengths, key=lambda h: (-lengths[h], h))[:2]
+    total = sum(lengths)
+    for h in lengths:
+        yield h, next((x for x in longest if x != h), 0), (total - h + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each host, skeleton and path with text: pages, least and greatest hash of the text,
+    characters, characters in links, least and greatest hash of the rest. On pages
+    without a main element also one row for each block of a path, with the least and
+    greatest hashes of the longest other block and of all others."""
+    with deep_trees():
+        for b in batches:
+            seen: dict[tuple, list] = {}
+
+            def count(key: tuple, a: int, c: int, chars: int = 0, links: int = 0, seen=seen) -> None:
+                s = seen.setdefault(key, [0, a, a, 0, 0, c, c])
+                s[:] = s[0] + 1, min(s[1], a), max(s[2], a), s[3] + chars, s[4] + links, min(s[5], c), max(s[6], c)
+
+            for host, page in zip(b["host"].to_pylist(), b["html"].to_pylist(), strict=True):
+                root = straight(parse(page or ""))
+                tree = skeleton(root)
+                packed = _pack(tree)
+                found = readable(texts_of(root, tree))
+                held: dict[str, list] = {"": [[], 0]}
+                for path, text, links in found:
+                    have = held.setdefault(path, [[], 0])
+                    have[0].append(text)
+                    have[1] += links
+                hashes = {p: _hash("\n".join(t)) for p, (t, _) in held.items()}
+                main = {p: standing(p)[0] for p in held}
+                counted = {m: {p for p in held if main[p] == m and not _title(p) and held[p][0]} for m in (False, True)}
+                for p, (text, links) in held.items():
+                    count((host, packed, p, None), hashes[p], _rest(hashes, counted[main[p]], p), sum(map(len, text)), links)
+                if not any(main.values()):
+                    places = {(p, _hash(t)): len(t) for p, t, _ in found}
+                    contexts = {h: (x, y) for h, x, y in _block_contexts({h: n for (_, h), n in places.items()})}
+                    for p, h in places:
+                        count((host, packed, p, h), *contexts[h])
+            if seen:
+                rows = [(*k, *v) for k, v in seen.items()]
+                kinds = [pa.string()] * 3 + [pa.int64()] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "skeleton", "path", "block", *_COUNTED])
+
+
+def _title(path: str) -> bool:
+    """Whether a path is the h1 of a main element."""
+    return standing(path)[0] and path.rpartition("/")[2].startswith("h1")
+
+
+@lru_cache(maxsize=256)
+def _slots(packed: str, reference: str) -> dict[str, str]:
+    return aligned(_tree(packed), _tree(reference))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for page, reference, template in zip(b["html"].to_pylist(), b["reference"].to_pylist(), b["template"].to_pylist(), strict=True):
-            root = parse(page or "")
-            tree = skeleton(root)
-            found = [(p, t) for p, t, _ in texts_of(root, tree) if not standing(p)[1]]
-            if template:
-                fixed, slots = set(template), _slots(_pack(tree), reference)
-                found = [(p, t) for p, t in found if slots[p] not in fixed]
-            main = [t for p, t in found if standing(p)[0]]
-            out.append(" ".join(main or [t for _, t in found]))
-        n = [len(t) for t in out]
-        yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(out, pa.string()), pa.array(n, pa.int64())], names=["page_id", "url", "text", "n_chars"])
+    with deep_trees():
+        for b in batches:
+            out = []
+            for page, reference, template, fixed in zip(*[b[c].to_pylist() for c in ("html", "reference", "template", "blocks")], strict=True):
+                root = straight(parse(page or ""))
+                tree = skeleton(root)
+                found = [(p, t) for p, t, _ in readable(texts_of(root, tree))]
+                main = any(standing(p)[0] for p, _ in found)
+                if template or fixed:
+                    slots, whole = _slots(_pack(tree), reference), set(template or ())
+                    single = set() if main else {(x["slot"], x["block"]) for x in fixed or ()}
+                    found = [(p, t) for p, t in found if slots[p] not in whole and not (single and (slots[p], _hash(t)) in single)]
+                inside = [t for p, t in found if standing(p)[0]]
+                out.append(" ".join(inside or [t for _, t in found]))
+            n = [len(t) for t in out]
+            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(out, pa.string()), pa.array(n, pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each path's slot, whether it is in a main element, and whether it may be template."""
-    for b in batches:
-        slots = [_slots(s, r)[p] for s, r, p in zip(b["skeleton"].to_pylist(), b["reference"].to_pylist(), b["path"].to_pylist(), strict=True)]
-        main = [standing(p)[0] for p in b["path"].to_pylist()]
-        title = [m and p.rpartition("/")[2].startswith("h1") for m, p in zip(main, b["path"].to_pylist(), strict=True)]
-        doubt = [standing(p)[2] for p in b["path"].to_pylist()]
-        kept = ["host", "pages", "least", "most", "chars", "links"]
-        yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(slots, pa.string()), pa.array(main), pa.array(title), pa.array(doubt)], names=[*kept, "slot", "main", "title", "doubt"])
+    with deep_trees():
+        for b in batches:
+            own = b["path"].to_pylist()
+            slots = [_slots(s, r)[p] for s, r, p in zip(b["skeleton"].to_pylist(), b["reference"].to_pylist(), own, strict=True)]
+            kept = ["host", "block", *_COUNTED]
+            new = {"slot": pa.array(slots, pa.string()), "main": pa.array([standing(p)[0] for p in own]), "title": pa.array([_title(p) for p in own]), "doubt": pa.array([standing(p)[3] for p in own])}
+            yield pa.RecordBatch.from_arrays([b[c] for c in kept] + list(new.values()), names=[*kept, *new])
 
 
-_COUNTS = "pages long, least long, most long, chars long, links long"
+_COUNTED = ("pages", "least", "most", "chars", "links", "rest_least", "rest_most")
+_COUNTS = ", ".join(f"{c} long" for c in _COUNTED)
 
 
 def _counted(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(*[f(c).alias(c) for f, c in ((F.sum, "pages"), (F.min, "least"), (F.max, "most"), (F.sum, "chars"), (F.sum, "links"))])
+    how = dict.fromkeys(_COUNTED, F.sum) | {"least": F.min, "rest_least": F.min, "most": F.max, "rest_most": F.max}
+    return df.groupBy(*keys).agg(*[f(c).alias(c) for c, f in how.items()])
 
 
 def wrappers(hosted: DataFrame) -> DataFrame:
-    """``host, reference, template``: the host's reference skeleton and the slots
-    that hold template."""
-    shape = hosted.mapInArrow(_shapes, f"host string, skeleton string, path string, {_COUNTS}")
-    shape = written(_counted(shape, "host", "skeleton", "path"), "page-shapes")
-    reference = shape.where("path = ''").groupBy("host").agg(F.max_by("skeleton", F.struct("pages", "skeleton")).alias("reference"), F.sum("pages").alias("of_host"))
-    slots = shape.join(reference.select("host", "reference"), "host").mapInArrow(_aligned, f"host string, {_COUNTS}, slot string, main boolean, title boolean, doubt boolean")
-    judged = _counted(slots.where("slot <> ''"), "host", "slot", "main", "title", "doubt")
-    differ = Window.partitionBy("host", "main")
-    judged = judged.withColumn("varied", F.max((F.col("least") != F.col("most")) & ~F.col("title")).over(differ)).join(reference, "host")
-    constant = (F.col("least") == F.col("most")) & (F.col("pages") >= CONSTANT_PAGES) & (2 * F.col("pages") >= F.col("of_host")) & F.col("varied") & ~F.col("title")
+    """``host, reference, template, blocks``: the host's reference skeleton, the slots that
+    hold template, and single blocks (slot and hash) that are."""
+    shape = hosted.mapInArrow(_shapes, f"host string, skeleton string, path string, block long, {_COUNTS}")
+    shape = written(_counted(shape, "host", "skeleton", "path", "block"), "page-shapes")
+    reference = shape.where("path = '' and block is null").groupBy("host").agg(F.max_by("skeleton", F.struct("pages", "skeleton")).alias("reference"))
+    slots = shape.join(reference, "host").mapInArrow(_aligned, f"host string, block long, {_COUNTS}, slot string, main boolean, title boolean, doubt boolean")
+    slots = written(slots.where("slot <> ''"), "page-slots")
+    judged = _counted(slots.where("block is null"), "host", "slot", "main", "title", "doubt")
+    often, differ = F.col("pages") >= CONSTANT_PAGES, F.col("rest_least") != F.col("rest_most")
+    constant = often & (F.col("least") == F.col("most")) & differ & ~F.col("title")
     only_links = (~F.col("main") | F.col("doubt")) & (F.col("links") > 0) & (10 * F.col("links") >= 9 * F.col("chars"))
-    fixed = judged.where(constant | only_links).groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template"))
-    return written(reference.select("host", "reference").join(fixed, "host", "left"), "wrappers")
+    blocks_ = _counted(slots.where("block is not null"), "host", "slot", "block")
+    recur = often & differ
+    strict = recur & (F.col("least") != F.col("most"))
+    of_slot = judged.groupBy("host", "slot").agg(F.sum("pages").alias("slot_pages"), F.sum("chars").alias("slot_chars"))
+    of_host = of_slot.groupBy("host").agg(F.sum("slot_chars").alias("host_chars"))
+    single = blocks_.where(recur).join(of_slot, ["host", "slot"]).where(2 * F.col("pages") >= F.col("slot_pages"))
+    anywhere = _counted(blocks_, "block").where(strict).select("block", F.lit(True).alias("again"))
+    pooled = blocks_.join(anywhere, "block", "left").groupBy("host", "slot").agg(F.sum("pages").alias("n"), F.sum(F.when(F.col("again"), F.col("pages")).otherwise(0)).alias("n_again"))
+    pooled = pooled.where(2 * F.col("n_again") >= F.col("n")).join(of_slot, ["host", "slot"]).join(of_host, "host")
+    pooled = pooled.where((F.col("slot_pages") >= CONSTANT_PAGES) & (2 * F.col("slot_chars") < F.col("host_chars")))
+    fixed = judged.where(constant | only_links).select("host", "slot").unionByName(pooled.select("host", "slot"))
+    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template"))
+    single = single.groupBy("host").agg(F.sort_array(F.collect_set(F.struct("slot", "block"))).alias("blocks"))
+    return written(reference.join(fixed, "host", "left").join(single, "host", "left"), "wrappers")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import json
+import re
+import tracemalloc
 import zlib
 from base64 import b32encode
 
@@ -127,3 +129,41 @@ def test_odd_rows(spark):
     assert warc.archived(frame(spark, [])).collect() == []
     same = [(9, "u", "t"), (9, "u", "t"), (1, "v", "t")]
     assert order(warc.archived(frame(spark, same)).collect()) == order(plain(same))
+
+
+def test_every_record_has_the_mandatory_headers(spark, tmp_path):
+    """WARC 1.1: id, type, date and length in each record; a revisit names a response's id."""
+    warc.write_monolithic(frame(spark).repartition(2), f"file://{tmp_path}/w", most=3)
+    fields = [f for p in (tmp_path / "w").glob("*.gz") for f, _, _ in warc.parse_records([p.read_bytes()])]
+    assert len(fields) == len(ROWS)
+    for f in fields:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", f["WARC-Record-ID"])
+        assert f["WARC-Type"] in ("response", "revisit") and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["WARC-Date"])
+        assert f["Content-Length"].isdigit()
+    assert len({f["WARC-Record-ID"] for f in fields}) == len(ROWS)
+    ids = {f["WARC-Record-ID"]: f for f in fields}
+    revisits = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert revisits and all(ids[f["WARC-Refers-To"]]["X-Page-Id"] == f["X-Refers-To-Page-Id"] for f in revisits)
+    assert not any("WARC-Refers-To" in f for f in fields if f["WARC-Type"] == "response")
+
+
+def test_a_stream_of_large_records_needs_the_memory_of_few():
+    size, n = 4 << 20, 12
+    body = bytes(range(256)) * (size // 256)
+
+    def pieces():
+        z = zlib.compressobj(1, zlib.DEFLATED, 31)
+        for i in range(n):
+            yield z.compress(f"WARC/1.1\r\nWARC-Type: response\r\nX-Page-Id: {i}\r\nContent-Length: {size}\r\n\r\n".encode() + body + warc.END)
+        yield z.flush()
+
+    small = [p[i : i + warc.PIECE] for p in pieces() for i in range(0, len(p), warc.PIECE)]
+    tracemalloc.start()
+    seen = 0
+    for fields, payload, record in warc.parse_records(small):
+        assert int(fields["X-Page-Id"]) == seen and len(payload) == size
+        seen += 1
+        del payload, record
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == n and peak < 3 * size

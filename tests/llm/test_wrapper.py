@@ -3,8 +3,10 @@
 import html
 import itertools
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from starload.llm import dom, wrapper
 from tests.llm import helpers as h
@@ -44,8 +46,9 @@ def test_alignment_maps_partners_to_one_slot():
 
 
 def text_of(page):
-    root = dom.parse(page)
-    return [x[1] for x in wrapper.texts_of(root, wrapper.skeleton(root)) if not wrapper.standing(x[0])[1]]
+    with wrapper.deep_trees():
+        root = wrapper.straight(dom.parse(page))
+        return [x[1] for x in wrapper.readable(wrapper.texts_of(root, wrapper.skeleton(root)))]
 
 
 @pytest.mark.parametrize(
@@ -66,6 +69,14 @@ def text_of(page):
         ("<article><header><h1>T</h1></header><p>x</p><footer>f</footer></article>", ["T", "x"]),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, ["deep"]),
         ("<p>" + "<" * 5000 + "</p>", ["<" * 5000]),
+        ("<div>" * 400 + "<nav>menu</nav><p>text" + "</div>" * 400, ["text"]),
+        ("<div><section>" * 400 + "<nav>menu</nav><p>text", ["text"]),
+        ("<nav class=top/>Menu</nav><p>see <a href=http://x.com/>link</a></p>", ["see link"]),
+        ('<div class="page sidebar-right"><p>Article text here.</p></div>', ["Article text here."]),
+        ("<div class='layout-sidebar-left'><p>One.</p><div class='sidebar'>s</div></div>", ["One."]),
+        ("<div class='search-results-page'><p>Found words.</p></div>", ["Found words."]),
+        ("<div id='social-history'><h2>Old</h2><p>Long ago there was.</p></div><div class=share>Share</div>", ["Old", "Long ago there was."]),
+        ("<p>Short.</p><div class='comments'><p>A very long comment of a reader, longer than the text.</p></div>", ["Short."]),
     ],
 )
 def test_blocks(page, want):
@@ -127,6 +138,48 @@ def test_marks_that_name_no_chrome(spark):
     assert by == {5 * k + i: f"Text {i}" + (f" Work {i} Talk {i}" if k == 3 else "") for k in range(4) for i in range(5)}
 
 
+def test_like_siblings_are_judged_block_by_block(spark):
+    page = lambda i: f"<body><div>Site name</div><div>Article {i}</div><div>All rights reserved</div></body>"
+    by = {r.page_id: r.text for r in wrapper.main_texts(site(spark, [(f"//a.example/{i}", page(i)) for i in range(6)])).collect()}
+    assert by == {i: f"Article {i}" for i in range(6)}
+
+
+def test_each_layout_has_its_own_template(spark):
+    """Three layouts on one host, none on half of its pages."""
+    tops = ["<div id=news>News of the day</div>", "<section id=shop>Our shop</section>", "<ul id=forum><li>Forum rules</li></ul>"]
+    pages = [(f"//a.example/{i}", f"<body>{tops[i % 3]}<div id=x><p>Text number {i} is here</p></div></body>") for i in range(15)]
+    by = {r.page_id: r.text for r in wrapper.main_texts(site(spark, pages)).collect()}
+    assert by == {i: f"Text number {i} is here" for i in range(15)}
+
+
+def test_pages_without_main_elements(spark):
+    """The given pages with article made div, class and id removed: the wrapper alone decides."""
+    pages = spark.read.parquet(f"{h.SF01}/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "(</?)article", "$1div"), r"<(\w+) (class|id)=[^>]*>", "<$1>"))
+    got = {r.page_id: r.text for r in wrapper.main_texts(bare).collect()}
+    host = F.regexp_extract("url", wrapper.HOST, 1)
+    large = pages.groupBy(host.alias("host")).count().where("count >= 5")
+    given = pages.withColumn("host", host).join(large, "host").collect()
+    right = sum(got[r.page_id] == expected(r.html) for r in given)
+    print(len(given), right)
+    assert len(given) > 100 and right >= 0.6 * len(given)
+
+
+def test_a_long_page_of_alternating_blocks():
+    page = "<body>" + "".join(f"<h2>Head {i}</h2><p>Text {i}</p>" for i in range(10_000)) + "</body>"
+    start = time.perf_counter()
+    root = wrapper.straight(dom.parse(page))
+    tree = wrapper.skeleton(root)
+    assert len(wrapper.readable(wrapper.texts_of(root, tree))) == 20_000
+    wrapper.aligned(tree, wrapper.skeleton(dom.parse("<body><nav></nav>" + "<p>a</p><h2>b</h2>" * 500 + "</body>")))
+    assert time.perf_counter() - start < 30
+
+
+def test_packed_trees_come_back():
+    tree = wrapper.skeleton(dom.parse("<div class='a 1'><p>x</p><ul><li>y<li>z</ul></div><section><p>q</p></section>"))
+    assert wrapper._tree(wrapper._pack(tree)) == tree
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (2, "not a url", ""), (None, "http://x/", "<p>a</p>"), (3, "http://x/", "plain"), (4, "http://x/", "<p>" + "long " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'own' as host", "1 as reference", "2 as text")
