@@ -42,9 +42,10 @@ CONTENT_SHARE = 0.5
 TRAIN_DOCS = 1500
 TRAIN_LINES = 200
 PRIOR = 0.5
-ROUNDS = 3
+ROUNDS = 2
 SEED = 11
 STEPS = 150
+FIRST_STEPS = 50
 L2 = 0.1
 
 _KIND = {"symbol": b"#*$%&|<>", "upper": bytes(range(65, 91)), "lower": bytes(range(97, 123)), "digit": b"0123456789", "mark": b"!?", "stop": b".,;:", "web": b"@/\\_=+~^{}[]"}
@@ -189,11 +190,12 @@ def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int =
     weight = np.where(kind == 1, 0.5 / max((kind == 1).sum(), 1), 0.5 / max((kind == 0).sum(), 1)) * len(n)
     w = np.zeros((FEATURES + 2, 2))  # the last two rows are the moves
     m, v = np.zeros_like(w), np.zeros_like(w)
-    line_weight = np.zeros(len(features))
-    for s, k, x in zip(begin, n, weight, strict=True):
-        line_weight[s : s + k] = x
     onehot = np.eye(2)[labels]
     live = [int(np.searchsorted(-n, -t)) for t in range(longest)]
+    own = np.zeros(len(features), np.int64)  # number of each line's sequence
+    for t in range(longest):
+        own[begin[: live[t]] + t] = np.arange(live[t])
+    line_weight = weight[own][:, None]
     gold = np.zeros((2, 2))
     for t in range(1, longest):
         i = begin[: live[t]] + t
@@ -204,9 +206,7 @@ def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int =
         for t in range(longest):
             i = begin[: live[t]] + t
             ahead[i] = scores[i] + (_log_add(ahead[i - 1][:, :, None] + move[None], 1) if t else 0)
-        z = np.zeros(len(n))
-        for k in range(len(n)):
-            z[k] = _log_add(ahead[begin[k] + n[k] - 1][None], 1)[0]
+        z = _log_add(ahead[begin + n - 1], 1)
         pair = np.zeros((2, 2))
         for t in range(longest - 1, 0, -1):
             i = begin[: live[t]] + t
@@ -214,11 +214,9 @@ def train(features: np.ndarray, labels: np.ndarray, at: np.ndarray, steps: int =
             behind[i - 1] = _log_add(come, 2)
             p = np.exp(ahead[i - 1][:, :, None] + come - z[: live[t], None, None])
             pair += (p * weight[: live[t], None, None]).sum(axis=0)
-        line_z = np.repeat(z, n)[np.argsort(np.concatenate([np.arange(b, b + k) for b, k in zip(begin, n, strict=True)]), kind="stable")]
-        used = line_weight > 0
-        p = np.exp(ahead[used] + behind[used] - line_z[:, None])
+        p = np.exp(ahead + behind - z[own][:, None])
         grad = np.zeros_like(w)
-        grad[:FEATURES] = features[used].T @ ((onehot[used] - p) * line_weight[used, None])
+        grad[:FEATURES] = features.T @ ((onehot - p) * line_weight)
         grad[FEATURES:] = gold - pair
         grad = (grad - l2 * w) / len(n)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -239,7 +237,7 @@ def learn(features: np.ndarray, at: np.ndarray, kinds: np.ndarray, rounds: int =
     """Field and line labels from sequences whose documents' qualities are known."""
     single = np.arange(len(features) + 1)
     labels = np.repeat(kinds, np.diff(at))
-    field = train(features, labels, single)
+    field = train(features, labels, single, steps=FIRST_STEPS)
     field = Field(field.emit, np.zeros((2, 2)))
     for _ in range(rounds):
         labels = line_labels(features, at, field, kinds)
